@@ -85,7 +85,7 @@ def month_range(ts: Column, year: int, month: int) -> Column:
 
 # Fixed formats of the stream records: date and time with a blank or a T, one-digit
 # parts allowed; event times carry an offset and perhaps a fraction.
-RECORD_TIME = r"^\d{4}-\d{1,2}-\d{1,2}\s+\d{1,2}:\d{1,2}:\d{1,2}$"
+RECORD_TIME = r"^(\d{4}-\d{1,2}-\d{1,2})\s+(\d{1,2}:\d{1,2}:\d{1,2})$"
 EVENT_TIME = (
     r"^(\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{1,2}:\d{1,2})(?:\.\d{1,6})?"
     r"(Z|[+-]\d{2}:?[0-5]\d(?::?[0-5]\d(?:\.\d{1,6})?)?)$"
@@ -94,8 +94,8 @@ EVENT_TIME = (
 
 def parse_record_time(text: Column) -> Column:
     """``yyyy-MM-dd HH:mm:ss`` or NULL."""
-    tidy = F.when(text.rlike(RECORD_TIME), F.regexp_replace(text, r"\s+", " "))
-    return F.try_to_timestamp(tidy, F.lit("yyyy-M-d H:m:s")).cast("timestamp_ntz")
+    tidy = F.regexp_extract(text, RECORD_TIME, 1), F.regexp_extract(text, RECORD_TIME, 2)
+    return F.try_to_timestamp(F.concat_ws(" ", *tidy), F.lit("yyyy-M-d H:m:s")).cast("timestamp_ntz")
 
 
 def parse_event_time(text: Column, mode: str = "wall_clock") -> Column:
@@ -103,9 +103,7 @@ def parse_event_time(text: Column, mode: str = "wall_clock") -> Column:
 
     ``wall_clock`` keeps the clock reading and drops the offset; ``utc`` converts.
     """
-    clock = F.try_to_timestamp(
-        F.nullif(F.regexp_extract(text, EVENT_TIME, 1), F.lit("")), F.lit("yyyy-M-d'T'H:m:s")
-    )
+    clock = F.try_to_timestamp(F.regexp_extract(text, EVENT_TIME, 1), F.lit("yyyy-M-d'T'H:m:s"))
     if mode == "wall_clock":
         return clock.cast("timestamp_ntz")
     if mode != "utc":

@@ -6,7 +6,9 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+
 from tripmill.schema import PARTITION_COLUMNS, TRIP_TYPES, ddl
+from tripmill.session import conf_set
 
 # Fixed write options of the lake. Dictionary encoding is left on unless asked for:
 # without it, low-cardinality columns cost several times the bytes to scan.
@@ -54,7 +56,9 @@ def write_lake(
         writer = writer.mode("append")
     else:
         raise ValueError(f"unknown mode: {mode}")
-    writer.partitionBy(*partitions).parquet(path)
+    # Opening a file costs more than starting a task, so let AQE keep small tasks apart.
+    with conf_set(df.sparkSession, spark__sql__adaptive__coalescePartitions__minPartitionSize="64KB"):
+        writer.partitionBy(*partitions).parquet(path)
 
 
 def create_lake_table(spark: SparkSession, table: str, path: str) -> None:

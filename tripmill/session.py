@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -25,6 +27,23 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def conf_set(spark: SparkSession, **conf: str) -> Iterator[None]:
+    """Set session settings (dots written as __) for the actions inside the block."""
+    named = {key.replace("__", "."): value for key, value in conf.items()}
+    before = {key: spark.conf.get(key, None) for key in named}
+    try:
+        for key, value in named.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def get_session(app_name: str = "tripmill", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
     if master:

@@ -18,72 +18,92 @@ PAYLOAD = (
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
-def _value(key: str) -> Column:
-    """A member of the record as JSON value: SQL NULL if absent, a JSON null if null."""
-    return F.variant_get("record", f"$.{key}", "variant")
+def members_of(text: Column) -> Column:
+    """Members of the one JSON object in a text as map of texts; NULL for anything else.
 
-
-def _or_absent(key: str, default: int) -> Column:
-    return F.coalesce(_value(key), F.lit(default).cast("variant"))
+    Read inside brackets, because the JSON reader by itself stops after a first object
+    and would not see that more follows.
+    """
+    listed = F.from_json(
+        F.concat(F.lit("["), text, F.lit("]")), "array<map<string,string>>", {"allowSingleQuotes": "false"}
+    )
+    return F.when(F.size(listed) == 1, listed[0])
 
 
 def cleanse(raw: DataFrame, received_at=None, offset_mode: str = "wall_clock") -> DataFrame:
     """Decode, check and parse (recordId, data) envelopes; every input row comes back.
 
-    ``error`` says why a record failed, NULL for good ones. ``record`` keeps the parsed
-    JSON so the payload can be written out with the value types it came with. Required
-    keys must be present; a null value passes. Location ids default to -1 when the key is
-    absent only. A missing or empty event time becomes the receive time.
+    ``error`` says why a record failed, NULL for good ones. Required keys must be present;
+    a null value passes. Location ids default to -1 when the key is absent only. A missing
+    or empty event time becomes the receive time. A good record's value that does not fit
+    its column type is NULL here and unchanged in ``delivery_records``.
     """
     received = F.date_trunc("SECOND", as_of_column(received_at)).cast("timestamp_ntz")
-    decoded = raw.withColumn("text", decode(F.col("data")))
-    parsed = decoded.withColumn("record", F.try_parse_json("text"))
+    decoded = raw.select("recordId", "data", decode(F.col("data")).alias("text"))
+    parsed = decoded.withColumn("members", members_of(F.col("text")))
+
+    # Members are taken out once, then only looked at.
+    def member(key: str) -> Column:
+        return F.try_element_at("members", F.lit(key))
+
+    def number(key: str, kind: str) -> Column:
+        return member(key).try_cast("double").try_cast(kind)
 
-    present = [_value(k).isNotNull() for k in REQUIRED_RECORD_KEYS]
-    missing = F.array_compact(
-        F.array(*[F.when(~p, F.lit(k)) for p, k in zip(present, REQUIRED_RECORD_KEYS, strict=True)])
+    def located(key: str) -> Column:
+        return F.when(F.map_contains_key("members", key), number(key, "int")).otherwise(F.lit(-1))
+
+    absent = [F.when(~F.map_contains_key("members", k), F.lit(k)) for k in REQUIRED_RECORD_KEYS]
+    taken = parsed.select(
+        "recordId",
+        "data",
+        "text",
+        F.col("members").isNotNull().alias("is_object"),
+        F.concat_ws(", ", *absent).alias("missing"),
+        member("trip_id").alias("trip_id"),
+        member("pickup_datetime").alias("pickup_text"),
+        member("dropoff_datetime").alias("dropoff_text"),
+        F.coalesce(member("event_time"), F.lit("")).alias("event_text"),
+        located("PULocationID").alias("pulocationid"),
+        located("DOLocationID").alias("dolocationid"),
+        number("passenger_count", "int").alias("passenger_count"),
+        number("fare_amount", "double").alias("fare_amount"),
+        number("payment_type", "int").alias("payment_type"),
     )
-    event_text = F.try_variant_get("record", "$.event_time", "string")
-    timed = parsed.withColumns(
+    event_text = F.col("event_text")
+    timed = taken.withColumns(
         {
-            "missing": missing,
-            "pickup_datetime": parse_record_time(F.try_variant_get("record", "$.pickup_datetime", "string")),
-            "dropoff_datetime": parse_record_time(F.try_variant_get("record", "$.dropoff_datetime", "string")),
-            "event_text": F.nullif(event_text, F.lit("")),
+            "pickup_datetime": parse_record_time(F.col("pickup_text")),
+            "dropoff_datetime": parse_record_time(F.col("dropoff_text")),
+            "event_time": F.when(event_text == "", received).otherwise(parse_event_time(event_text, offset_mode)),
         }
-    ).withColumn(
-        "event_time",
-        F.when(F.col("event_text").isNull(), received).otherwise(
-            parse_event_time(F.col("event_text"), offset_mode)
-        ),
     )
     error = (
         F.when(F.col("text").isNull(), "not base64 text")
         .when(F.col("text") == "", "empty record")
-        .when(F.col("record").isNull(), "not JSON")
-        .when(F.size("missing") > 0, F.concat(F.lit("missing keys: "), F.array_join("missing", ", ")))
+        .when(~F.col("is_object"), "not a JSON object")
+        .when(F.col("missing") != "", F.concat(F.lit("missing keys: "), F.col("missing")))
         .when(F.col("pickup_datetime").isNull() | F.col("dropoff_datetime").isNull(), "bad trip time")
         .when(F.col("event_time").isNull(), "bad event time")
     )
     pickup = F.col("pickup_datetime")
-    typed = {
-        "trip_id": F.try_variant_get("record", "$.trip_id", "string"),
-        "pulocationid": F.try_variant_get(_or_absent("PULocationID", -1), "$", "int"),
-        "dolocationid": F.try_variant_get(_or_absent("DOLocationID", -1), "$", "int"),
-        "passenger_count": F.try_variant_get("record", "$.passenger_count", "int"),
-        "fare_amount": F.try_variant_get("record", "$.fare_amount", "double"),
-        "payment_type": F.try_variant_get("record", "$.payment_type", "int"),
-        "lambda_received_time": received,
-        "year": F.year(pickup),
-        "month": F.month(pickup),
-        "day": F.dayofmonth(pickup),
-        "hour": F.hour(pickup),
-    }
-    checked = timed.withColumns({**typed, "error": error})
-    return checked.select(
+    checked = timed.withColumns(
+        {
+            "lambda_received_time": received,
+            "year": F.year(pickup),
+            "month": F.month(pickup),
+            "day": F.dayofmonth(pickup),
+            "hour": F.hour(pickup),
+            "error": error,
+        }
+    )
+    # A filter on ``error`` pushed below this point would repeat the whole parse inside the
+    # filter, several times over. Catalyst does not push filters through a generator, so a
+    # one-row explode keeps it at one parse per record.
+    row = F.struct("recordId", "data", "error", *PAYLOAD)
+    once = checked.select(F.explode(F.array(row)).alias("row")).select("row.*")
+    return once.select(
         "recordId",
         "data",
-        "record",
         F.when(F.col("error").isNull(), "Ok").otherwise("ProcessingFailed").alias("result"),
         "error",
         *PAYLOAD,
@@ -108,22 +128,27 @@ def failed_rows(cleansed: DataFrame) -> DataFrame:
 
 
 def delivery_records(cleansed: DataFrame) -> DataFrame:
-    """One output record per input: good ones re-encoded with partition keys, others as they came."""
+    """One output record per input: good ones re-encoded with partition keys, others as they came.
+
+    Values go out with the JSON types they came with, so the record is read again as JSON.
+    """
+
+    def value(key: str) -> Column:
+        return F.variant_get("record", f"$.{key}", "variant")
+
+    def located(key: str) -> Column:
+        return F.coalesce(value(key), F.lit(-1).cast("variant"))
+
     text_times = {
         c: F.date_format(c, TIME_FORMAT)
         for c in ("pickup_datetime", "dropoff_datetime", "event_time", "lambda_received_time")
     }
-    raw_values = {
-        "trip_id": _value("trip_id"),
-        "pulocationid": _or_absent("PULocationID", -1),
-        "dolocationid": _or_absent("DOLocationID", -1),
-        "passenger_count": _value("passenger_count"),
-        "fare_amount": _value("fare_amount"),
-        "payment_type": _value("payment_type"),
-    }
-    members = [{**text_times, **raw_values}.get(c, F.col(c)).alias(c) for c in PAYLOAD]
+    raw_values = {c: value(c) for c in ("trip_id", "passenger_count", "fare_amount", "payment_type")}
+    places = {"pulocationid": located("PULocationID"), "dolocationid": located("DOLocationID")}
+    source = {**text_times, **raw_values, **places}
+    members = [source.get(c, F.col(c)).alias(c) for c in PAYLOAD]
     good = F.col("error").isNull()
-    return cleansed.select(
+    return cleansed.withColumn("record", F.try_parse_json(decode(F.col("data")))).select(
         F.coalesce("recordId", F.lit("unknown")).alias("recordId"),
         "result",
         F.when(good, encode(F.to_json(F.struct(*members)))).otherwise(F.coalesce("data", F.lit(""))).alias("data"),
