@@ -56,21 +56,21 @@ def minute_concurrency(minutes: DataFrame, history: DataFrame, ids: DataFrame) -
     """Distinct queries running in each billed minute: all of them and the selected ones.
 
     One overlap join serves both counts; the selected ids are marked on the history.
-    Equal metering records count once.
+    The minutes themselves join the counting as rows without a query, which keeps those in
+    which nothing ran. Pairs shrink to one per minute and query, then to one per minute,
+    both with map-side partial sums, so a crowded minute spreads over many tasks.
     """
     mine = ids.select("query_id", F.lit(True).alias("selected")).distinct()
     running = history.select("query_id", "start_time", "end_time").join(mine, "query_id", "left")
-    distinct_minutes = minutes.select(*MINUTE).distinct()
-    counted = (
-        overlap_join(running, distinct_minutes.select("minute_start", "minute_end").distinct())
-        .groupBy("minute_start", "minute_end")
-        .agg(
-            F.count_distinct("query_id").alias("running_all"),
-            F.count_distinct(F.when(F.col("selected"), F.col("query_id"))).alias("running_my"),
-        )
+    pairs = overlap_join(running, minutes.select(*MINUTE)).select(*MINUTE, "query_id", "selected")
+    empty = minutes.select(*MINUTE, F.lit(None).cast(history.schema["query_id"].dataType).alias("query_id"))
+    per_query = (
+        pairs.unionByName(empty.withColumn("selected", F.lit(None).cast("boolean")))
+        .groupBy(*MINUTE, "query_id")
+        .agg(F.max("selected").alias("selected"))
     )
-    return distinct_minutes.join(counted, ["minute_start", "minute_end"], "left").fillna(
-        0, ["running_all", "running_my"]
+    return per_query.groupBy(*MINUTE).agg(
+        F.count("query_id").alias("running_all"), F.count_if(F.col("selected")).alias("running_my")
     )
 
 
