@@ -1,0 +1,85 @@
+from __future__ import annotations
+
+import datetime as dt
+
+from tests.conftest import at, plan_of, rows
+from tripmill.operators import audit, quality, reconcile
+from tripmill.session import work_folder
+
+
+def test_checks(spark):
+    zones = spark.createDataFrame([(1,), (2,), (2,), (None,)], "location_id bigint")
+    df = spark.createDataFrame(
+        [("Y", 1, "a"), ("N", 3, "a"), (None, 3, "b"), ("X", None, None), ("X", 2, None)], "flag string, zone bigint, id string"
+    )
+    found = quality.run_checks(
+        df,
+        [
+            quality.NotNull("flag"),
+            quality.Unique("id"),
+            quality.Accepted("flag", ("Y", "N")),
+            quality.Relationship("zone", zones, "location_id"),
+        ],
+    )
+    assert rows(found) == [
+        ("accepted_values", "flag", 2), ("not_null", "flag", 1), ("relationships", "zone", 2), ("unique", "id", 1),
+    ]
+    assert rows(quality.run_checks(zones, quality.zone_checks())) == [("not_null", "location_id", 1), ("unique", "location_id", 1)]
+
+
+def test_checks_on_nothing(spark):
+    empty = spark.createDataFrame([], "location_id bigint")
+    checks = [*quality.zone_checks(), quality.Relationship("location_id", empty, "location_id")]
+    assert [r[2] for r in rows(quality.run_checks(empty, checks))] == [0, 0, 0]
+
+
+def test_row_checks_share_a_scan(spark, tmp_path):
+    spark.range(5).selectExpr("id", "'Y' AS flag").write.parquet(f"{tmp_path}/t")
+    checks = [quality.NotNull("id"), quality.NotNull("flag"), quality.Accepted("flag", ("Y", "N"))]
+    assert plan_of(quality.run_checks(spark.read.parquet(f"{tmp_path}/t"), checks)).count("FileScan") == 1
+
+
+def test_freshness_and_sanity(spark):
+    df = spark.createDataFrame([(at("10:00:00"), at("09:59:00")), (at("11:00:00"), at("11:00:00")), (at("11:00:00"), None)],
+                               "pickup_at timestamp_ntz, dropoff_at timestamp_ntz")
+    assert rows(quality.freshness(df, "pickup_at", at("11:05:00"))) == [(at("11:00:00"), 300)]
+    assert rows(quality.sanity_share(df)) == [(3, 1, 2, 0.666667)]
+    assert rows(quality.sanity_share(df.limit(0))) == [(0, 0, 0, None)]
+
+
+def test_reconcile(spark):
+    def days(*counts):
+        data = [(2024, 1, d) for d, n in counts for _ in range(n)]
+        return spark.createDataFrame(data, "year int, month int, day int")
+
+    got = reconcile.reconcile(days((1, 2), (2, 3), (3, 1)), days((1, 2), (2, 1), (4, 1)))
+    assert [tuple(r)[2:] for r in got.collect()] == [
+        (1, 2, 2, "MATCH"), (2, 3, 1, "MISMATCH"), (3, 1, None, "MISMATCH"), (4, None, 1, "MISMATCH"),
+    ]
+
+
+def test_audit(spark):
+    path = work_folder(spark, "audit")
+
+    def log(stage, status, minute, run="yellow_tripdata_2024-01", **more):
+        when = dt.datetime(2024, 1, 1, 10, minute)
+        audit.append_audit(audit.audit_event(spark, run, stage, "batch", "batch", "spark", status, when, **more), path)
+
+    log("transform", "STARTED", 0, s3_input="", details={})
+    log("transform", "SUCCEEDED", 5, record_count="12", s3_output="lake")
+    log("load", "STARTED", 6, record_count="many")
+    log("load", "FAILED", 7, details={"error": "disk"})
+    log("load", "STARTED", 8, run="invalid_filename_x")
+    events = spark.read.parquet(path)
+    started = events.where("status = 'STARTED' AND stage = 'transform'").first()
+    assert (started.s3_input, started.details, started.record_count) == (None, None, None)
+    assert {r.record_count for r in events.collect()} == {None, 12, 0}
+    assert [r[:3] for r in rows(audit.latest_status(events))] == [
+        ("invalid_filename_x", "load", "STARTED"),
+        ("yellow_tripdata_2024-01", "load", "FAILED"),
+        ("yellow_tripdata_2024-01", "transform", "SUCCEEDED"),
+    ]
+    assert [r[1] for r in rows(audit.failed_runs(events))] == ["load"]
+    report = {(r.stage_subject, r.month, r.cab_type, r.details) for r in audit.stage_report(events).withColumnRenamed("subject", "stage_subject").collect()}
+    assert ("[FAILED] yellow_tripdata_2024-01 at load", "2024-01", "yellow", '{"error": "disk"}') in report
+    assert ("[STARTED] invalid_filename_x at load", "N/A-N/A", "N/A", None) in report

@@ -1,0 +1,174 @@
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from tests.conftest import at, plan_of, rows
+from tripmill.operators import ingest, sinks
+from tripmill.schema import LOAD_BASE_COLUMNS, LOAD_EXTRA_COLUMNS, TRIP_TYPES, ddl
+from tripmill.session import conf_set, work_folder
+from tripmill.sources import landing, lake
+
+
+def yellow(spark, times):
+    """Raw yellow rows; passenger counts come as doubles, as in some months."""
+    data = [(1, t, None if t is None else t + dt.timedelta(minutes=5), 2.0, 10.0 + i) for i, t in enumerate(times)]
+    return spark.createDataFrame(
+        data,
+        "VendorID bigint, tpep_pickup_datetime timestamp_ntz, tpep_dropoff_datetime timestamp_ntz, "
+        "Passenger_Count double, fare_amount double",
+    )
+
+
+def test_standardize_names_and_types(spark):
+    df = ingest.standardize(yellow(spark, [at("10:00:00")]).withColumn("_metadata", F.lit(1)), "yellow")
+    assert df.columns == ["vendorid", "pickup_datetime", "dropoff_datetime", "passenger_count", "fare_amount"]
+    assert dict(df.dtypes)["vendorid"] == "int"
+    assert dict(df.dtypes)["passenger_count"] == "bigint"
+    green = spark.createDataFrame([(at("10:00:00"),)], "lpep_pickup_datetime timestamp_ntz")
+    assert ingest.standardize(green, "green").columns == ["pickup_datetime"]
+
+
+def test_standardize_fills_only_what_fhv_lacks(spark):
+    fhv = spark.createDataFrame([(at("10:00:00"), 7.5)], "pickup_datetime timestamp_ntz, fare_amount double")
+    df = ingest.standardize(fhv, "fhv")
+    assert rows(df.select("fare_amount", "trip_distance", "passenger_count")) == [(7.5, None, None)]
+    assert dict(df.dtypes)["passenger_count"] == "bigint"
+
+
+def test_standardize_refuses(spark):
+    with pytest.raises(ValueError, match="no pickup_datetime"):
+        ingest.standardize(spark.range(1), "yellow")
+    with conf_set(spark, spark__sql__caseSensitive="true"):
+        clash = spark.createDataFrame([(at("10:00:00"), 1, 2)], "pickup_datetime timestamp_ntz, A int, a int")
+        with pytest.raises(ValueError, match="differ only in case"):
+            ingest.lower_columns(clash)
+
+
+def test_month_guard_drops_other_months_and_nulls(spark):
+    times = [at("2023-12-31 23:59:59"), at("2024-01-01 00:00:00"), at("2024-01-31 23:59:59"), at("2024-02-01 00:00:00"), None]
+    kept = ingest.monthly_rows(yellow(spark, times), "yellow", 2024, 1)
+    assert rows(kept.select("pickup_datetime", "cab_type", "year", "month", "day")) == [
+        (at("2024-01-01 00:00:00"), "yellow", 2024, 1, 1),
+        (at("2024-01-31 23:59:59"), "yellow", 2024, 1, 31),
+    ]
+
+
+def test_month_guard_reaches_the_scan(spark, tmp_path):
+    path = f"{tmp_path}/yellow_tripdata_2024-01.parquet"
+    yellow(spark, [at("2024-01-05 00:00:00")]).write.parquet(path)
+    month = ingest.monthly_rows(landing.read_month(spark, f"{tmp_path}/", "yellow", 2024, 1), "yellow", 2024, 1)
+    plan = plan_of(month)
+    assert "GreaterThanOrEqual(tpep_pickup_datetime,2024-01-01T00:00" in plan
+    assert "LessThan(tpep_pickup_datetime,2024-02-01T00:00" in plan
+
+
+@pytest.mark.parametrize(("cab", "year", "month"), [("blue", 2024, 1), ("yellow", 2024, 0), ("green", 2024, 13)])
+def test_month_arguments(cab, year, month):
+    with pytest.raises(ValueError):
+        landing.check_month_arguments(cab, year, month)
+
+
+def test_month_arguments_lower_case():
+    assert landing.check_month_arguments("Yellow", "2024", "2") == ("yellow", 2024, 2)
+    assert landing.month_path("raw/", "fhv", 2024, 2) == "raw/fhv_tripdata_2024-02.parquet"
+
+
+@pytest.mark.parametrize("layout", ["balanced", "none", "hash"])
+def test_ingest_rerun_and_append(spark, tmp_path, layout):
+    prefix, root = f"{tmp_path}/", work_folder(spark, "lake")
+    days = [at(f"2024-01-{d:02d} 08:00:00") for d in range(1, 32) for _ in range(3)]
+    yellow(spark, days).write.parquet(f"{prefix}yellow_tripdata_2024-01.parquet")
+    for _ in range(2):
+        ingest.ingest_month(spark, prefix, root, "yellow", 2024, 1, layout=layout)
+    assert spark.read.parquet(root).count() == 93
+    day = lake.read_day(spark, root, "yellow", 2024, 1, 13)
+    assert day.count() == 3
+    assert "PartitionFilters: [isnotnull(cab_type" in plan_of(day)
+    ingest.ingest_month(spark, prefix, root, "yellow", 2024, 1, mode="append", layout=layout)
+    assert spark.read.parquet(root).count() == 186
+
+
+def test_unknown_write_settings(spark):
+    for settings in ({"mode": "ignore"}, {"layout": "zigzag"}):
+        with pytest.raises(ValueError, match="unknown"):
+            sinks.write_lake(spark.range(1), "/nowhere", **settings)
+
+
+def test_catalog_partitions(spark):
+    root = work_folder(spark, "lake")
+    full = spark.createDataFrame([], ddl(TRIP_TYPES))
+    month = ingest.monthly_rows(yellow(spark, [at("2024-01-05 00:00:00"), at("2024-01-06 00:00:00")]), "yellow", 2024, 1)
+    sinks.create_lake_table(spark, "trips_by_day", root)
+    sinks.write_lake(full.unionByName(month, allowMissingColumns=True), root, dictionary=False)
+    assert spark.table("trips_by_day").count() == 0
+    known = sinks.register_partitions(spark, "trips_by_day")
+    assert known.count() == 2
+    assert lake.source_table(spark, "trip_data", {"trip_data": "trips_by_day"}).count() == 2
+    described = {r.col_name for r in sinks.describe_table(spark, "trips_by_day").collect()}
+    assert {"pickup_datetime", "cab_type", "# Partition Information"} <= described
+    with pytest.raises(KeyError):
+        lake.source_table(spark, "no_such_source")
+
+
+def test_publish_and_read_back(spark):
+    assert sinks.publish({"numbers": spark.range(3), "later": lambda: spark.range(2)}, "mart") == ["mart_numbers", "mart_later"]
+    assert sinks.read_mart(spark, "mart_numbers", ["id"]).count() == 3
+    sinks.publish({"kept": spark.range(4)}, "stg", as_table=True)
+    assert sinks.read_mart(spark, "stg_kept").count() == 4
+
+
+def test_align_for_load(spark):
+    lake_rows = spark.createDataFrame([], ddl(TRIP_TYPES))
+    one = lake_rows.unionByName(
+        spark.createDataFrame([(1, 2.0, 3, 4.0)], "vendorid int, ehail_fee double, trip_type bigint, airport_fee double"),
+        allowMissingColumns=True,
+    )
+    expected = [*LOAD_BASE_COLUMNS, *LOAD_EXTRA_COLUMNS, "cab_type"]
+    aligned = {cab: ingest.align_for_load(one, cab) for cab in ("yellow", "green")}
+    assert all(df.columns == expected for df in aligned.values())
+    extras = ["ehail_fee", "trip_type", "airport_fee", "cab_type"]
+    assert rows(aligned["yellow"].select(*extras)) == [(None, None, None, "yellow")]
+    assert rows(aligned["green"].select(*extras)) == [(2.0, 3, None, "green")]
+    with pytest.raises(ValueError):
+        ingest.align_for_load(one, "fhv")
+
+
+def test_landing_names(spark):
+    keys = [
+        "raw/yellow_tripdata_2024-01.parquet", "raw/fhv_tripdata_2024-13.parquet", "raw/green_tripdata_2024-00.parquet",
+        "raw/blue_tripdata_2024-01.parquet", "in/yellow_tripdata_2024-01.parquet", "raw/yellow_tripdata_2024-1.parquet",
+        "raw/yellow_tripdata_2024-01.csv", None,
+    ]
+    got = landing.parse_landing_keys(spark.createDataFrame([(k,) for k in keys], "key string"))
+    by_key = {r.key: (r.cab_type, r.year, r.month, r.valid, r.pipeline_id, r.month_in_range) for r in got.collect()}
+    assert by_key[keys[0]] == ("yellow", "2024", "01", True, "yellow_tripdata_2024-01", True)
+    assert by_key[keys[1]] == ("fhv", "2024", "13", True, "fhv_tripdata_2024-13", False)
+    assert by_key[keys[2]][3:] == (True, "green_tripdata_2024-00", False)
+    for bad in keys[3:7]:
+        assert by_key[bad] == (None, None, None, False, f"invalid_filename_{bad}", False)
+    assert by_key[None][3] is False
+
+
+def test_new_files(spark, tmp_path):
+    files = spark.createDataFrame(
+        [("a.parquet", at("10:00:00")), ("b.parquet", at("09:54:00")), ("c.json", at("10:00:00")),
+         ("d.parquet", at("10:01:00")), ("e.parquet", at("09:55:00"))],
+        "key string, modified_at timestamp_ntz",
+    )
+    ledger = spark.createDataFrame([("d.parquet",), ("d.parquet",)], "pipeline_id string")
+    found = landing.new_files(files, ledger, as_of=at("10:00:00"))
+    assert [r[0] for r in rows(found)] == ["a.parquet", "e.parquet"]
+    spark.range(5).coalesce(1).write.parquet(f"{tmp_path}/landing")
+    listed = landing.list_files(spark, f"{tmp_path}/landing")
+    assert listed.where(F.col("key").endswith(".parquet")).count() == 1
+    assert landing.new_files(listed, ledger).count() == 1
+    assert landing.list_files(spark, f"{tmp_path}/landing", "2099-01-01T00:00:00").count() == 0
+
+
+def test_missing_month_is_an_error(spark, tmp_path):
+    with pytest.raises(AnalysisException):
+        landing.read_month(spark, f"{tmp_path}/", "yellow", 2024, 1)

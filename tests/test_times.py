@@ -1,0 +1,117 @@
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import at
+from tripmill.functions import numbers, times
+
+
+def one(spark, column, **values):
+    """Evaluate a column over one row of typed values: name=(value, type)."""
+    schema = ", ".join(f"{n} {kind}" for n, (_, kind) in values.items())
+    df = spark.createDataFrame([tuple(v for v, _ in values.values())], schema)
+    return df.select(column.alias("x")).first()[0]
+
+
+@pytest.mark.parametrize(
+    ("start", "end", "elapsed", "boundary"),
+    [
+        ("10:00:59", "10:01:00", 0, 1),
+        ("10:00:00", "10:01:00", 1, 1),
+        ("10:00:30", "10:03:10", 2, 3),
+        ("10:05:00", "10:03:30", -1, -2),
+        ("10:00:00", "10:00:00", 0, 0),
+        ("23:59:59", "2024-01-02 00:00:01", 0, 1),
+    ],
+)
+def test_minutes(spark, start, end, elapsed, boundary):
+    values = {"s": (at(start), "timestamp_ntz"), "e": (at(end), "timestamp_ntz")}
+    assert one(spark, times.elapsed_minutes(F.col("s"), F.col("e")), **values) == elapsed
+    assert one(spark, times.boundary_minutes(F.col("s"), F.col("e")), **values) == boundary
+
+
+def test_delay_minutes_and_millis(spark):
+    values = {"s": (at("10:00:00"), "timestamp_ntz"), "e": (at("10:01:40"), "timestamp_ntz")}
+    assert one(spark, times.boundary_seconds(F.col("s"), F.col("e")), **values) == 100
+    assert one(spark, times.delay_minutes(F.col("s"), F.col("e")), **values) == 1.67
+    assert one(spark, times.boundary_millis(F.col("s"), F.col("e")), **values) == 100_000
+
+
+@pytest.mark.parametrize(
+    ("text", "expected"),
+    [
+        ("2024-01-02 03:04:05", dt.datetime(2024, 1, 2, 3, 4, 5)),
+        ("2024-1-2 3:4:5", dt.datetime(2024, 1, 2, 3, 4, 5)),
+        ("2024-01-02  03:04:05", dt.datetime(2024, 1, 2, 3, 4, 5)),
+        ("2024-01-02T03:04:05", None),
+        ("2024-01-02 03:04", None),
+        ("2024-13-02 03:04:05", None),
+        ("2024-02-30 03:04:05", None),
+        ("2024-01-02 03:04:61", None),
+        ("2024-01-02 03:04:05.5", None),
+        ("", None),
+        (None, None),
+    ],
+)
+def test_record_time(spark, text, expected):
+    assert one(spark, times.parse_record_time(F.col("t")), t=(text, "string")) == expected
+
+
+@pytest.mark.parametrize(
+    ("text", "clock", "utc"),
+    [
+        ("2024-01-01T10:00:00.250000+00:00", "10:00:00", "10:00:00"),
+        ("2024-01-01T10:00:00+0500", "10:00:00", "05:00:00"),
+        ("2024-01-01T10:00:00-05:30", "10:00:00", "15:30:00"),
+        ("2024-01-01T10:00:00Z", "10:00:00", "10:00:00"),
+        ("2024-01-01T10:00:00", None, None),
+        ("2024-01-01 10:00:00Z", None, None),
+        ("garbage", None, None),
+    ],
+)
+def test_event_time(spark, text, clock, utc):
+    expected = [at(t) if t else None for t in (clock, utc)]
+    got = [one(spark, times.parse_event_time(F.col("t"), m), t=(text, "string")) for m in ("wall_clock", "utc")]
+    assert got == expected
+
+
+def test_month_range_covers_december(spark):
+    inside, after = at("2024-12-31 23:59:59"), at("2025-01-01 00:00:00")
+    assert one(spark, times.month_range(F.col("t"), 2024, 12), t=(inside, "timestamp_ntz"))
+    assert not one(spark, times.month_range(F.col("t"), 2024, 12), t=(after, "timestamp_ntz"))
+
+
+def test_local_zone_follows_daylight_saving(spark):
+    for utc, local in (("2024-01-01 03:00:00", "2023-12-31 22:00:00"), ("2024-07-01 03:00:00", "2024-06-30 23:00:00")):
+        assert one(spark, times.in_zone(F.col("t"), "America/New_York"), t=(at(utc), "timestamp_ntz")) == at(local)
+
+
+@pytest.mark.parametrize(
+    ("current", "base", "plain", "arrow"),
+    [
+        (150.0, 100.0, "50.0%", "\U0001f53c 50.0%"),
+        (50.0, 100.0, "-50.0%", "\U0001f53d -50.0%"),
+        (123500.0, 100.0, "123,400.0%", "\U0001f53c 123400.0%"),
+        (100.0, 0.0, "N/A", "N/A"),
+        (100.0, None, "N/A", "N/A"),
+    ],
+)
+def test_percent_texts(spark, current, base, plain, arrow):
+    values = {"c": (current, "double"), "b": (base, "double")}
+    assert one(spark, numbers.percent_text(F.col("c"), F.col("b")), **values) == plain
+    assert one(spark, numbers.arrow_percent_text(F.col("c"), F.col("b")), **values) == arrow
+
+
+def test_numbers(spark):
+    assert float(one(spark, numbers.safe_decimal(F.col("t")), t=("12.5", "string"))) == 12.5
+    assert float(one(spark, numbers.safe_decimal(F.col("t")), t=("n/a", "string"))) == 0
+    assert float(one(spark, numbers.safe_decimal(F.col("t")), t=(None, "string"))) == 0
+    assert str(one(spark, numbers.money(F.col("d")), d=(2.345, "double"))) == "2.35"
+    assert one(spark, numbers.credit_usd(F.col("d")), d=(0.03127, "double")) == 0.0625
+    assert one(spark, numbers.usage_usd(F.col("d")), d=(540.0, "double")) == 0.0563
+    assert one(spark, numbers.difference_color(F.col("d")), d=(-1.0, "double")) == "#e74c3c"
+    assert one(spark, numbers.difference_color(F.col("d")), d=(0.0, "double")) == "#2ecc71"
+    assert one(spark, numbers.match_status(F.col("a"), F.col("b")), a=(1, "bigint"), b=(None, "bigint")) == "MISMATCH"

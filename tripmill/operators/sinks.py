@@ -6,7 +6,6 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-
 from tripmill.schema import PARTITION_COLUMNS, TRIP_TYPES, ddl
 from tripmill.session import conf_set
 
@@ -47,15 +46,15 @@ def write_lake(
     ``overwrite_partitions`` replaces just the partitions present in ``df``, so a repeated
     run is harmless; ``append`` adds to them and doubles rows when repeated.
     """
+    if mode not in ("overwrite_partitions", "append"):
+        raise ValueError(f"unknown mode: {mode}")
     writer = lay_out(df, layout, partitions, num_files).write.options(**PARQUET_OPTIONS)
     if not dictionary:
         writer = writer.option("parquet.enable.dictionary", "false")
-    if mode == "overwrite_partitions":
-        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    elif mode == "append":
+    if mode == "append":
         writer = writer.mode("append")
     else:
-        raise ValueError(f"unknown mode: {mode}")
+        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     # Opening a file costs more than starting a task, so let AQE keep small tasks apart.
     with conf_set(df.sparkSession, spark__sql__adaptive__coalescePartitions__minPartitionSize="64KB"):
         writer.partitionBy(*partitions).parquet(path)

@@ -18,16 +18,16 @@ PAYLOAD = (
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
-def members_of(text: Column) -> Column:
-    """Members of the one JSON object in a text as map of texts; NULL for anything else.
+def with_members(df: DataFrame) -> DataFrame:
+    """Add ``members``: the one JSON object in ``text`` as map of texts; NULL for anything else.
 
     Read inside brackets, because the JSON reader by itself stops after a first object
     and would not see that more follows.
     """
-    listed = F.from_json(
-        F.concat(F.lit("["), text, F.lit("]")), "array<map<string,string>>", {"allowSingleQuotes": "false"}
-    )
-    return F.when(F.size(listed) == 1, listed[0])
+    bracketed = F.concat(F.lit("["), F.col("text"), F.lit("]"))
+    listed = F.from_json(bracketed, "array<map<string,string>>", {"allowSingleQuotes": "false"})
+    only = F.when(F.size("listed") == 1, F.col("listed")[0])
+    return df.withColumn("listed", listed).withColumn("members", only).drop("listed")
 
 
 def cleanse(raw: DataFrame, received_at=None, offset_mode: str = "wall_clock") -> DataFrame:
@@ -39,8 +39,7 @@ def cleanse(raw: DataFrame, received_at=None, offset_mode: str = "wall_clock") -
     its column type is NULL here and unchanged in ``delivery_records``.
     """
     received = F.date_trunc("SECOND", as_of_column(received_at)).cast("timestamp_ntz")
-    decoded = raw.select("recordId", "data", decode(F.col("data")).alias("text"))
-    parsed = decoded.withColumn("members", members_of(F.col("text")))
+    parsed = with_members(raw.select("recordId", "data", decode(F.col("data")).alias("text")))
 
     # Members are taken out once, then only looked at.
     def member(key: str) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tripmill.streaming.load import start, write_batch
+from tripmill.streaming.load import start_batches, write_batch
 
 
 def stream_hourly(stream: DataFrame, event_col: str = "pickup_at", delay: str | None = None) -> DataFrame:
@@ -29,11 +29,12 @@ def stream_hourly(stream: DataFrame, event_col: str = "pickup_at", delay: str |
 
 
 def run_hourly(hours: DataFrame, sink: str, checkpoint: str, once: bool = True) -> StreamingQuery:
-    """Keep changed hours of each batch; ``current_hours`` reads the newest state."""
-    writer = hours.writeStream.outputMode("update").foreachBatch(
-        lambda batch, batch_id: write_batch(batch, sink, batch_id)
-    )
-    return start(writer, checkpoint, once)
+    """Keep the changed hours of each batch; ``current_hours`` reads the newest state.
+
+    A sink belongs to one stream, as batches are told apart by their number.
+    """
+    writer = hours.writeStream.outputMode("update")
+    return start_batches(writer, lambda rows, batch: write_batch(rows, sink, batch), checkpoint, once)
 
 
 def current_hours(updates: DataFrame) -> DataFrame:

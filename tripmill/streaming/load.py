@@ -2,12 +2,15 @@
 
 foreachBatch may run a batch again after a failure. Trips are inserted by key, so a
 repeat adds nothing; dead letters, late rows and ledger entries go to a partition named
-after the batch, which a repeat replaces.
+after the stream and the batch, which a repeat replaces. The stream's id lives in its
+checkpoint, so a stream started afresh never replaces what another one wrote.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import threading
+from collections.abc import Callable, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,12 +22,20 @@ from tripmill.operators.sinks import write_lake
 from tripmill.schema import STREAM_PARTITIONS, STREAM_TYPES
 from tripmill.streaming.cleanse import cleanse, failed_rows, good_rows
 
-BATCH = "batch_id"
+BATCH_COLUMNS = ("stream_id", "batch_id")
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
+class Batch(NamedTuple):
+    """What names a micro-batch across restarts."""
+
+    stream_id: str
+    batch_id: int
+
+
+def write_batch(df: DataFrame, path: str, batch: Batch) -> None:
     """Write one micro-batch under its own partition, replacing an earlier attempt."""
-    write_lake(df.withColumn(BATCH, F.lit(batch_id)), path, partitions=(BATCH,), layout="none")
+    named = df.withColumns({name: F.lit(value) for name, value in zip(BATCH_COLUMNS, batch, strict=True)})
+    write_lake(named, path, partitions=BATCH_COLUMNS, layout="none")
 
 
 def append_new(
@@ -47,6 +58,23 @@ def start(writer, checkpoint: str, once: bool) -> StreamingQuery:
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
+def start_batches(
+    writer, function: Callable[[DataFrame, Batch], None], checkpoint: str, once: bool
+) -> StreamingQuery:
+    """Run a function per micro-batch; it gets the rows and the batch's name."""
+    known = threading.Event()
+    stream: list[str] = []
+
+    def each(rows: DataFrame, batch_id: int) -> None:
+        known.wait()
+        function(rows, Batch(stream[0], batch_id))
+
+    query = start(writer.foreachBatch(each), checkpoint, once)
+    stream.append(str(query.id))
+    known.set()
+    return query
+
+
 def run_stream(
     raw_stream: DataFrame,
     sink: str,
@@ -59,16 +87,16 @@ def run_stream(
 ) -> StreamingQuery:
     """Cleanse envelopes; good rows to the keyed trip sink, failures to the dead-letter sink."""
 
-    def load(batch: DataFrame, batch_id: int) -> None:
-        records = cleanse(batch, received_at).persist()
+    def load(rows: DataFrame, batch: Batch) -> None:
+        records = cleanse(rows, received_at).persist()
         try:
             good = good_rows(records).withColumn("inserted_at", as_of_column(inserted_at))
             append_new(good.select(*STREAM_TYPES), sink, keys)
-            write_batch(failed_rows(records), bad_sink, batch_id)
+            write_batch(failed_rows(records), bad_sink, batch)
         finally:
             records.unpersist()
 
-    return start(raw_stream.writeStream.foreachBatch(load), checkpoint, once)
+    return start_batches(raw_stream.writeStream, load, checkpoint, once)
 
 
 def run_keyed_load(
@@ -84,8 +112,11 @@ def run_keyed_load(
     Reads the sink's key columns in every batch. For histories too large for that, use
     ``dedup_within`` on the stream, which keeps only the keys of a bounded delay.
     """
-    writer = stream.writeStream.foreachBatch(lambda batch, _: append_new(batch, sink, keys, partitions))
-    return start(writer, checkpoint, once)
+
+    def load(rows: DataFrame, _: Batch) -> None:
+        append_new(rows, sink, keys, partitions)
+
+    return start_batches(stream.writeStream, load, checkpoint, once)
 
 
 def dedup_within(
@@ -116,12 +147,12 @@ def run_file_load(
 ) -> StreamingQuery:
     """Load landed Parquet files and record each in the ledger after its rows are in."""
 
-    def load(batch: DataFrame, batch_id: int) -> None:
-        append_new(batch.drop("source_file"), sink, keys, partitions)
-        loaded = batch.select(F.col("source_file").alias("key")).distinct()
-        write_batch(ledger_entries(loaded, "streaming", dataset_name), ledger, batch_id)
+    def load(rows: DataFrame, batch: Batch) -> None:
+        append_new(rows.drop("source_file"), sink, keys, partitions)
+        loaded = rows.select(F.col("source_file").alias("key")).distinct()
+        write_batch(ledger_entries(loaded, "streaming", dataset_name), ledger, batch)
 
-    return start(files.writeStream.foreachBatch(load), checkpoint, once)
+    return start_batches(files.writeStream, load, checkpoint, once)
 
 
 def run_late_split(
@@ -140,19 +171,20 @@ def run_late_split(
     replayed batch is split as it was the first time.
     """
 
-    def split(batch: DataFrame, batch_id: int) -> None:
-        seen = read_if_exists(batch.sparkSession, marks)
+    def split(rows: DataFrame, batch: Batch) -> None:
+        seen = read_if_exists(rows.sparkSession, marks)
         newest = None
         if seen is not None:
-            newest = seen.where(F.col(BATCH) < batch_id).agg(F.max("newest")).first()[0]
+            earlier = (F.col("stream_id") == batch.stream_id) & (F.col("batch_id") < batch.batch_id)
+            newest = seen.where(earlier).agg(F.max("newest")).first()[0]
         bound = F.lit(None if newest is None else str(newest)).cast("timestamp_ntz")
         late = F.coalesce(F.col(event_col) < bound - F.expr(f"INTERVAL {delay}"), F.lit(False))
-        marked = batch.withColumn("late", late).persist()
+        marked = rows.withColumn("late", late).persist()
         try:
-            write_batch(marked.where(~F.col("late")).drop("late"), sink, batch_id)
-            write_batch(marked.where("late").drop("late"), late_sink, batch_id)
-            write_batch(marked.agg(F.max(event_col).alias("newest")), marks, batch_id)
+            write_batch(marked.where(~F.col("late")).drop("late"), sink, batch)
+            write_batch(marked.where("late").drop("late"), late_sink, batch)
+            write_batch(marked.agg(F.max(event_col).alias("newest")), marks, batch)
         finally:
             marked.unpersist()
 
-    return start(stream.writeStream.foreachBatch(split), checkpoint, once)
+    return start_batches(stream.writeStream, split, checkpoint, once)
