@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tests.conftest import at, plan_of, rows
 from tripmill.operators import load
 from tripmill.schema import TRIP_TYPES, ddl
-from tripmill.session import work_folder
+from tripmill.session import conf_set, work_folder
 
 KEYED = "vendorid int, pickup_datetime timestamp_ntz, pulocationid int, dolocationid int, n int"
 
@@ -53,9 +53,19 @@ def test_drop_repeats_keeps_rows_without_key(spark):
 def test_insert_new_meets_each_known_key_once(spark):
     """A key that fills the target reaches the join as one row per task."""
     target = keyed(spark, *[(1, "10:00:00", 1, 1, i) for i in range(50)])
-    plan = plan_of(load.insert_new(keyed(spark, (1, "10:00:00", 1, 1, 1)), target))
-    assert "LeftAnti" in plan and "NestedLoop" not in plan
-    assert "partial" in plan or "HashAggregate" in plan
+    batch = keyed(spark, (1, "10:00:00", 1, 1, 1), (1, "10:00:00", 1, 2, 1))
+    new = load.insert_new(batch, target, small_batch=load.within(batch, 10))
+    assert new.count() == 1
+    plan = plan_of(new)
+    assert "LeftAnti" in plan and "LeftSemi" in plan and "NestedLoop" not in plan
+    with conf_set(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        small, large = (plan_of(load.insert_new(batch, target, small_batch=s)) for s in (True, False))
+        assert "BroadcastHashJoin" in small and "LeftSemi" in small
+        assert "Broadcast" not in large and "SortMergeJoin" in large
+
+
+def test_within(spark):
+    assert load.within(spark.range(5), 5) and not load.within(spark.range(6), 5)
 
 
 def test_staged_load_twice(spark, tmp_path):

@@ -40,9 +40,18 @@ def has_null(keys: Sequence[str]) -> Column:
 
 
 def drop_repeats(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per complete key; rows with a NULL in the key are all kept."""
-    complete = batch.where(~has_null(keys)).dropDuplicates(list(keys))
-    return complete.unionByName(batch.where(has_null(keys)))
+    """One row per complete key; rows with a NULL in the key are all kept.
+
+    Incomplete rows get a number of their own as a further key, so they neither meet each
+    other nor crowd into one task.
+    """
+    own = F.when(has_null(keys), F.monotonically_increasing_id())
+    return batch.withColumn("__own", own).dropDuplicates([*keys, "__own"]).drop("__own")
+
+
+def within(df: DataFrame, rows: int) -> bool:
+    """Whether a frame has at most so many rows. Counts no further than that."""
+    return df.limit(rows + 1).count() <= rows
 
 
 def insert_new(
@@ -51,23 +60,43 @@ def insert_new(
     keys: Sequence[str] = TRIP_KEY,
     null_safe: bool = False,
     dedupe_batch: bool = False,
+    small_batch: bool = False,
 ) -> DataFrame:
     """Rows of ``batch`` whose key is not in ``target``.
 
     By default a key with a NULL matches nothing, so such rows always come back, and
-    repeats inside the batch stay. Only key columns of the target are read, and they are
-    reduced to distinct keys before the join: a key that holds a third of the target
-    meets it as one row, and AQE splits such a key on the batch side.
+    repeats inside the batch stay.
+
+    Only key columns of the target are read, and they are first cut to keys the batch has
+    and to one row per key. So a key that fills a third of the target meets the batch as
+    one row, and AQE splits such a key on the batch side. ``small_batch`` is for callers
+    that have counted the batch (see ``within``): its keys are then broadcast to the scan
+    of the target, and the history is not shuffled at all.
     """
     keys = list(keys)
     if dedupe_batch:
         batch = drop_repeats(batch, keys)
-    known = target.select(*keys)
+    wanted, known = batch.select(*keys).distinct(), target.select(*keys)
     if not null_safe:
-        return batch.join(known.where(~has_null(keys)).distinct(), keys, "left_anti")
-    known = known.distinct().toDF(*[f"__known_{k}" for k in keys])
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__known_{k}")) for k in keys])
-    return batch.join(known, same, "left_anti")
+        wanted, known = wanted.where(~has_null(keys)), known.where(~has_null(keys))
+    wanted = wanted.toDF(*[f"__wanted_{k}" for k in keys])
+    met = known.join(
+        F.broadcast(wanted) if small_batch else wanted,
+        same_keys(keys, "__wanted_", null_safe),
+        "left_semi",
+    ).distinct()
+    if not null_safe:
+        return batch.join(met, keys, "left_anti")
+    met = met.toDF(*[f"__met_{k}" for k in keys])
+    return batch.join(met, same_keys(keys, "__met_", null_safe), "left_anti")
+
+
+def same_keys(keys: Sequence[str], prefix: str, null_safe: bool) -> Column:
+    def same(key: str) -> Column:
+        other = F.col(f"{prefix}{key}")
+        return F.col(key).eqNullSafe(other) if null_safe else F.col(key) == other
+
+    return reduce(lambda a, b: a & b, [same(k) for k in keys])
 
 
 def pickup_span_of(target: DataFrame, batch: DataFrame) -> DataFrame:

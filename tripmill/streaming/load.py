@@ -17,12 +17,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tripmill.functions.times import as_of_column
-from tripmill.operators.load import drop_repeats, insert_new, ledger_entries, read_if_exists
+from tripmill.operators.load import drop_repeats, insert_new, ledger_entries, read_if_exists, within
 from tripmill.operators.sinks import write_lake
 from tripmill.schema import STREAM_PARTITIONS, STREAM_TYPES
 from tripmill.streaming.cleanse import cleanse, failed_rows, good_rows
 
 BATCH_COLUMNS = ("stream_id", "batch_id")
+# A batch of up to so many rows sends its keys to all executors (some tens of megabytes).
+BROADCAST_KEYS = 500_000
 
 
 class Batch(NamedTuple):
@@ -39,17 +41,21 @@ def write_batch(df: DataFrame, path: str, batch: Batch) -> None:
 
 
 def append_new(
-    batch: DataFrame,
+    rows: DataFrame,
     sink: str,
     keys: Sequence[str],
     partitions: Sequence[str] = STREAM_PARTITIONS,
 ) -> None:
     """Append rows of a batch whose key the sink lacks; repeats inside the batch go too."""
-    batch = drop_repeats(batch, keys)
-    known = read_if_exists(batch.sparkSession, sink)
-    if known is not None:
-        batch = insert_new(batch, known, keys)
-    write_lake(batch, sink, mode="append", partitions=partitions)
+    fresh = drop_repeats(rows, keys).persist()
+    try:
+        known = read_if_exists(rows.sparkSession, sink)
+        new = fresh
+        if known is not None:
+            new = insert_new(fresh, known, keys, small_batch=within(fresh, BROADCAST_KEYS))
+        write_lake(new, sink, mode="append", partitions=partitions)
+    finally:
+        fresh.unpersist()
 
 
 def start(writer, checkpoint: str, once: bool) -> StreamingQuery:
