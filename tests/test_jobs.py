@@ -1,0 +1,74 @@
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+from pyspark.errors import AnalysisException
+
+from tests.conftest import at, rows
+from tripmill import jobs
+from tripmill.operators.audit import failed_runs, latest_status
+from tripmill.plans import marts, project
+from tripmill.session import work_folder
+from tripmill.sources.landing import parse_landing_keys
+from tripmill.workload import queries as q
+from tripmill.workload import tables as t
+
+DAY = dt.timedelta(days=1)
+
+
+def raw_yellow(spark, path, n=62):
+    data = [(1, at("2024-01-01 08:00:00") + DAY * (i % 31), at("2024-01-01 08:10:00") + DAY * (i % 31), i % 5, 3, float(i)) for i in range(n)]
+    spark.createDataFrame(
+        data, "VendorID int, tpep_pickup_datetime timestamp_ntz, tpep_dropoff_datetime timestamp_ntz, PULocationID int, DOLocationID int, fare_amount double"
+    ).write.parquet(path)
+
+
+def test_monthly_job_with_audit(spark, tmp_path):
+    raw, lake, audit = f"{tmp_path}/", work_folder(spark, "lake"), work_folder(spark, "audit")
+    raw_yellow(spark, f"{raw}yellow_tripdata_2024-01.parquet")
+    for _ in range(2):
+        assert jobs.monthly_job(spark, raw, lake, "Yellow", 2024, 1, audit) == 62
+    with pytest.raises(AnalysisException):
+        jobs.monthly_job(spark, raw, lake, "green", 2024, 1, audit)
+    events = spark.read.parquet(audit)
+    assert {(r.status, r.record_count) for r in events.collect()} == {("STARTED", None), ("SUCCEEDED", 62), ("FAILED", None)}
+    assert [r[0] for r in rows(failed_runs(events))] == ["green_tripdata_2024-01"]
+    assert {r.status for r in latest_status(events).collect()} == {"SUCCEEDED", "FAILED"}
+
+
+def test_load_job_logs_an_empty_staging(spark, tmp_path):
+    audit, source = work_folder(spark, "audit"), f"{tmp_path}/none"
+    lake = q.lake_columns(t.trips(spark, "/root/testdata/sf0.001"))
+    lake.limit(0).write.parquet(source)
+    with pytest.raises(RuntimeError, match="no rows staged"):
+        jobs.load_job(spark, source, work_folder(spark, "final"), "yellow", "yellow_tripdata_2024-01", audit)
+    failure = spark.read.parquet(audit).where("status = 'FAILED'").first()
+    assert failure.stage == "load" and "no rows staged" in failure.details
+
+
+def test_upload_events(spark):
+    keys = spark.createDataFrame([("raw/green_tripdata_2024-02.parquet",), ("raw/notes.txt",)], "key string")
+    events = jobs.upload_events(parse_landing_keys(keys), at("10:00:00"))
+    assert [(r.pipeline_id, r.status, r.s3_input) for r in events.orderBy("status").collect()] == [
+        ("invalid_filename_raw/notes.txt", "FAILED", "raw/notes.txt"),
+        ("green_tripdata_2024-02", "STARTED", "raw/green_tripdata_2024-02.parquet"),
+    ]
+
+
+def test_arguments():
+    args = jobs.parse_arguments("--cab_type FHV --year 2024 --month 2 --raw_prefix r/ --dest_prefix d/".split())
+    assert (args.cab_type, args.month, args.coalesce) == ("fhv", 2, None)
+    with pytest.raises(SystemExit):
+        jobs.parse_arguments("--cab_type blue --year 2024 --month 2 --raw_prefix r/ --dest_prefix d/".split())
+
+
+@pytest.mark.parametrize("saved", [False, True])
+def test_model_project(spark, folder, saved):
+    names = q.source_views(spark, folder)
+    built = project.build(spark, names, as_of=t.AS_OF, streaming_days_back=30, baseline_date="2024-01-15", save_intermediate=saved)
+    assert {n.split("_")[0] for n in built} == {"stg", "int", "mart"} and len(built) == 15
+    for name in built:
+        spark.table(name).limit(1).collect()
+    expected = marts.busiest_zone(q.enriched_trips(spark, folder))
+    assert rows(spark.sql("SELECT grain, total_trips FROM mart_busiest_zone")) == rows(expected.select("grain", "total_trips"))

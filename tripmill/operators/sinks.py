@@ -86,6 +86,7 @@ def publish(models: dict[str, DataFrame | Callable[[], DataFrame]], layer: str,
         target = f"{layer}_{name}"
         if as_table:
             df.write.mode("overwrite").saveAsTable(target)
+            df.sparkSession.catalog.dropTempView(target)  # it would hide the table
         else:
             df.createOrReplaceTempView(target)
         names.append(target)

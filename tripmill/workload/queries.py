@@ -15,9 +15,10 @@ from tripmill.functions.times import (
     month_label as label_of,
     parse_event_time,
 )
+from tripmill.jobs import upload_events
 from tripmill.operators import audit, ingest, load, quality, reconcile
 from tripmill.operators.sinks import write_lake
-from tripmill.plans import cost, dashboards, marts, models, staging
+from tripmill.plans import cost, dashboards, marts, models, project, staging
 from tripmill.session import configure, work_folder
 from tripmill.sources.lake import lake_slice
 from tripmill.sources.landing import new_files, parse_landing_keys
@@ -185,6 +186,28 @@ def top_traffic_day(spark, folder):
     return marts.top_traffic_day(enriched_trips(spark, folder))
 
 
+def source_views(spark, folder) -> dict[str, str]:
+    """The tables as catalog sources; logical names and the views behind them."""
+    zone = t.zones(spark, folder).withColumnRenamed("location_id", "locationid")
+    sources = {
+        "trip_data": t.trips(spark, folder),
+        "taxi_zone_lookup": zone,
+        "taxi_streaming_trips": t.stream_trips(spark, folder),
+    }
+    for name, df in sources.items():
+        df.createOrReplaceTempView(f"source_{name}")
+    return {name: f"source_{name}" for name in sources}
+
+
+@query
+def published_marts(spark, folder):
+    """All models published over catalog sources, and a mart read by SQL."""
+    project.build(spark, source_views(spark, folder), AS_OF, MONTH_DAYS)
+    return spark.sql(
+        "SELECT series, hour, trips, round(fare_total, 2) AS fare_total FROM mart_stream_vs_baseline ORDER BY hour, series"
+    )
+
+
 # --- dashboards --------------------------------------------------------------------
 def hour_of_day_series(spark, folder, days_back=MONTH_DAYS):
     stream = marts.daily_streaming_trips(enriched_stream(spark, folder, days_back))
@@ -428,6 +451,12 @@ def filename_parse(spark, folder):
     return parse_landing_keys(t.table(spark, folder, "orders").select("o_orderkey", key.alias("key")))
 
 
+@query
+def upload_audit(spark, folder):
+    """Audit rows for the landed file names."""
+    return upload_events(filename_parse(spark, folder), AS_OF).select("pipeline_id", "stage", "status", "timestamp", "s3_input", "details")
+
+
 @query
 def new_files_ledger(spark, folder):
     """Events as landed files; views are in the ledger already, errors are no Parquet."""
