@@ -78,7 +78,12 @@ def latest_day(tz: DataFrame) -> DataFrame:
 
 
 def baseline_hourly(tz: DataFrame, baseline_date: dt.date | str | None = None) -> DataFrame:
-    """The hourly mart of one day: the given one, else the latest in the data."""
+    """The hourly mart of one day: the given one, else the latest in the data.
+
+    A given day reaches the scan as a range on the pickup time. The latest day is a
+    subquery, found anew at each read, and filters after the scan; a caller who can fix
+    the day first may pass ``latest_day(tz).first()[0]``.
+    """
     if baseline_date is not None:
         day = F.lit(str(baseline_date)).cast("date")
     else:

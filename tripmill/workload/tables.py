@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tripmill.plans import staging
 from tripmill.schema import TRIP_TYPES
@@ -15,18 +16,21 @@ from tripmill.sources.records import encode
 AS_OF = "2024-01-31 00:00:00"
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+# Schemas by path: a table's footers are looked at once, not by every query.
+SCHEMAS: dict[str, StructType] = {}
 
 
-EVENTS_SCHEMA = (
-    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
-)
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    path = f"{folder}/{name}.parquet"
+    if path not in SCHEMAS:
+        SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(SCHEMAS[path]).parquet(path)
 
 
 def events_stream(spark: SparkSession, folder: str) -> DataFrame:
+    schema = table(spark, folder, "events").schema
     # The pattern also fits a table stored as one file, which a plain path does not.
-    return spark.readStream.schema(EVENTS_SCHEMA).parquet(f"{folder}/events.parquet*")
+    return spark.readStream.schema(schema).parquet(f"{folder}/events.parquet*")
 
 
 def seconds(n: Column) -> Column:
