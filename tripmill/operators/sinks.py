@@ -56,7 +56,7 @@ def write_lake(
     else:
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     # Opening a file costs more than starting a task, so let AQE keep small tasks apart.
-    with conf_set(df.sparkSession, spark__sql__adaptive__coalescePartitions__minPartitionSize="64KB"):
+    with conf_set(df.sparkSession, spark__sql__adaptive__coalescePartitions__minPartitionSize="1KB"):
         writer.partitionBy(*partitions).parquet(path)
 
 
