@@ -36,7 +36,14 @@ def test_checks_on_nothing(spark):
 def test_row_checks_share_a_scan(spark, tmp_path):
     spark.range(5).selectExpr("id", "'Y' AS flag").write.parquet(f"{tmp_path}/t")
     checks = [quality.NotNull("id"), quality.NotNull("flag"), quality.Accepted("flag", ("Y", "N"))]
-    assert plan_of(quality.run_checks(spark.read.parquet(f"{tmp_path}/t"), checks)).count("FileScan") == 1
+    table = spark.read.parquet(f"{tmp_path}/t")
+    assert plan_of(quality.run_checks(table, checks)).count("FileScan") == 1
+    zones = spark.createDataFrame([(1,)], "zone bigint")
+    both = table.withColumn("other", table.id + 1)
+    related = [quality.Relationship(c, zones, "zone") for c in ("id", "other")]
+    found = quality.run_checks(both, related)
+    assert rows(found) == [("relationships", "id", 4), ("relationships", "other", 4)]
+    assert plan_of(found).split("== Initial Plan")[0].count("FileScan") == 1
 
 
 def test_freshness_and_sanity(spark):

@@ -88,7 +88,7 @@ def month_range(ts: Column, year: int, month: int) -> Column:
 RECORD_TIME = r"^(\d{4}-\d{1,2}-\d{1,2})\s+(\d{1,2}:\d{1,2}:\d{1,2})$"
 EVENT_TIME = (
     r"^(\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{1,2}:\d{1,2})(?:\.\d{1,6})?"
-    r"(Z|[+-]\d{2}:?[0-5]\d(?::?[0-5]\d(?:\.\d{1,6})?)?)$"
+    r"(?:Z|[+-]\d{2}:?[0-5]\d(?::?[0-5]\d(?:\.\d{1,6})?)?)$"
 )
 
 
@@ -103,17 +103,10 @@ def parse_event_time(text: Column, mode: str = "wall_clock") -> Column:
 
     ``wall_clock`` keeps the clock reading and drops the offset; ``utc`` converts.
     """
-    clock = F.try_to_timestamp(F.regexp_extract(text, EVENT_TIME, 1), F.lit("yyyy-M-d'T'H:m:s"))
     if mode == "wall_clock":
-        return clock.cast("timestamp_ntz")
-    if mode != "utc":
-        raise ValueError(f"unknown mode: {mode}")
-    offset = F.regexp_replace(F.regexp_extract(text, EVENT_TIME, 2), ":", "")
-    sign = F.when(F.substring(offset, 1, 1) == "-", -1).otherwise(1)
-
-    def part(position: int) -> Column:
-        return F.coalesce(F.substring(offset, position, 2).try_cast("int"), F.lit(0))
-
-    seconds = sign * (part(2) * 3600 + part(4) * 60 + part(6))
-    shift = F.when(offset == "Z", 0).otherwise(seconds)
-    return (clock - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), shift)).cast("timestamp_ntz")
+        clock = F.regexp_extract(text, EVENT_TIME, 1)
+        return F.try_to_timestamp(clock, F.lit("yyyy-M-d'T'H:m:s")).cast("timestamp_ntz")
+    if mode == "utc":
+        instant = F.when(text.rlike(EVENT_TIME), text).try_cast("timestamp")
+        return F.date_trunc("SECOND", instant).cast("timestamp_ntz")
+    raise ValueError(f"unknown mode: {mode}")

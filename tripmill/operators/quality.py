@@ -55,53 +55,61 @@ NAMES = {
 }
 
 
-def _row_checks(df: DataFrame, checks: Sequence) -> DataFrame:
-    """All row-level checks in one aggregate, turned into one row per check."""
-    counts = df.agg(*[F.count_if(c.failing()).alias(f"c{i}") for i, c in enumerate(checks)])
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(NAMES[type(c)]).alias("check"),
-                F.lit(c.column).alias("column"),
-                F.col(f"c{i}").alias("failures"),
-            )
-            for i, c in enumerate(checks)
-        ]
-    )
-    return counts.select(F.inline(rows))
+def _counted(df: DataFrame, checks: Sequence, failures: Sequence[Column]) -> DataFrame:
+    """One aggregate over ``df``, a figure per check, turned into one row per check."""
+    wide = df.agg(*[f.cast("bigint").alias(f"c{i}") for i, f in enumerate(failures)])
+    rows = [
+        F.struct(
+            F.lit(NAMES[type(c)]).alias("check"), F.lit(c.column).alias("column"), F.col(f"c{i}").alias("failures")
+        )
+        for i, c in enumerate(checks)
+    ]
+    return wide.select(F.inline(F.array(*rows)))
+
 
+def _value_counts(df: DataFrame, columns: Sequence[str], kind) -> DataFrame:
+    """Rows per column and non-NULL value, for several columns in one scan.
 
-def _unique(df: DataFrame, check: Unique) -> DataFrame:
-    per_value = df.where(F.col(check.column).isNotNull()).groupBy(check.column).count()
-    return per_value.agg(F.count_if(F.col("count") > 1).alias("failures"))
+    A frequent value reaches the shuffle as one row per task.
+    """
+    pairs = [F.struct(F.lit(c).alias("column"), F.col(c).cast(kind).alias("value")) for c in columns]
+    values = df.select(F.explode(F.array(*pairs)).alias("pair")).select("pair.*")
+    return values.where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count("*").alias("n"))
 
 
-def _relationship(df: DataFrame, check: Relationship) -> DataFrame:
-    """Rows are counted per value first, so a frequent value reaches the join as one row."""
-    child = df.where(F.col(check.column).isNotNull()).groupBy(F.col(check.column).alias("value")).count()
-    parent = check.parent.select(F.col(check.parent_column).alias("value")).distinct()
-    orphans = child.join(parent, "value", "left_anti")
-    return orphans.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("failures"))
+def _unique(df: DataFrame, checks: Sequence[Unique], kind) -> DataFrame:
+    counts = _value_counts(df, [c.column for c in checks], kind)
+    return _counted(counts, checks, [F.count_if((F.col("column") == c.column) & (F.col("n") > 1)) for c in checks])
+
+
+def _relationships(df: DataFrame, checks: Sequence[Relationship]) -> DataFrame:
+    """Checks against one parent column."""
+    parent = checks[0].parent.select(F.col(checks[0].parent_column).alias("value")).distinct()
+    counts = _value_counts(df, [c.column for c in checks], parent.schema["value"].dataType)
+    orphans = counts.join(parent, "value", "left_anti")
+    rows_of = [F.sum(F.when(F.col("column") == c.column, F.col("n"))) for c in checks]
+    return _counted(orphans, checks, [F.coalesce(n, F.lit(0)) for n in rows_of])
 
 
 def run_checks(df: DataFrame, checks: Sequence) -> DataFrame:
-    """``(check, column, failures)``. Null and accepted-value checks share one pass."""
+    """``(check, column, failures)``.
+
+    Null and accepted-value checks share one scan, unique checks one per column type, and
+    relationships one per parent.
+    """
     frames = []
     row_level = [c for c in checks if isinstance(c, NotNull | Accepted)]
     if row_level:
-        frames.append(_row_checks(df, row_level))
+        frames.append(_counted(df, row_level, [F.count_if(c.failing()) for c in row_level]))
+    by_type: dict = {}
+    by_parent: dict = {}
     for check in checks:
         if isinstance(check, Unique):
-            result = _unique(df, check)
+            by_type.setdefault(df.schema[check.column].dataType, []).append(check)
         elif isinstance(check, Relationship):
-            result = _relationship(df, check)
-        else:
-            continue
-        frames.append(
-            result.select(
-                F.lit(NAMES[type(check)]).alias("check"), F.lit(check.column).alias("column"), "failures"
-            )
-        )
+            by_parent.setdefault((id(check.parent), check.parent_column), []).append(check)
+    frames += [_unique(df, group, kind) for kind, group in by_type.items()]
+    frames += [_relationships(df, group) for group in by_parent.values()]
     return reduce(DataFrame.unionByName, frames)
 
 

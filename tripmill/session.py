@@ -16,6 +16,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # The JVM never compiles methods above this size; past it, wide projections run faster
+    # as many small generated methods than as one large interpreted one.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
