@@ -54,7 +54,7 @@ def test_insert_new_meets_each_known_key_once(spark):
     """A key that fills the target reaches the join as one row per task."""
     target = keyed(spark, *[(1, "10:00:00", 1, 1, i) for i in range(50)])
     batch = keyed(spark, (1, "10:00:00", 1, 1, 1), (1, "10:00:00", 1, 2, 1))
-    new = load.insert_new(batch, target, small_batch=load.within(batch, 10))
+    new = load.insert_new(batch, target, small_batch=True)
     assert new.count() == 1
     plan = plan_of(new)
     assert "LeftAnti" in plan and "LeftSemi" in plan and "NestedLoop" not in plan
@@ -64,10 +64,6 @@ def test_insert_new_meets_each_known_key_once(spark):
         assert "Broadcast" not in large and "SortMergeJoin" in large
 
 
-def test_within(spark):
-    assert load.within(spark.range(5), 5) and not load.within(spark.range(6), 5)
-
-
 def test_staged_load_twice(spark, tmp_path):
     source, final = f"{tmp_path}/staged", work_folder(spark, "final")
     staged(spark, 40).write.parquet(source)

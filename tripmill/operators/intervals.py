@@ -61,21 +61,20 @@ def first_following(
     """Add to each probe the first point at or after its time, as ``next_time`` and ``next_id``.
 
     NULL where no point follows; of points at one instant, the least id. Exact at any
-    skew: points shrink to one per instant, then to the first per second and the first
-    per day, and each window sees at most the instants of one second, the seconds of one
-    day, or the days of the calendar. Probe rows themselves never enter a window.
+    skew: points shrink to the first per instant, per second and per day, and each window
+    sees at most the instants of one second, the seconds of one day, or the days of the
+    calendar. Probe rows themselves never enter a window.
     """
     t, second, day = F.col("t"), F.col("second"), F.col("day")
     whole = F.date_trunc("SECOND", t).cast("timestamp_ntz") == t
 
-    instants = (
-        points.where(F.col(point_time).isNotNull())
-        .groupBy(F.col(point_time).alias("t"))
-        .agg(F.min(point_id).alias("id"))
-        .select("t", F.unix_timestamp(t).alias("second"), F.struct(t, F.col("id")).alias("hit"))
+    hits = points.where(F.col(point_time).isNotNull()).select(
+        F.col(point_time).alias("t"),
+        F.unix_timestamp(point_time).alias("second"),
+        F.struct(F.col(point_time).alias("t"), F.col(point_id).alias("id")).alias("hit"),
     )
     seconds = (
-        instants.groupBy("second")
+        hits.groupBy("second")
         .agg(F.min("hit").alias("hit"))
         .select("second", F.floor(second / DAY_SECONDS).alias("day"), "hit")
     )
@@ -89,7 +88,8 @@ def first_following(
         .withColumn("day", F.floor(second / DAY_SECONDS))
     )
     inside = times.where(~F.col("whole")).select("t", F.col("own_second").alias("second"))
-    busy = instants.join(inside.select("second").distinct(), "second", "left_semi")
+    busy = hits.join(inside.select("second").distinct(), "second", "left_semi")
+    busy = busy.groupBy("second", "t").agg(F.min("hit").alias("hit"))
     in_second = _next_hit(inside, busy, "second", "t").select("t", F.col("hit").alias("hit_second"))
     in_day = _next_hit(times.select("day", "second").distinct(), seconds, "day", "second")
     in_day = in_day.select("second", F.col("hit").alias("hit_day"))

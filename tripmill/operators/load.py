@@ -49,11 +49,6 @@ def drop_repeats(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     return batch.withColumn("__own", own).dropDuplicates([*keys, "__own"]).drop("__own")
 
 
-def within(df: DataFrame, rows: int) -> bool:
-    """Whether a frame has at most so many rows. Counts no further than that."""
-    return df.limit(rows + 1).count() <= rows
-
-
 def insert_new(
     batch: DataFrame,
     target: DataFrame,
@@ -70,8 +65,8 @@ def insert_new(
     Only key columns of the target are read, and they are first cut to keys the batch has
     and to one row per key. So a key that fills a third of the target meets the batch as
     one row, and AQE splits such a key on the batch side. ``small_batch`` is for callers
-    that have counted the batch (see ``within``): its keys are then broadcast to the scan
-    of the target, and the history is not shuffled at all.
+    that have counted the batch: its keys are then broadcast to the scan of the target,
+    and the history is not shuffled at all.
     """
     keys = list(keys)
     if dedupe_batch:

@@ -49,8 +49,7 @@ def parse_landing_keys(df: DataFrame, key_col: str = "key") -> DataFrame:
         part[0].alias("cab_type"),
         part[1].alias("year"),
         part[2].alias("month"),
-        F.coalesce(key.rlike(LANDING_KEY), F.lit(False)).alias("valid"),
-    )
+    ).withColumn("valid", F.col("cab_type").isNotNull())
     name = F.concat(F.col("cab_type"), F.lit("_tripdata_"), F.col("year"), F.lit("-"), F.col("month"))
     return parsed.select(
         "*",

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tripmill.functions.times import as_of_column
-from tripmill.operators.load import drop_repeats, insert_new, ledger_entries, read_if_exists, within
+from tripmill.operators.load import drop_repeats, insert_new, ledger_entries, read_if_exists
 from tripmill.operators.sinks import write_lake
 from tripmill.schema import STREAM_PARTITIONS, STREAM_TYPES
 from tripmill.streaming.cleanse import cleanse, failed_rows, good_rows
@@ -52,7 +52,7 @@ def append_new(
         known = read_if_exists(rows.sparkSession, sink)
         new = fresh
         if known is not None:
-            new = insert_new(fresh, known, keys, small_batch=within(fresh, BROADCAST_KEYS))
+            new = insert_new(fresh, known, keys, small_batch=fresh.count() <= BROADCAST_KEYS)
         write_lake(new, sink, mode="append", partitions=partitions)
     finally:
         fresh.unpersist()
