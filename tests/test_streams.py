@@ -191,6 +191,23 @@ def test_file_load_reads_each_file_once(spark):
     assert run() == (4, 3)
 
 
+def test_load_reads_only_partitions_of_the_batch(spark):
+    sink = work_folder(spark, "trips")
+    batches = [
+        [("a", "10:00:00", 1.0), ("b", "11:00:00", 1.0), ("c", "2024-01-03 10:00:00", 1.0)],
+        [("b", "11:00:00", 1.0), ("b", "12:00:00", 1.0), ("d", "10:30:00", 1.0)],
+    ]
+    for trips in batches:
+        landing = work_folder(spark, "landing")
+        trips_file(spark, landing, *trips)
+        rows_in = spark.read.parquet(landing)
+        load.append_new(rows_in, sink, ["trip_id"], key_fixes_partition=True)
+    assert [r[0] for r in rows(spark.read.parquet(sink).select("trip_id"))] == ["a", "b", "c", "d"]
+    known = load.in_partitions_of(rows_in, spark.read.parquet(sink), ["year", "month", "day", "hour"])
+    assert [r[0] for r in rows(known.select("trip_id"))] == ["a", "b", "d"]
+    assert "day#" in plan_of(known).split("PartitionFilters: [")[1].split("]")[0]
+
+
 def test_late_rows_go_aside(spark):
     source, sink, late, marks = (work_folder(spark, n) for n in ("in", "sink", "late", "marks"))
     checkpoint = work_folder(spark, "checkpoint")

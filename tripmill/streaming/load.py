@@ -25,6 +25,8 @@ from tripmill.streaming.cleanse import cleanse, failed_rows, good_rows
 BATCH_COLUMNS = ("stream_id", "batch_id")
 # A batch of up to so many rows sends its keys to all executors (some tens of megabytes).
 BROADCAST_KEYS = 500_000
+# Partition columns with more values than this in a batch do not prune the sink.
+PRUNING_VALUES = 1_000
 
 
 class Batch(NamedTuple):
@@ -40,18 +42,40 @@ def write_batch(df: DataFrame, path: str, batch: Batch) -> None:
     write_lake(named, path, partitions=BATCH_COLUMNS, layout="none")
 
 
+def in_partitions_of(batch: DataFrame, known: DataFrame, partitions: Sequence[str]) -> DataFrame:
+    """The part of a sink whose partition values, column by column, occur in the batch.
+
+    The values become literals, which prune folders. A column with more than
+    ``PRUNING_VALUES`` values in the batch is left open.
+    """
+    sizes = batch.agg(*[F.count_distinct(c).alias(c) for c in partitions]).first()
+    few = [c for c in partitions if sizes[c] <= PRUNING_VALUES]
+    if few:
+        values = batch.agg(*[F.collect_set(c).alias(c) for c in few]).first()
+        for c in few:
+            known = known.where(F.col(c).isin(values[c]) | F.col(c).isNull())
+    return known
+
+
 def append_new(
     rows: DataFrame,
     sink: str,
     keys: Sequence[str],
     partitions: Sequence[str] = STREAM_PARTITIONS,
+    key_fixes_partition: bool = False,
 ) -> None:
-    """Append rows of a batch whose key the sink lacks; repeats inside the batch go too."""
+    """Append rows of a batch whose key the sink lacks; repeats inside the batch go too.
+
+    The whole sink is checked, unless the caller vouches that rows of one key always fall
+    into one partition; then only partitions the batch touches are read.
+    """
     fresh = drop_repeats(rows, keys).persist()
     try:
         known = read_if_exists(rows.sparkSession, sink)
         new = fresh
         if known is not None:
+            if key_fixes_partition:
+                known = in_partitions_of(fresh, known, partitions)
             new = insert_new(fresh, known, keys, small_batch=fresh.count() <= BROADCAST_KEYS)
         write_lake(new, sink, mode="append", partitions=partitions)
     finally:
@@ -89,6 +113,7 @@ def run_stream(
     keys: Sequence[str] = ("trip_id",),
     received_at=None,
     inserted_at=None,
+    key_fixes_partition: bool = False,
     once: bool = True,
 ) -> StreamingQuery:
     """Cleanse envelopes; good rows to the keyed trip sink, failures to the dead-letter sink."""
@@ -97,7 +122,7 @@ def run_stream(
         records = cleanse(rows, received_at).persist()
         try:
             good = good_rows(records).withColumn("inserted_at", as_of_column(inserted_at))
-            append_new(good.select(*STREAM_TYPES), sink, keys)
+            append_new(good.select(*STREAM_TYPES), sink, keys, STREAM_PARTITIONS, key_fixes_partition)
             write_batch(failed_rows(records), bad_sink, batch)
         finally:
             records.unpersist()
@@ -111,16 +136,18 @@ def run_keyed_load(
     checkpoint: str,
     keys: Sequence[str] = ("trip_id",),
     partitions: Sequence[str] = STREAM_PARTITIONS,
+    key_fixes_partition: bool = False,
     once: bool = True,
 ) -> StreamingQuery:
     """Append stream rows whose key was never loaded, checked against all of the sink.
 
-    Reads the sink's key columns in every batch. For histories too large for that, use
+    Reads the sink's key columns in every batch, or with ``key_fixes_partition`` those of
+    the partitions the batch touches. For histories too large even for that, use
     ``dedup_within`` on the stream, which keeps only the keys of a bounded delay.
     """
 
     def load(rows: DataFrame, _: Batch) -> None:
-        append_new(rows, sink, keys, partitions)
+        append_new(rows, sink, keys, partitions, key_fixes_partition)
 
     return start_batches(stream.writeStream, load, checkpoint, once)
 
@@ -149,12 +176,13 @@ def run_file_load(
     keys: Sequence[str] = ("trip_id",),
     partitions: Sequence[str] = STREAM_PARTITIONS,
     dataset_name: str = "streaming_trips",
+    key_fixes_partition: bool = False,
     once: bool = True,
 ) -> StreamingQuery:
     """Load landed Parquet files and record each in the ledger after its rows are in."""
 
     def load(rows: DataFrame, batch: Batch) -> None:
-        append_new(rows.drop("source_file"), sink, keys, partitions)
+        append_new(rows.drop("source_file"), sink, keys, partitions, key_fixes_partition)
         loaded = rows.select(F.col("source_file").alias("key")).distinct()
         write_batch(ledger_entries(loaded, "streaming", dataset_name), ledger, batch)
 
