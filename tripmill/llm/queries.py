@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tripmill.llm import licenses, sharding, url_rules
+from tripmill.llm import licenses, packing, sharding, url_rules
 from tripmill.llm.common import table
 
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -36,3 +38,8 @@ def op3_license_scan(spark, sf_dir):
 def op9_url_rules(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_rules.judge(pages, url_rules.contract_rules(spark)).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query
+def op5_best_fit_packing(spark, sf_dir):
+    return packing.pack_documents(table(spark, sf_dir, "documents"), TOKENIZER)
