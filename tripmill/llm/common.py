@@ -45,8 +45,11 @@ def batches_of(columns: dict[str, list], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, label: str, per_class: int, max_chars: int) -> list[tuple[str, int]]:
-    """Labelled texts to fit on: at most ``per_class`` of each label, none of them held out.
+def training_rows(docs: DataFrame, labels: DataFrame, label: str, per_class: int, max_chars: int) -> list[tuple[str, int, float]]:
+    """Labelled texts to fit on, as ``(text, label, rows it stands for)``.
+
+    At most ``per_class`` of each label, none of them held out. The third value makes the
+    sample weigh as the labels do among all rows that may be learnt from.
 
     The choice follows a hash of the id and so does not depend on how rows are split. Rows
     without a label, an id or a text, and texts over ``max_chars``, are not learnt from; an
@@ -59,11 +62,13 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, per_class: int
         .agg(F.max(label).cast("int").alias("__label"))
         .where(~held_out(F.col("doc_id")))
     )
+    totals = {r["__label"]: r["n"] for r in known.groupBy("__label").agg(F.count("*").alias("n")).collect()}
     short = docs.select("doc_id", "text").where(F.col("text").isNotNull() & (F.length("text") <= max_chars))
-    sample = None
-    for value in (0, 1):
+    out = []
+    for value, total in sorted(totals.items()):
         # Twice as many ids as texts wanted, as some texts are too long to be learnt from.
         ids = known.where(F.col("__label") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * per_class)
         part = short.join(F.broadcast(ids), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(per_class)
-        sample = part if sample is None else sample.unionByName(part)
-    return [(r["text"], r["__label"]) for r in sample.select("text", "__label").collect()]
+        found = [r["text"] for r in part.select("text").collect()]
+        out += [(text, value, total / len(found)) for text in found]
+    return out

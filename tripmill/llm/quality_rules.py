@@ -20,12 +20,12 @@ from pyspark.sql import functions as F
 
 from tripmill.llm.common import texts, training_rows
 
-WORD_BUCKETS = 4096
-CHAR_BUCKETS = 2048
+WORD_BUCKETS = 2048
+CHAR_BUCKETS = 1024
 CHAR_LENGTHS = (1, 2, 3)
 KEEP_SCORE = 0.3
 # Bounds of the training sample.
-ROWS_PER_CLASS = 1500
+ROWS_PER_CLASS = 1000
 MAX_CHARS = 6000
 
 SYMBOLS = b"#*$%&|<>"
@@ -107,6 +107,7 @@ def word_buckets(words: list[bytes], memo: WordBuckets) -> tuple[np.ndarray, np.
     """Buckets of the words and of the pairs of neighbours."""
     codes = np.fromiter(map(memo.__getitem__, words), np.uint32, len(words))
     pairs = codes[:-1] * np.uint32(2654435761) + codes[1:]
+    pairs[codes[:-1] == codes[1:]] = 0  # a word said twice is one kind of pair, whatever the word
     shift = np.uint32(32 - WORD_BUCKETS.bit_length() + 1)
     return (codes * np.uint32(2654435761)) >> shift, (pairs * np.uint32(2246822519)) >> shift
 
@@ -141,7 +142,7 @@ class NgramModel:
         return 1 / (1 + np.exp(-np.clip(self.scale * raw + self.shift, -30, 30)))
 
 
-def fit_logistic(rows: np.ndarray, labels: np.ndarray, weights: np.ndarray, l2: float = 1e-4, steps: int = 300) -> tuple[np.ndarray, float]:
+def fit_logistic(rows: np.ndarray, labels: np.ndarray, weights: np.ndarray, l2: float = 1e-4, steps: int = 200) -> tuple[np.ndarray, float]:
     """Weighted logistic regression by accelerated full-batch gradient steps."""
     w = np.zeros(rows.shape[1], np.float32)
     ahead, bias, bias_ahead = w.copy(), 0.0, 0.0
@@ -174,26 +175,26 @@ def platt(raw: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> tuple[flo
     return float(theta[0]), float(theta[1])
 
 
-def fit(sample: list[tuple[str, int]]) -> NgramModel:
-    """Fit on four fifths of the sample, calibrate on the rest.
+def fit(sample: list[tuple[str, int, float]]) -> NgramModel:
+    """Fit on four fifths of the sample, classes counting equally; calibrate on the rest.
 
-    Classes count equally in the fit. A sample with fewer than two labels gives a model
-    whose score is that label for every text, or 1 without any rows.
+    The calibration weighs rows as their labels weigh in the corpus. A sample with fewer than
+    two labels gives a model whose score is that label for every text, or 1 without any rows.
     """
-    labels = np.array([y for _, y in sample], np.float32)
+    labels = np.array([y for _, y, _ in sample], np.float32)
     size = 2 * WORD_BUCKETS + len(CHAR_LENGTHS) * CHAR_BUCKETS
     if len(set(labels.tolist())) < 2:
         return NgramModel(np.zeros(size, np.float32), -30.0 if len(labels) and labels[0] == 0 else 30.0)
     memo = WordBuckets()
-    rows = np.stack([features(text.encode(), memo) for text, _ in sample])
-    weight = np.where(labels == 1, len(labels) / labels.sum(), len(labels) / (1 - labels).sum())
-    apart = np.array([zlib.crc32(text.encode()) % 5 == 1 for text, _ in sample])
+    rows = np.stack([features(text.encode(), memo) for text, _, _ in sample])
+    apart = np.array([zlib.crc32(text.encode()) % 5 == 1 for text, _, _ in sample])
     if len(set(labels[apart].tolist())) < 2 or len(set(labels[~apart].tolist())) < 2:
         apart = np.zeros(len(labels), bool)
-    w, bias = fit_logistic(rows[~apart], labels[~apart], weight[~apart])
-    model = NgramModel(w, bias)
+    equal = np.where(labels == 1, len(labels) / labels.sum(), len(labels) / (1 - labels).sum())
+    model = NgramModel(*fit_logistic(rows[~apart], labels[~apart], equal[~apart]))
     check = apart if apart.any() else ~apart
-    model.scale, model.shift = platt(model.raw(rows[check]), labels[check], weight[check])
+    natural = np.array([w for _, _, w in sample])
+    model.scale, model.shift = platt(model.raw(rows[check]), labels[check], (natural / natural.mean())[check])
     return model
 
 
