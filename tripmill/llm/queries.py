@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmill.llm import licenses, packing, quality_network, quality_rules, sharding, url_rules
+from tripmill.llm import licenses, packing, quality_network, quality_rules, sharding, toxicity, url_rules
 from tripmill.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -53,3 +53,8 @@ def op10_quality_rules(spark, sf_dir):
 @query
 def op6_quality_network(spark, sf_dir):
     return quality_network.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op8_toxicity_network(spark, sf_dir):
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
