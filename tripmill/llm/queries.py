@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tripmill.llm import licenses, packing, quality_network, quality_rules, sharding, toxicity, url_rules
+from tripmill.llm import licenses, packing, quality_network, quality_rules, sharding, simhash, toxicity, url_rules
 from tripmill.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -58,3 +59,9 @@ def op6_quality_network(spark, sf_dir):
 @query
 def op8_toxicity_network(spark, sf_dir):
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op1_simhash_components(spark, sf_dir):
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hexadecimal(F.col("fingerprint")).alias("fingerprint"), "component_id")
