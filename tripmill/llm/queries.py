@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import licenses, packing, quality_network, quality_rules, sharding, simhash, toxicity, url_rules
+from tripmill.llm import decontamination, licenses, packing, quality_network, quality_rules, sharding, simhash, toxicity, url_rules
 from tripmill.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -65,3 +65,8 @@ def op8_toxicity_network(spark, sf_dir):
 def op1_simhash_components(spark, sf_dir):
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hexadecimal(F.col("fingerprint")).alias("fingerprint"), "component_id")
+
+
+@query
+def op7_benchmark_phrases(spark, sf_dir):
+    return decontamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
