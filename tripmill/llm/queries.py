@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import decontamination, licenses, packing, quality_network, quality_rules, sharding, simhash, toxicity, url_rules
+from tripmill.llm import decontamination, licenses, packing, quality_network, quality_rules, repeats, sharding, simhash, toxicity, url_rules
 from tripmill.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -70,3 +70,8 @@ def op1_simhash_components(spark, sf_dir):
 @query
 def op7_benchmark_phrases(spark, sf_dir):
     return decontamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op4_suffix_array_dedup(spark, sf_dir):
+    return repeats.report(table(spark, sf_dir, "documents"))

@@ -329,7 +329,7 @@ def fit(sample: list[tuple[str, int, float]]) -> GatedNetwork:
     return net
 
 
-def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def scored(docs: DataFrame, labels: DataFrame, column: str = "toxicity") -> DataFrame:
     """``docs`` with a last column ``toxicity``, the probability that label toxic is 1.
 
     Columns stay as they are, but an input column of that name is replaced; every row is
@@ -337,8 +337,8 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     without words. Without labelled rows every score is near 0. No rows give no rows.
     """
     net = fit(training_rows(docs, labels, "toxic", ROWS_PER_CLASS, MAX_CHARS))
-    docs = docs.drop("toxicity")
-    out = docs.withColumn("toxicity", F.lit(0.0)).schema
+    docs = docs.drop(column)
+    out = docs.withColumn(column, F.lit(0.0)).schema
 
     def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -362,3 +362,8 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
         F.col("toxicity").alias("score"),
         (F.col("toxicity") >= PREDICT_SCORE).cast("int").alias("predicted"),
     )
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, least: float = PREDICT_SCORE) -> DataFrame:
+    """``docs`` without the rows that score ``least`` or more; columns stay as they are."""
+    return scored(docs, labels, "__toxicity").where(F.col("__toxicity") < least).drop("__toxicity")
