@@ -91,12 +91,12 @@ def candidates(docs: DataFrame, items: DataFrame, window: int) -> DataFrame:
     """Per document the items it may hold, with the offsets to compare them at.
 
     A window that occurs brings both of its rarest places to one offset, so one alone is only
-    enough for items of a single word.
+    enough for windows of a single word.
     """
     met = offsets(docs, items, window).groupBy("doc_id", "tie", "item", "offset").agg(F.countDistinct("at").alias("n"))
     return (
         met.join(items, "item")
-        .where((F.col("n") >= 2) | (F.size("words") == 1))
+        .where((F.col("n") >= 2) | (F.least(F.lit(window), F.size("words")) == 1))
         .groupBy("doc_id", "tie")
         .agg(F.collect_list(F.struct("item_id", "offset", "words")).alias("tests"))
     )
