@@ -90,3 +90,20 @@ def test_audit(spark):
     report = {(r.stage_subject, r.month, r.cab_type, r.details) for r in audit.stage_report(events).withColumnRenamed("subject", "stage_subject").collect()}
     assert ("[FAILED] yellow_tripdata_2024-01 at load", "2024-01", "yellow", '{"error": "disk"}') in report
     assert ("[STARTED] invalid_filename_x at load", "N/A-N/A", "N/A", None) in report
+
+
+def test_values_wider_than_the_parents_type_are_orphans(spark):
+    parent = spark.createDataFrame([(1,), (2,)], "location_id int")
+    df = spark.createDataFrame([(1,), (3_000_000_000,), (None,), (7,)], "zone bigint")
+    found = quality.run_checks(df, [quality.Relationship("zone", parent, "location_id")])
+    assert found.first()["failures"] == 2
+
+
+def test_change_texts_round_ties_to_even(spark):
+    from pyspark.sql import functions as F
+
+    from tripmill.functions.numbers import arrow_percent_text
+
+    df = spark.createDataFrame([(401, 400), (403, 400), (1, 0), (398, 400), (14_000, 400)], "a int, b int")
+    texts = [r[0] for r in df.select(arrow_percent_text(F.col("a"), F.col("b"))).collect()]
+    assert texts == ["\U0001f53c 0.2%", "\U0001f53c 0.8%", "N/A", "\U0001f53d -0.5%", "\U0001f53c 3400.0%"]

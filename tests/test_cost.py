@@ -94,3 +94,43 @@ def test_no_nested_loops(spark):
     h = history(spark, (1, at("10:00:10"), at("10:01:30")))
     plan = plan_of(cost.usage_cost(h, minutes(spark, at("10:00:00")), cost.inline_ids(spark, [1], "bigint")))
     assert "NestedLoop" not in plan and "Cartesian" not in plan and "Python" not in plan
+
+
+def test_open_ended_history_and_selection(spark):
+    """One interval of ten years and one without end neither fail nor make rows outside the minutes."""
+    history = spark.createDataFrame(
+        [
+            ("a", at("10:00:10"), at("10:02:30")),
+            ("b", at("2015-01-01 00:00:00"), at("2025-01-01 00:00:00")),
+            ("c", at("10:01:00"), at("9999-12-31 23:59:59")),
+        ],
+        "query_id string, start_time timestamp_ntz, end_time timestamp_ntz",
+    )
+    metering = spark.createDataFrame(
+        [(at(f"10:{m:02d}:00"), at(f"10:{m + 1:02d}:00"), 60) for m in range(5)],
+        "start_time timestamp_ntz, end_time timestamp_ntz, charged_seconds int",
+    )
+    for chosen in (["a"], ["a", "c"]):
+        ids = cost.inline_ids(spark, chosen)
+        selected = cost.selected_queries(history, ids)
+        minutes = cost.billed_minutes(metering, selected)
+        concurrency = cost.minute_concurrency(minutes, history, ids)
+        got = {r.minute_start.minute: (r.running_all, r.running_my) for r in concurrency.collect()}
+        c = int("c" in chosen)
+        want = {0: (2, 1), 1: (3, 1 + c), 2: (3, 1 + c), 3: (2, c), 4: (2, c)}
+        assert got == {m: n for m, n in want.items() if m in got} and len(got) >= 3
+        assert cost.usage_cost(history, metering, ids).count() == len(chosen)
+    none = cost.inline_ids(spark, ["nobody"])
+    assert cost.usage_cost(history, metering, none).count() == 0
+
+
+def test_history_is_cut_at_the_scan(spark, tmp_path):
+    from tripmill.workload import tables as t
+
+    folder, path = "/root/testdata/sf0.001", f"{tmp_path}/history"
+    t.query_history(spark, folder).write.parquet(path)
+    history, ids = spark.read.parquet(path), t.chosen_queries(spark, folder).limit(1)
+    minutes = cost.billed_minutes(t.metering(spark, folder), cost.selected_queries(history, ids))
+    plan = plan_of(cost.minute_concurrency(minutes, history, ids))
+    pushed = plan.split("PushedFilters: [")[1].split("ReadSchema")[0]
+    assert "LessThan(start_time" in plan and "GreaterThan(end_time" in plan, pushed

@@ -6,7 +6,7 @@ import pytest
 from pyspark.errors import PySparkException
 
 from tests.conftest import at, plan_of, rows
-from tripmill.plans import dashboards, marts, models
+from tripmill.plans import dashboards, marts, models, staging
 from tripmill.session import conf_set
 from tripmill.workload import queries as q
 from tripmill.workload import tables as t
@@ -67,6 +67,44 @@ def test_baseline_of_given_day_is_pushed_down(spark, tmp_path):
     assert "tip_amount" not in plan.split("ReadSchema")[1].split(">")[0]
 
 
+def filters_of(df) -> list[str]:
+    """The partition filters of each scan."""
+    return [scan.split("]")[0] for scan in plan_of(df).split("PartitionFilters: [")[1:]]
+
+
+def test_date_bound_marts_read_their_partitions_only(spark, tmp_path):
+    small = "/root/testdata/sf0.001"
+    lake, sink = f"{tmp_path}/lake", f"{tmp_path}/sink"
+    t.trips(spark, small).write.partitionBy("cab_type", "year", "month", "day").parquet(lake)
+    t.stream_trips(spark, small).write.partitionBy("year", "month", "day", "hour").parquet(sink)
+    tz = models.trip_zone(staging.stg_trips(spark.read.parquet(lake)), t.zones(spark, small))
+    whole = q.enriched_trips(spark, small)
+    newest = marts.newest_day(tz)
+    assert newest == marts.latest_day(whole).first()[0]
+    chosen = marts.top_traffic_day(tz)
+    stream = staging.stg_stream(spark.read.parquet(sink))
+    for df in (
+        marts.baseline_hourly(tz, "2024-01-15"),
+        marts.baseline_hourly(tz, newest),
+        marts.baseline_hourly(tz),
+        dashboards.day_trips(tz, chosen),
+        dashboards.simulate_today(tz, chosen, "2024-02-01"),
+    ):
+        assert any(all(part in scan for part in ("year#", "month#", "day#")) for scan in filters_of(df))
+    trailing = models.streaming_enriched(stream, t.zones(spark, small), "2024-01-31", 3)
+    assert any("make_date" in scan for scan in filters_of(trailing))
+    figures = ["hour", "trips", "round(fare_total, 4)"]
+    for day in (None, newest, "2024-01-15"):
+        assert rows(marts.baseline_hourly(tz, day).selectExpr(*figures)) == rows(marts.baseline_hourly(whole, day).selectExpr(*figures))
+    assert trailing.count() == models.streaming_enriched(t.staged_stream(spark, small).drop(*models.PARTS), t.zones(spark, small), "2024-01-31", 3).count()
+
+
+def test_hourly_marts_sort_once(spark):
+    from tripmill.workload.queries import REGISTRY
+
+    assert plan_of(REGISTRY["stream_vs_baseline"](spark, "/root/testdata/sf0.001")).count("Sort [") <= 1
+
+
 def test_streaming_enriched_has_no_upper_bound(spark):
     stream = spark.createDataFrame(
         [(str(i), at(p), at(p), 1, 1, 1, 1.0, 1, at(p), at(p), at(p)) for i, p in

@@ -23,7 +23,8 @@ def arrow_percent_text(current: Column, base: Column) -> Column:
     """An up or down mark before the change, without thousands separators; or ``N/A``."""
     change = percent_change(current, base)
     mark = F.when(change >= 0, "\U0001f53c").otherwise("\U0001f53d")
-    text = F.concat(mark, F.lit(" "), F.format_string("%.1f%%", change))
+    # A number format rounds ties to even, where format_string would round them up.
+    text = F.concat(mark, F.lit(" "), F.call_function("format_number", change, F.lit("0.0")), F.lit("%"))
     return F.when(change.isNull(), "N/A").otherwise(text)
 
 

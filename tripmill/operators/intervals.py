@@ -13,9 +13,15 @@ def bucket_of(ts: Column, width: int) -> Column:
     return F.floor(F.unix_timestamp(ts) / width)
 
 
-def _per_bucket(df: DataFrame, start: str, end: str, width: int, first_name: str) -> DataFrame:
-    """One row per bucket an interval touches, with the bucket it starts in."""
-    low, high = bucket_of(F.col(start), width), bucket_of(F.col(end), width)
+def _per_bucket(
+    df: DataFrame, start: str, end: str, width: int, first_name: str, within: tuple[Column, Column] | None = None
+) -> DataFrame:
+    """One row per bucket an interval touches inside ``within``, with the first of them."""
+    begin, stop = F.col(start), F.col(end)
+    if within:
+        begin, stop = F.greatest(begin, within[0]), F.least(stop, within[1])
+        df = df.where((F.col(start) < within[1]) & (F.col(end) > within[0]))
+    low, high = bucket_of(begin, width), bucket_of(stop, width)
     return df.withColumn(first_name, low).withColumn("bucket", F.explode(F.sequence(low, high)))
 
 
@@ -25,6 +31,7 @@ def overlap_join(
     left_span: tuple[str, str] = ("start_time", "end_time"),
     right_span: tuple[str, str] = ("minute_start", "minute_end"),
     width: int = 60,
+    within: tuple[Column, Column] | None = None,
 ) -> DataFrame:
     """Pairs with left.start < right.end and left.end > right.start.
 
@@ -32,10 +39,13 @@ def overlap_join(
     an equi join that Spark can shuffle and AQE can split where a bucket is hot. A pair
     meeting in several buckets is kept only in the later of its two start buckets, so no
     distinct is needed. Column names of the two sides must differ.
+
+    ``within`` are two instants that all of the right side lies between. Left intervals
+    outside are left out at the scan, and longer ones cut into buckets only in between.
     """
     lo, hi = (F.col(c) for c in left_span)
     ro, rh = (F.col(c) for c in right_span)
-    pairs = _per_bucket(left, *left_span, width, "__left_first").join(
+    pairs = _per_bucket(left, *left_span, width, "__left_first", within).join(
         _per_bucket(right, *right_span, width, "__right_first"), "bucket"
     )
     owner = F.greatest("__left_first", "__right_first")

@@ -55,7 +55,6 @@ def insert_new(
     keys: Sequence[str] = TRIP_KEY,
     null_safe: bool = False,
     dedupe_batch: bool = False,
-    small_batch: bool = False,
 ) -> DataFrame:
     """Rows of ``batch`` whose key is not in ``target``.
 
@@ -64,9 +63,9 @@ def insert_new(
 
     Only key columns of the target are read, and they are first cut to keys the batch has
     and to one row per key. So a key that fills a third of the target meets the batch as
-    one row, and AQE splits such a key on the batch side. ``small_batch`` is for callers
-    that have counted the batch: its keys are then broadcast to the scan of the target,
-    and the history is not shuffled at all.
+    one row, and AQE splits such a key on the batch side. Nothing is forced: where the
+    batch's keys are small in bytes, Spark sends them to the scan of the target, and the
+    history is not shuffled at all.
     """
     keys = list(keys)
     if dedupe_batch:
@@ -76,7 +75,7 @@ def insert_new(
         wanted, known = wanted.where(~has_null(keys)), known.where(~has_null(keys))
     wanted = wanted.toDF(*[f"__wanted_{k}" for k in keys])
     met = known.join(
-        F.broadcast(wanted) if small_batch else wanted,
+        wanted,
         same_keys(keys, "__wanted_", null_safe),
         "left_semi",
     ).distinct()
@@ -94,19 +93,22 @@ def same_keys(keys: Sequence[str], prefix: str, null_safe: bool) -> Column:
     return reduce(lambda a, b: a & b, [same(k) for k in keys])
 
 
-def pickup_span_of(target: DataFrame, batch: DataFrame) -> DataFrame:
-    """The part of the final table that can hold keys of the batch.
+def pickup_months_of(target: DataFrame, batch: DataFrame) -> DataFrame:
+    """The part of the final table that can hold keys of the batch: its pickup months.
 
-    The pickup time is part of the key, so the batch's first and last pickup bound it.
-    As literals they prune year partitions and row groups of the target.
+    The pickup time is part of the key and fixes the partition. The batch's distinct months
+    are joined with the target, which prunes its partitions one by one, so that a stray old
+    pickup adds one month and not all between. First and last pickup prune row groups.
     """
+    pickup = F.col("pickup_datetime")
+    parts = {"pickup_year": F.year(pickup), "pickup_month": F.month(pickup)}
+    months = batch.select(*[c.alias(name) for name, c in parts.items()]).distinct()
     low, high = batch.agg(F.min("pickup_datetime"), F.max("pickup_datetime")).first()
     if low is None:
         return target.limit(0)
     first, last = (F.lit(str(t)).cast("timestamp_ntz") for t in (low, high))
-    return target.where(
-        F.col("pickup_datetime").between(first, last) & F.col("pickup_year").between(low.year, high.year)
-    )
+    years = F.col("pickup_year").between(low.year, high.year)
+    return target.where(pickup.between(first, last) & years).join(months.where(years), list(parts), "left_semi")
 
 
 def staged_load(spark: SparkSession, source_path: str, target_path: str, cab_type: str) -> LoadReport:
@@ -122,7 +124,7 @@ def staged_load(spark: SparkSession, source_path: str, target_path: str, cab_typ
     aligned = align_for_load(staging, cab_type)
     target = read_if_exists(spark, target_path)
     if target is not None:
-        aligned = insert_new(aligned, pickup_span_of(target, aligned), TRIP_KEY)
+        aligned = insert_new(aligned, pickup_months_of(target, aligned), TRIP_KEY)
     pickup = F.col("pickup_datetime")
     rows = aligned.withColumns({"pickup_year": F.year(pickup), "pickup_month": F.month(pickup)})
     write_lake(rows, target_path, mode="append", partitions=("pickup_year", "pickup_month"))

@@ -70,11 +70,15 @@ def _counted(df: DataFrame, checks: Sequence, failures: Sequence[Column]) -> Dat
 def _value_counts(df: DataFrame, columns: Sequence[str], kind) -> DataFrame:
     """Rows per column and non-NULL value, for several columns in one scan.
 
-    A frequent value reaches the shuffle as one row per task.
+    A frequent value reaches the shuffle as one row per task. Values that do not fit the type
+    count together as a NULL value.
     """
-    pairs = [F.struct(F.lit(c).alias("column"), F.col(c).cast(kind).alias("value")) for c in columns]
+    pairs = [
+        F.struct(F.lit(c).alias("column"), F.col(c).try_cast(kind).alias("value"), F.col(c).isNotNull().alias("given"))
+        for c in columns
+    ]
     values = df.select(F.explode(F.array(*pairs)).alias("pair")).select("pair.*")
-    return values.where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count("*").alias("n"))
+    return values.where("given").groupBy("column", "value").agg(F.count("*").alias("n"))
 
 
 def _unique(df: DataFrame, checks: Sequence[Unique], kind) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill.functions.numbers import credit_usd, usage_usd
@@ -41,28 +41,44 @@ def selected_queries(history: DataFrame, ids: DataFrame) -> DataFrame:
     return history.join(ids, "query_id", "left_semi").select("query_id", "start_time", "end_time")
 
 
+def time_span(df: DataFrame, start: str, end: str) -> tuple[Column, Column]:
+    """First start and last end as literals, which reach the scans of the tables they bound.
+
+    Both are NULL for an empty frame, and so nothing lies between them.
+    """
+    kind = df.schema[start].dataType
+    ends = df.agg(F.min(start).cast("string"), F.max(end).cast("string")).first()
+    return tuple(F.lit(e).cast(kind) for e in ends)
+
+
 def billed_minutes(metering: DataFrame, selected: DataFrame) -> DataFrame:
     """Metering records around the selected queries, padded to catch a resume before them."""
-    first = selected.agg(F.min("start_time") - F.expr("INTERVAL 2 MINUTES")).scalar()
-    last = selected.agg(F.max("end_time") + F.expr("INTERVAL 1 MINUTE")).scalar()
-    return metering.where((F.col("end_time") > first) & (F.col("start_time") < last)).select(
+    first, last = time_span(selected, "start_time", "end_time")
+    early, late = first - F.expr("INTERVAL 2 MINUTES"), last + F.expr("INTERVAL 1 MINUTE")
+    return metering.where((F.col("end_time") > early) & (F.col("start_time") < late)).select(
         F.col("start_time").alias("minute_start"),
         F.col("end_time").alias("minute_end"),
         F.col("charged_seconds").cast("double").alias("billed_seconds"),
     )
 
 
-def minute_concurrency(minutes: DataFrame, history: DataFrame, ids: DataFrame) -> DataFrame:
+def minute_concurrency(
+    minutes: DataFrame, history: DataFrame, ids: DataFrame, span: tuple[Column, Column] | None = None
+) -> DataFrame:
     """Distinct queries running in each billed minute: all of them and the selected ones.
 
     One overlap join serves both counts; the selected ids are marked on the history.
     The minutes themselves join the counting as rows without a query, which keeps those in
     which nothing ran. Pairs shrink to one per minute and query, then to one per minute,
     both with map-side partial sums, so a crowded minute spreads over many tasks.
+
+    Of the history only queries inside ``span``, the minutes' first start and last end, are
+    read, and a query's minutes outside it are never made; it is looked up if not given.
     """
+    span = span or time_span(minutes, "minute_start", "minute_end")
     mine = ids.select("query_id", F.lit(True).alias("selected")).distinct()
     running = history.select("query_id", "start_time", "end_time").join(mine, "query_id", "left")
-    pairs = overlap_join(running, minutes.select(*MINUTE)).select(*MINUTE, "query_id", "selected")
+    pairs = overlap_join(running, minutes.select(*MINUTE), within=span).select(*MINUTE, "query_id", "selected")
     empty = minutes.select(*MINUTE, F.lit(None).cast(history.schema["query_id"].dataType).alias("query_id"))
     per_query = (
         pairs.unionByName(empty.withColumn("selected", F.lit(None).cast("boolean")))
@@ -74,11 +90,16 @@ def minute_concurrency(minutes: DataFrame, history: DataFrame, ids: DataFrame) -
     )
 
 
-def exact_shares(selected: DataFrame, concurrency: DataFrame) -> DataFrame:
-    """Seconds of each selected query's minutes, split evenly over all queries running."""
+def exact_shares(
+    selected: DataFrame, concurrency: DataFrame, span: tuple[Column, Column] | None = None
+) -> DataFrame:
+    """Seconds of each selected query's minutes, split evenly over all queries running.
+
+    ``span`` bounds the minutes, as in ``minute_concurrency``.
+    """
     busy = concurrency.where(F.col("running_all") > 0)
     share = F.try_divide(F.col("billed_seconds"), F.col("running_all"))
-    return overlap_join(selected, busy).groupBy("query_id").agg(F.sum(share).alias("rpu_seconds_exact"))
+    return overlap_join(selected, busy, within=span).groupBy("query_id").agg(F.sum(share).alias("rpu_seconds_exact"))
 
 
 def idle_minutes(concurrency: DataFrame) -> DataFrame:
@@ -105,8 +126,10 @@ def usage_cost(
     next selected query.
     """
     selected = selected_queries(history, ids)
-    concurrency = minute_concurrency(billed_minutes(metering, selected), history, ids)
-    exact = exact_shares(selected, concurrency)
+    minutes = billed_minutes(metering, selected)
+    span = time_span(minutes, "minute_start", "minute_end")
+    concurrency = minute_concurrency(minutes, history, ids, span)
+    exact = exact_shares(selected, concurrency, span)
     resumed = (
         idle_matches(idle_minutes(concurrency), selected)
         .where(F.col("query_id").isNotNull())

@@ -15,6 +15,7 @@ from tripmill.functions.numbers import (
 )
 from tripmill.functions.times import as_of_column, in_zone, minute_start, within_minutes
 from tripmill.operators.intervals import running_total
+from tripmill.plans.models import on_day
 from tripmill.schema import NEW_YORK
 
 SERIES = ("baseline", "stream")
@@ -221,7 +222,7 @@ def current_hour_kpis(today: DataFrame, baseline: DataFrame, as_of=None, tz: str
 def simulate_today(tz: DataFrame, day: DataFrame, as_of=None) -> DataFrame:
     """Trips of a chosen day (a one-row frame) moved by whole days onto the date of ``as_of``."""
     today = F.to_date(as_of_column(as_of))
-    chosen = tz.where(F.col("pickup_date") == day.select("pickup_date").scalar())
+    chosen = on_day(tz, day.select("pickup_date").scalar())
     shift = F.make_dt_interval(F.datediff(today, F.col("pickup_date")))
     return chosen.select(
         (F.col("pickup_at") + shift).alias("pickup_datetime"),
@@ -234,6 +235,6 @@ def simulate_today(tz: DataFrame, day: DataFrame, as_of=None) -> DataFrame:
 
 def day_trips(tz: DataFrame, day: DataFrame) -> DataFrame:
     """Trips of a chosen day (a one-row frame) under their own times."""
-    return tz.where(F.col("pickup_date") == day.select("pickup_date").scalar()).select(
+    return on_day(tz, day.select("pickup_date").scalar()).select(
         F.col("pickup_at").alias("pickup_datetime"), "pickup_zone", "fare_amount", "passenger_count"
     )

@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tripmill.functions.times import hour_start
+from tripmill.plans.models import PARTS, on_day, part_date, parts_of
 
 
 def avg_fare_by_zone(tz: DataFrame) -> DataFrame:
@@ -62,14 +63,10 @@ def busiest_zone(tz: DataFrame, drop_unmatched: bool = False) -> DataFrame:
 
 def hourly(df: DataFrame) -> DataFrame:
     """Trips, fares and mean passengers (zero counts as unknown) per pickup hour."""
-    return (
-        df.groupBy(hour_start(F.col("pickup_at")).alias("hour"))
-        .agg(
-            F.count("*").alias("trips"),
-            F.sum("fare_amount").alias("fare_total"),
-            F.avg(F.nullif(F.col("passenger_count"), F.lit(0))).alias("avg_passenger_count"),
-        )
-        .orderBy("hour")
+    return df.groupBy(hour_start(F.col("pickup_at")).alias("hour")).agg(
+        F.count("*").alias("trips"),
+        F.sum("fare_amount").alias("fare_total"),
+        F.avg(F.nullif(F.col("passenger_count"), F.lit(0))).alias("avg_passenger_count"),
     )
 
 
@@ -77,26 +74,42 @@ def latest_day(tz: DataFrame) -> DataFrame:
     return tz.agg(F.max("pickup_date").alias("pickup_date"))
 
 
+def newest_day(tz: DataFrame) -> dt.date | None:
+    """``latest_day`` at this moment, found from the newest partitions down.
+
+    Only partition values are listed; then the newest day is looked into, and the one before
+    only if it holds no trip of ``tz``. Trips without partition columns are all looked at.
+    """
+    if len(parts_of(tz)) < len(PARTS):
+        return latest_day(tz).first()[0]
+    days = tz.select(part_date().alias("day")).where(F.col("day").isNotNull()).distinct()
+    bound = days.agg(F.max("day")).first()[0]
+    while bound is not None:
+        found = latest_day(on_day(tz, F.lit(bound))).first()[0]
+        if found is not None:
+            return found
+        bound = days.where(F.col("day") < F.lit(bound)).agg(F.max("day")).first()[0]
+    return None
+
+
 def baseline_hourly(tz: DataFrame, baseline_date: dt.date | str | None = None) -> DataFrame:
     """The hourly mart of one day: the given one, else the latest in the data.
 
-    A given day reaches the scan as a range on the pickup time. The latest day is a
-    subquery, found anew at each read, and filters after the scan; a caller who can fix
-    the day first may pass ``latest_day(tz).first()[0]``.
+    A given day prunes partitions and reaches the scan as a range on the pickup time. The
+    latest day is a subquery, found anew at each read, and prunes partitions when it is known;
+    a caller who can fix the day first passes ``newest_day(tz)``, which does not read all days.
     """
     if baseline_date is not None:
         day = F.lit(str(baseline_date)).cast("date")
     else:
         day = latest_day(tz).scalar()
-    return hourly(tz.where(F.col("pickup_date") == day))
+    return hourly(on_day(tz, day))
 
 
 def stream_vs_baseline(stream_hourly: DataFrame, baseline: DataFrame) -> DataFrame:
     columns = ["hour", "trips", "fare_total", "avg_passenger_count"]
-    return (
-        stream_hourly.select(F.lit("stream").alias("series"), *columns)
-        .unionByName(baseline.select(F.lit("baseline").alias("series"), *columns))
-        .orderBy("hour", "series")
+    return stream_hourly.select(F.lit("stream").alias("series"), *columns).unionByName(
+        baseline.select(F.lit("baseline").alias("series"), *columns)
     )
 
 

@@ -20,6 +20,30 @@ TRIP_COLUMNS = (
     "passenger_count", "trip_distance", "fare_amount", "tip_amount", "total_amount", "cab_type",
 )
 
+# Pickup year, month and day as the lake and the stream sink are partitioned by. Models carry
+# them along, so that a filter on the pickup date can be met by whole partitions.
+PARTS = ("part_year", "part_month", "part_day")
+
+
+def parts_of(df: DataFrame) -> list[str]:
+    return [c for c in PARTS if c in df.columns]
+
+
+def part_date() -> Column:
+    return F.make_date(*PARTS)
+
+
+def on_day(trips: DataFrame, day: Column) -> DataFrame:
+    """Enriched trips of one pickup day, which may be a subquery's value.
+
+    Where the trips carry their partition columns, partitions of other days are not read.
+    """
+    kept = trips.where(F.col("pickup_date") == day)
+    for name, part in zip(PARTS, (F.year, F.month, F.dayofmonth), strict=True):
+        if name in trips.columns:
+            kept = kept.where(F.col(name) == part(day))
+    return kept
+
 
 def with_pickup_zone(trips: DataFrame, zones: DataFrame) -> DataFrame:
     """Left join to the zone dimension; trips without a known zone keep NULL.
@@ -52,9 +76,12 @@ def trip_zone(trips: DataFrame, zones: DataFrame, minutes: str = "elapsed") -> D
     """
     duration = {"elapsed": elapsed_minutes, "boundary": boundary_minutes}[minutes]
     pickup, dropoff = F.col("pickup_at"), F.col("dropoff_at")
-    kept = trips.select(*TRIP_COLUMNS).where(dropoff >= pickup)
+    staged = {"pickup_year": "part_year", "pickup_month": "part_month", "pickup_day": "part_day"}
+    parts = [F.col(c).alias(name) for c, name in staged.items() if c in trips.columns]
+    kept = trips.select(*TRIP_COLUMNS, *parts).where(dropoff >= pickup)
     return with_pickup_zone(kept, zones).select(
         *TRIP_COLUMNS,
+        *parts_of(kept),
         "pickup_zone",
         "pickup_borough",
         *pickup_parts(pickup),
@@ -73,6 +100,8 @@ def streaming_enriched(stream: DataFrame, zones: DataFrame, as_of=None, days_bac
     kept = stream.where(dropoff >= pickup)
     if days_back is not None:
         kept = kept.where(within_days(pickup, as_of, days_back))
+        if parts_of(stream):
+            kept = kept.where(within_days(part_date().cast("timestamp_ntz"), as_of, days_back))
     return with_pickup_zone(kept, zones).select(
         "trip_id",
         "pickup_at",

@@ -35,9 +35,9 @@ def mart_models(inter: dict[str, DataFrame], baseline_date=None) -> dict[str, Da
         "avg_duration_by_cab_month": marts.avg_duration_by_cab_month(trips),
         "monthly_cab_counts": marts.monthly_cab_counts(trips),
         "busiest_zone": marts.busiest_zone(trips),
-        "streaming_hourly": stream_hours,
-        "baseline_hourly": baseline_hours,
-        "stream_vs_baseline": marts.stream_vs_baseline(stream_hours, baseline_hours),
+        "streaming_hourly": stream_hours.orderBy("hour"),
+        "baseline_hourly": baseline_hours.orderBy("hour"),
+        "stream_vs_baseline": marts.stream_vs_baseline(stream_hours, baseline_hours).orderBy("hour", "series"),
         "daily_streaming_trips": marts.daily_streaming_trips(stream),
         "live_trips": models.live_trips(stream),
     }

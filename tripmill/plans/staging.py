@@ -50,6 +50,8 @@ def stg_zones(df: DataFrame) -> DataFrame:
 
 
 def stg_stream(df: DataFrame) -> DataFrame:
+    """Stream trips under their model names, with the sink's partition columns where it has them."""
+    parts = [F.col(c).alias(f"part_{c}") for c in ("year", "month", "day") if c in df.columns]
     return df.select(
         "trip_id",
         F.col("pickup_datetime").alias("pickup_at"),
@@ -62,4 +64,5 @@ def stg_stream(df: DataFrame) -> DataFrame:
         "event_time",
         "lambda_received_time",
         "inserted_at",
+        *parts,
     )

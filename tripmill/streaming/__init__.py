@@ -1 +1 @@
-"""Structured Streaming: record cleansing, keyed load, hourly windows, replay."""
+"""Structured Streaming: record cleansing, keyed load, hourly windows."""

@@ -18,16 +18,21 @@ PAYLOAD = (
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
-def with_members(df: DataFrame) -> DataFrame:
-    """Add ``members``: the one JSON object in ``text`` as map of texts; NULL for anything else.
+RECORD_KEYS = (*REQUIRED_RECORD_KEYS, "event_time", "PULocationID", "DOLocationID")
 
-    Read inside brackets, because the JSON reader by itself stops after a first object
-    and would not see that more follows.
+
+def with_record(df: DataFrame) -> DataFrame:
+    """Add ``record``: the members of the one JSON object in ``text``; NULL for anything else.
+
+    Members are variants, so they keep their JSON types; an absent one is NULL, a null one is
+    not. Of repeated members the last counts. Read inside brackets, because the JSON reader by
+    itself stops after a first object and would not see that more follows.
     """
     bracketed = F.concat(F.lit("["), F.col("text"), F.lit("]"))
-    listed = F.from_json(bracketed, "array<map<string,string>>", {"allowSingleQuotes": "false"})
-    only = F.when(F.size("listed") == 1, F.col("listed")[0])
-    return df.withColumn("listed", listed).withColumn("members", only).drop("listed")
+    members = ", ".join(f"`{k}` variant" for k in RECORD_KEYS)
+    listed = F.from_json(bracketed, f"array<struct<{members}>>", {"allowSingleQuotes": "false"})
+    only = F.when((F.size("listed") == 1) & F.col("text").endswith("}"), F.get("listed", F.lit(0)))
+    return df.withColumn("listed", listed).withColumn("record", only).drop("listed")
 
 
 def cleanse(raw: DataFrame, received_at=None, offset_mode: str = "wall_clock") -> DataFrame:
@@ -39,24 +44,29 @@ def cleanse(raw: DataFrame, received_at=None, offset_mode: str = "wall_clock") -
     its column type is NULL here and unchanged in ``delivery_records``.
     """
     received = F.date_trunc("SECOND", as_of_column(received_at)).cast("timestamp_ntz")
-    parsed = with_members(raw.select("recordId", "data", decode(F.col("data")).alias("text")))
+    parsed = with_record(raw.select("recordId", "data", decode(F.col("data")).alias("text")))
 
     # Members are taken out once, then only looked at.
     def member(key: str) -> Column:
-        return F.try_element_at("members", F.lit(key))
+        return F.try_variant_get(F.col(f"record.{key}"), "$", "string")
 
-    def number(key: str, kind: str) -> Column:
-        return member(key).try_cast("double").try_cast(kind)
+    def number(key: str) -> Column:
+        return member(key).try_cast("double")
+
+    def whole(key: str) -> Column:
+        value = number(key)
+        return F.when(value == F.floor(value), value.try_cast("int"))
 
     def located(key: str) -> Column:
-        return F.when(F.map_contains_key("members", key), number(key, "int")).otherwise(F.lit(-1))
+        return F.when(F.col(f"record.{key}").isNull(), F.lit(-1)).otherwise(whole(key))
 
-    absent = [F.when(~F.map_contains_key("members", k), F.lit(k)) for k in REQUIRED_RECORD_KEYS]
+    absent = [F.when(F.col(f"record.{k}").isNull(), F.lit(k)) for k in REQUIRED_RECORD_KEYS]
     taken = parsed.select(
         "recordId",
         "data",
         "text",
-        F.col("members").isNotNull().alias("is_object"),
+        "record",
+        F.col("record").isNotNull().alias("is_object"),
         F.concat_ws(", ", *absent).alias("missing"),
         member("trip_id").alias("trip_id"),
         member("pickup_datetime").alias("pickup_text"),
@@ -64,9 +74,9 @@ def cleanse(raw: DataFrame, received_at=None, offset_mode: str = "wall_clock") -
         F.coalesce(member("event_time"), F.lit("")).alias("event_text"),
         located("PULocationID").alias("pulocationid"),
         located("DOLocationID").alias("dolocationid"),
-        number("passenger_count", "int").alias("passenger_count"),
-        number("fare_amount", "double").alias("fare_amount"),
-        number("payment_type", "int").alias("payment_type"),
+        whole("passenger_count").alias("passenger_count"),
+        number("fare_amount").alias("fare_amount"),
+        whole("payment_type").alias("payment_type"),
     )
     event_text = F.col("event_text")
     timed = taken.withColumns(
@@ -98,13 +108,14 @@ def cleanse(raw: DataFrame, received_at=None, offset_mode: str = "wall_clock") -
     # A filter on ``error`` pushed below this point would repeat the whole parse inside the
     # filter, several times over. Catalyst does not push filters through a generator, so a
     # one-row explode keeps it at one parse per record.
-    row = F.struct("recordId", "data", "error", *PAYLOAD)
+    row = F.struct("recordId", "data", "error", "record", *PAYLOAD)
     once = checked.select(F.explode(F.array(row)).alias("row")).select("row.*")
     return once.select(
         "recordId",
         "data",
         F.when(F.col("error").isNull(), "Ok").otherwise("ProcessingFailed").alias("result"),
         "error",
+        "record",
         *PAYLOAD,
     )
 
@@ -126,30 +137,42 @@ def failed_rows(cleansed: DataFrame) -> DataFrame:
     )
 
 
+def json_text(value: Column) -> Column:
+    """A variant as JSON. Numbers without a JSON form go out as the words they came in as."""
+    number = F.when(F.schema_of_variant(value) == "DOUBLE", F.try_variant_get(value, "$", "double"))
+    return (
+        F.when(F.isnan(number), F.lit("NaN"))
+        .when(number == F.lit(float("inf")), F.lit("Infinity"))
+        .when(number == F.lit(float("-inf")), F.lit("-Infinity"))
+        .otherwise(F.to_json(value))
+    )
+
+
 def delivery_records(cleansed: DataFrame) -> DataFrame:
     """One output record per input: good ones re-encoded with partition keys, others as they came.
 
-    Values go out with the JSON types they came with, so the record is read again as JSON.
+    Values go out with the JSON types they came with, from the same parse as the typed columns.
     """
 
     def value(key: str) -> Column:
-        return F.variant_get("record", f"$.{key}", "variant")
+        return json_text(F.col(f"record.{key}"))
 
     def located(key: str) -> Column:
-        return F.coalesce(value(key), F.lit(-1).cast("variant"))
+        return F.coalesce(value(key), F.lit("-1"))
+
+    def clock(c: str) -> Column:
+        return F.concat(F.lit('"'), F.date_format(c, TIME_FORMAT), F.lit('"'))
 
-    text_times = {
-        c: F.date_format(c, TIME_FORMAT)
-        for c in ("pickup_datetime", "dropoff_datetime", "event_time", "lambda_received_time")
-    }
+    times = {c: clock(c) for c in ("pickup_datetime", "dropoff_datetime", "event_time", "lambda_received_time")}
     raw_values = {c: value(c) for c in ("trip_id", "passenger_count", "fare_amount", "payment_type")}
     places = {"pulocationid": located("PULocationID"), "dolocationid": located("DOLocationID")}
-    source = {**text_times, **raw_values, **places}
-    members = [source.get(c, F.col(c)).alias(c) for c in PAYLOAD]
+    source = {**times, **raw_values, **places}
+    members = [F.concat(F.lit(f'"{c}":'), source.get(c, F.col(c).cast("string"))) for c in PAYLOAD]
+    payload = F.concat(F.lit("{"), F.concat_ws(",", *members), F.lit("}"))
     good = F.col("error").isNull()
-    return cleansed.withColumn("record", F.try_parse_json(decode(F.col("data")))).select(
+    return cleansed.select(
         F.coalesce("recordId", F.lit("unknown")).alias("recordId"),
         "result",
-        F.when(good, encode(F.to_json(F.struct(*members)))).otherwise(F.coalesce("data", F.lit(""))).alias("data"),
+        F.when(good, encode(payload)).otherwise(F.coalesce("data", F.lit(""))).alias("data"),
         *[F.when(good, F.col(k).cast("string")).alias(k) for k in STREAM_PARTITIONS],
     )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tripmill.streaming.load import start_batches, write_batch
+from tripmill.streaming.load import Batch, start_batches, write_batch
 
 
 def stream_hourly(stream: DataFrame, event_col: str = "pickup_at", delay: str | None = None) -> DataFrame:
@@ -31,14 +31,19 @@ def stream_hourly(stream: DataFrame, event_col: str = "pickup_at", delay: str |
 def run_hourly(hours: DataFrame, sink: str, checkpoint: str, once: bool = True) -> StreamingQuery:
     """Keep the changed hours of each batch; ``current_hours`` reads the newest state.
 
-    A sink belongs to one stream, as batches are told apart by their number.
+    Each update carries the time it was written, so that a stream started afresh over the
+    same sink goes on from there.
     """
     writer = hours.writeStream.outputMode("update")
-    return start_batches(writer, lambda rows, batch: write_batch(rows, sink, batch), checkpoint, once)
+
+    def keep(rows: DataFrame, batch: Batch) -> None:
+        write_batch(rows.withColumn("written_at", F.current_timestamp()), sink, batch)
+
+    return start_batches(writer, keep, checkpoint, once)
 
 
 def current_hours(updates: DataFrame) -> DataFrame:
     """The newest figures of each hour among the updates written by ``run_hourly``."""
     figures = F.struct("trips", "fare_total", "avg_passenger_count")
-    newest = updates.groupBy("hour").agg(F.max_by(figures, "batch_id").alias("last"))
+    newest = updates.groupBy("hour").agg(F.max_by(figures, F.struct("written_at", "batch_id")).alias("last"))
     return newest.select("hour", "last.*")

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import threading
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_, or_
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,10 +25,6 @@ from tripmill.schema import STREAM_PARTITIONS, STREAM_TYPES
 from tripmill.streaming.cleanse import cleanse, failed_rows, good_rows
 
 BATCH_COLUMNS = ("stream_id", "batch_id")
-# A batch of up to so many rows sends its keys to all executors (some tens of megabytes).
-BROADCAST_KEYS = 500_000
-# Partition columns with more values than this in a batch do not prune the sink.
-PRUNING_VALUES = 1_000
 
 
 class Batch(NamedTuple):
@@ -43,18 +41,21 @@ def write_batch(df: DataFrame, path: str, batch: Batch) -> None:
 
 
 def in_partitions_of(batch: DataFrame, known: DataFrame, partitions: Sequence[str]) -> DataFrame:
-    """The part of a sink whose partition values, column by column, occur in the batch.
+    """The part of a sink whose partitions the batch touches, one by one.
 
-    The values become literals, which prune folders. A column with more than
-    ``PRUNING_VALUES`` values in the batch is left open.
+    The sink is joined with the batch's distinct partition values, which Spark turns into
+    dynamic partition pruning. The first and last value of each column go along as literals:
+    they prune as well, and they tell the optimizer that the values select. Rows of partitions
+    without a value are compared if the batch has such rows.
     """
-    sizes = batch.agg(*[F.count_distinct(c).alias(c) for c in partitions]).first()
-    few = [c for c in partitions if sizes[c] <= PRUNING_VALUES]
-    if few:
-        values = batch.agg(*[F.collect_set(c).alias(c) for c in few]).first()
-        for c in few:
-            known = known.where(F.col(c).isin(values[c]) | F.col(c).isNull())
-    return known
+    ends = batch.agg(*[F.struct(F.min(c).alias("low"), F.max(c).alias("high")).alias(c) for c in partitions]).first()
+    unknown = reduce(or_, [F.col(c).isNull() for c in partitions])
+    if all(ends[c].low is None for c in partitions):
+        return known.where(unknown)
+    inside = reduce(and_, [F.col(c).between(ends[c].low, ends[c].high) for c in partitions if ends[c].low is not None])
+    touched = batch.select(*partitions).where(inside).distinct()
+    met = known.where(inside).join(touched, list(partitions), "left_semi")
+    return met.unionByName(known.where(unknown))
 
 
 def append_new(
@@ -76,7 +77,7 @@ def append_new(
         if known is not None:
             if key_fixes_partition:
                 known = in_partitions_of(fresh, known, partitions)
-            new = insert_new(fresh, known, keys, small_batch=fresh.count() <= BROADCAST_KEYS)
+            new = insert_new(fresh, known, keys)
         write_lake(new, sink, mode="append", partitions=partitions)
     finally:
         fresh.unpersist()
@@ -119,7 +120,7 @@ def run_stream(
     """Cleanse envelopes; good rows to the keyed trip sink, failures to the dead-letter sink."""
 
     def load(rows: DataFrame, batch: Batch) -> None:
-        records = cleanse(rows, received_at).persist()
+        records = cleanse(rows, received_at).drop("record").persist()
         try:
             good = good_rows(records).withColumn("inserted_at", as_of_column(inserted_at))
             append_new(good.select(*STREAM_TYPES), sink, keys, STREAM_PARTITIONS, key_fixes_partition)

@@ -23,7 +23,7 @@ from tripmill.session import configure, work_folder
 from tripmill.sources.lake import lake_slice
 from tripmill.sources.landing import new_files, parse_landing_keys
 from tripmill.streaming import cleanse as cleansing
-from tripmill.streaming import hourly, replay
+from tripmill.streaming import hourly
 from tripmill.streaming import load as streams
 from tripmill.workload import tables as t
 from tripmill.workload.tables import AS_OF
@@ -65,17 +65,17 @@ def staged_trips(spark, folder):
 
 @query
 def staged_stream(spark, folder):
-    return t.staged_stream(spark, folder)
+    return t.staged_stream(spark, folder).drop(*models.PARTS)
 
 
 @query
 def trip_zone(spark, folder):
-    return rounded(enriched_trips(spark, folder), trip_distance=6)
+    return rounded(enriched_trips(spark, folder).drop(*models.PARTS), trip_distance=6)
 
 
 @query
 def trip_zone_boundary(spark, folder):
-    return rounded(enriched_trips(spark, folder, minutes="boundary"), trip_distance=6)
+    return rounded(enriched_trips(spark, folder, minutes="boundary").drop(*models.PARTS), trip_distance=6)
 
 
 @query
@@ -152,28 +152,30 @@ def hours(df):
 
 @query
 def streaming_hourly(spark, folder):
-    return hours(marts.hourly(enriched_stream(spark, folder)))
+    return hours(marts.hourly(enriched_stream(spark, folder))).orderBy("hour")
 
 
 @query
 def baseline_hourly(spark, folder):
-    return hours(marts.baseline_hourly(enriched_trips(spark, folder)))
+    tz = enriched_trips(spark, folder)
+    return hours(marts.baseline_hourly(tz, marts.newest_day(tz))).orderBy("hour")
 
 
 @query
 def baseline_hourly_param(spark, folder):
-    return hours(marts.baseline_hourly(enriched_trips(spark, folder), "2024-01-15"))
+    return hours(marts.baseline_hourly(enriched_trips(spark, folder), "2024-01-15")).orderBy("hour")
 
 
 def both_hourly(spark, folder):
+    tz = enriched_trips(spark, folder)
     return marts.stream_vs_baseline(
-        marts.hourly(enriched_stream(spark, folder)), marts.baseline_hourly(enriched_trips(spark, folder))
+        marts.hourly(enriched_stream(spark, folder)), marts.baseline_hourly(tz, marts.newest_day(tz))
     )
 
 
 @query
 def stream_vs_baseline(spark, folder):
-    return hours(both_hourly(spark, folder))
+    return hours(both_hourly(spark, folder)).orderBy("hour", "series")
 
 
 @query
@@ -392,7 +394,7 @@ def lake_rerun(spark, folder):
 
 @query
 def default_fill(spark, folder):
-    filled = replay.fill_defaults(t.trips(spark, folder))
+    filled = ingest.fill_defaults(t.trips(spark, folder))
     return filled.select("trip_id", "passenger_count", "fare_amount", "payment_type", "pulocationid", "dolocationid")
 
 
@@ -571,7 +573,8 @@ def usage_inputs(spark, folder):
     history, ids = t.query_history(spark, folder), t.chosen_queries(spark, folder)
     selected = cost.selected_queries(history, ids)
     minutes = cost.billed_minutes(t.metering(spark, folder), selected)
-    return selected, cost.minute_concurrency(minutes, history, ids)
+    span = cost.time_span(minutes, "minute_start", "minute_end")
+    return selected, cost.minute_concurrency(minutes, history, ids, span), span
 
 
 @query
@@ -586,7 +589,7 @@ def usage_exact_share(spark, folder):
 
 @query
 def usage_idle_match(spark, folder):
-    selected, concurrency = usage_inputs(spark, folder)
+    selected, concurrency, _ = usage_inputs(spark, folder)
     return cost.idle_matches(cost.idle_minutes(concurrency), selected)
 
 
@@ -665,13 +668,24 @@ def cleanse_bad(spark, folder):
 
 @query
 def cleanse_delivery(spark, folder):
-    """Re-encoded records, read back from their envelopes."""
-    records = cleansing.delivery_records(cleansed(spark, folder)).where(F.col("result") == "Ok")
-    text = F.unbase64("data").cast("string")
+    """Every output record: the members of the re-encoded ones, the untouched data of the others."""
+    records = cleansing.delivery_records(cleansed(spark, folder))
+    text = F.when(F.col("result") == "Ok", F.unbase64("data").cast("string"))
+
+    def member(name: str):
+        value = F.regexp_extract(text, f'"{name}":("[^"]*"|[^,}}]*)', 1)
+        return F.when(F.col("result") == "Ok", value).alias(name)
+
+    names = [c for c in cleansing.PAYLOAD if c != "fare_amount"]
     return records.select(
-        "recordId", "result", "year", "month", "day", "hour",
-        F.get_json_object(text, "$.pulocationid").alias("pulocationid"),
-        F.get_json_object(text, "$.event_time").alias("event_time"),
+        "recordId",
+        "result",
+        *[member(c) for c in names],
+        member("fare_amount").cast("double").alias("fare_amount"),
+        F.array_join(F.regexp_extract_all(text, F.lit('"([a-z_]+)":'), 1), ",").alias("members"),
+        F.col("year").alias("key_year"),
+        F.col("hour").alias("key_hour"),
+        F.when(F.col("result") != "Ok", F.col("data")).alias("data"),
     )
 
 
@@ -751,9 +765,3 @@ def stream_file_load(spark, folder):
         "files_not_in_ledger", missing.agg(F.count("*")).scalar()
     )
 
-
-@query
-def replay_records(spark, folder):
-    """Replayed trips of one hour, cleansed again; random, so no SQL counterpart."""
-    records = replay.prepare_replay(t.trips(spark, folder), hour=8, fraction=2.0, seed=7, as_of=AS_OF)
-    return cleansing.good_rows(cleansing.cleanse(replay.to_envelopes(records), AS_OF))

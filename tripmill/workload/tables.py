@@ -146,7 +146,7 @@ def staged_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def as_envelopes(events: DataFrame) -> DataFrame:
-    """Events as base64 JSON records, some of them broken in one of several ways."""
+    """Events as base64 JSON records, some of them odd or broken in one of several ways."""
     t = as_stream_trips(events)
     clock = "yyyy-MM-dd HH:mm:ss"
     offset = F.when(F.col("hour") < 8, "+00:00").when(F.col("hour") < 16, "+0500").otherwise("Z")
@@ -165,12 +165,18 @@ def as_envelopes(events: DataFrame) -> DataFrame:
             F.concat(F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss"), fraction, offset),
         ).alias("event_time"),
     )
+    text = F.to_json(record)
+    odd = F.col("hour") == 9
     json = (
-        F.when(F.col("hour") == 3, F.lit(""))
+        # A member given twice, and counts that no integer holds.
+        F.when(F.col("hour") == 7, F.concat(F.lit('{"trip_id":"stale",'), F.substring(text, F.lit(2), F.length(text))))
+        .when(odd & (F.col("payment_type") == 1), F.regexp_replace(text, '"passenger_count":[^,]*', '"passenger_count":NaN'))
+        .when(odd & (F.col("payment_type") == 2), F.regexp_replace(text, '"passenger_count":[^,]*', '"passenger_count":1.7'))
+        .when(F.col("hour") == 3, F.lit(""))
         .when((F.col("hour") == 5) & (F.col("payment_type") == 1), F.lit("[1]"))
         .when((F.col("hour") == 5) & (F.col("payment_type") == 2), F.lit("{bad"))
         .when((F.col("hour") == 5) & (F.col("payment_type") == 3), F.lit('{"trip_id":1}'))
-        .otherwise(F.to_json(record))
+        .otherwise(text)
     )
     return t.select(F.col("trip_id").alias("recordId"), encode(json).alias("data"))
 
