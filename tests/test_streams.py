@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import base64
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -205,6 +206,29 @@ def test_file_load_reads_each_file_once(spark):
     assert run() == (4, 3)
 
 
+def test_a_bad_file_is_listed_and_tried_again(spark):
+    names = ("landing", "trips", "ledger", "failures", "checkpoint")
+    landing, sink, ledger, failures, checkpoint = (work_folder(spark, n) for n in names)
+    bad = Path(landing.removeprefix("file:")) / "part-bad.parquet"
+
+    def run():
+        paths = load.path_stream(spark, landing)
+        load.run_tolerant_file_load(paths, ddl(STREAM_TYPES), sink, ledger, failures, checkpoint).awaitTermination()
+        return sorted(r.trip_id for r in contents(spark, sink)), len(contents(spark, ledger)), {r.key.split("/")[-1] for r in contents(spark, failures)}
+
+    trips_file(spark, landing, ("a", "10:00:00", 1.0))
+    trips_file(spark, landing, ("a", "10:00:00", 1.0), ("b", "11:00:00", 1.0))
+    bad.write_bytes(b"no parquet at all")
+    assert run() == (["a", "b"], 2, {"part-bad.parquet"})
+    trips_file(spark, landing, ("c", "12:00:00", 1.0))
+    assert run() == (["a", "b", "c"], 3, {"part-bad.parquet"})
+    mended = work_folder(spark, "mended")
+    trips_file(spark, mended, ("d", "13:00:00", 1.0))
+    bad.write_bytes(next(Path(mended.removeprefix("file:")).glob("*.parquet")).read_bytes())
+    (bad.parent / ".part-bad.parquet.crc").unlink(missing_ok=True)
+    assert run() == (["a", "b", "c", "d"], 4, {"part-bad.parquet"})
+
+
 def test_load_reads_only_partitions_of_the_batch(spark):
     sink = work_folder(spark, "trips")
     batches = [

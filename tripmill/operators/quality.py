@@ -169,3 +169,20 @@ def busiest_checks() -> list:
         NotNull("pickup_zone"),
         NotNull("total_trips"),
     ]
+
+
+def enriched_checks() -> list:
+    return [NotNull("pickup_at")]
+
+
+# Columns of the marts that must hold a value.
+MART_COLUMNS = {
+    "avg_fare_by_zone": ("pickup_zone", "avg_fare"),
+    "monthly_cab_counts": ("cab_type", "pickup_month", "trip_count"),
+    "avg_passengers_by_cab": ("cab_type", "avg_passenger_count"),
+    "avg_duration_by_cab_month": ("cab_type", "pickup_month", "avg_trip_duration_min"),
+}
+
+
+def mart_checks(mart: str) -> list:
+    return busiest_checks() if mart == "busiest_zone" else [NotNull(c) for c in MART_COLUMNS[mart]]

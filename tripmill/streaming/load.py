@@ -9,6 +9,7 @@ checkpoint, so a stream started afresh never replaces what another one wrote.
 from __future__ import annotations
 
 import threading
+import uuid
 from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import and_, or_
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tripmill.functions.times import as_of_column
-from tripmill.operators.load import drop_repeats, insert_new, ledger_entries, read_if_exists
+from tripmill.operators.load import drop_repeats, insert_new, ledger_entries, read_if_exists, read_ledger
 from tripmill.operators.sinks import write_lake
 from tripmill.schema import STREAM_PARTITIONS, STREAM_TYPES
 from tripmill.streaming.cleanse import cleanse, failed_rows, good_rows
@@ -190,6 +191,73 @@ def run_file_load(
     return start_batches(files.writeStream, load, checkpoint, once)
 
 
+def path_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """Names of new Parquet files of a folder, each once; the files are not opened."""
+    reader = spark.readStream.format("binaryFile").option("pathGlobFilter", "*.parquet")
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.load(path).select(F.col("path").alias("key"))
+
+
+def run_tolerant_file_load(
+    paths: DataFrame,
+    schema,
+    sink: str,
+    ledger: str,
+    failures: str,
+    checkpoint: str,
+    keys: Sequence[str] = ("trip_id",),
+    partitions: Sequence[str] = STREAM_PARTITIONS,
+    dataset_name: str = "streaming_trips",
+    once: bool = True,
+) -> StreamingQuery:
+    """``run_file_load`` that goes on without files it cannot load, and tries them again later.
+
+    The files of a batch are loaded together. If that fails they are loaded one by one; those
+    that fail stay out of the ledger and are listed under ``failures`` with the reason. Every
+    later batch takes the listed files that the ledger still lacks along, and so does the
+    start of a run. A batch holds as many files as ``path_stream`` hands out at once.
+    """
+    spark = paths.sparkSession
+
+    def load(keys_: list[str]) -> None:
+        append_new(spark.read.schema(schema).parquet(*keys_), sink, keys, partitions)
+
+    def load_files(names: list[str], batch: Batch) -> None:
+        loaded, failed = list(names), []
+        try:
+            load(names)
+        except Exception:  # noqa: BLE001 - whatever ails a file must not stop the others
+            loaded = []
+            for name in names:
+                try:
+                    load([name])
+                    loaded.append(name)
+                except Exception as error:  # noqa: BLE001
+                    failed.append((name, str(error).splitlines()[0][:300]))
+        if loaded:
+            done = spark.createDataFrame([(n,) for n in loaded], "key string")
+            write_batch(ledger_entries(done, "streaming", dataset_name), ledger, batch)
+        if failed:
+            write_batch(spark.createDataFrame(failed, "key string, reason string"), failures, batch)
+
+    def pending() -> list[str]:
+        listed = read_if_exists(spark, failures)
+        if listed is None:
+            return []
+        done = read_ledger(spark, ledger).select(F.col("pipeline_id").alias("key"))
+        return [r.key for r in listed.select("key").distinct().join(done, "key", "left_anti").collect()]
+
+    def each(rows: DataFrame, batch: Batch) -> None:
+        names = sorted({r.key for r in rows.collect()} | set(pending()))
+        if names:
+            load_files(names, batch)
+
+    if again := pending():
+        load_files(sorted(again), Batch(f"retry-{uuid.uuid4()}", 0))
+    return start_batches(paths.writeStream, each, checkpoint, once)
+
+
 def run_late_split(
     stream: DataFrame,
     sink: str,

@@ -5,6 +5,9 @@ Doubles are rounded here, and only here, so that sums taken in another order com
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,11 +20,11 @@ from tripmill.functions.times import (
 )
 from tripmill.jobs import upload_events
 from tripmill.operators import audit, ingest, load, quality, reconcile
-from tripmill.operators.sinks import write_lake
+from tripmill.operators.sinks import create_lake_table, describe_table, register_partitions, write_lake
 from tripmill.plans import cost, dashboards, marts, models, project, staging
 from tripmill.session import configure, work_folder
 from tripmill.sources.lake import lake_slice
-from tripmill.sources.landing import new_files, parse_landing_keys
+from tripmill.sources.landing import month_path, new_files, parse_landing_keys
 from tripmill.streaming import cleanse as cleansing
 from tripmill.streaming import hourly
 from tripmill.streaming import load as streams
@@ -221,6 +224,22 @@ def hour_compare_pivot(spark, folder):
     return dashboards.pivot_series(both_hourly(spark, folder), "trips").orderBy("hour")
 
 
+@query
+def fare_pivot(spark, folder):
+    wide = dashboards.pivot_series(both_hourly(spark, folder), "fare_total")
+    return rounded(wide, baseline=2, stream=2).orderBy("hour")
+
+
+@query
+def newest_hours(spark, folder):
+    return hours(dashboards.recent(both_hourly(spark, folder), 10, "hour", ("series",)))
+
+
+@query
+def stream_series(spark, folder):
+    return rounded(dashboards.one_series(hour_of_day_series(spark, folder), "stream"), fare_total=2)
+
+
 @query
 def hour_difference_color(spark, folder):
     return dashboards.hour_difference(hour_of_day_series(spark, folder), repeats="sum").orderBy("hour")
@@ -372,6 +391,33 @@ def schema_align(spark, folder):
     return rounded(aligned[0].unionByName(aligned[1]), trip_distance=6)
 
 
+@query
+def month_job(spark, folder):
+    """A raw month file, found by its name and written as a lake with a fixed number of tasks."""
+    prefix, lake = f"{work_folder(spark, 'raw')}/", work_folder(spark, "lake")
+    raw = raw_month(spark, folder, "yellow").withColumn("_spark_metadata", F.lit("x"))
+    raw.write.parquet(month_path(prefix, "yellow", 2024, 1))
+    ingest.ingest_month(spark, prefix, lake, "Yellow", 2024, 1, layout="hash", num_files=4)
+    rows = spark.read.parquet(lake)
+    return rows.groupBy("cab_type", "year", "month", "day").agg(F.count("*").alias("trips")).withColumn(
+        "columns", F.lit(",".join(sorted(rows.columns)))
+    )
+
+
+@query
+def repaired_partitions(spark, folder):
+    """Partitions of a lake written past the catalog, once the table has been repaired."""
+    lake, table = work_folder(spark, "lake"), f"lake_{uuid.uuid4().hex}"
+    write_lake(monthly(spark, folder), lake)
+    create_lake_table(spark, table, lake)
+    try:
+        known = [r[0] for r in register_partitions(spark, table).collect()]  # one a day and cab type
+        kinds = describe_table(spark, table).where("col_name = 'Type'").first()["data_type"]
+    finally:
+        spark.sql(f"DROP TABLE {table}")
+    return spark.createDataFrame([(p, kinds) for p in known], "partition string, kind string")
+
+
 @query
 def lake_days(spark, folder):
     """All months' rows written as a lake; its files per partition, read back."""
@@ -440,6 +486,22 @@ def staged_load(spark, folder):
     )
 
 
+@query
+def load_report(spark, folder):
+    """What each load reports; a staging without rows is refused."""
+    final, reports = work_folder(spark, "final"), []
+    yellow = lake_columns(t.trips(spark, folder)).where(F.col("cab_type") == "yellow")
+    for step, part in enumerate([*load_sides(yellow), yellow.limit(0)]):
+        path = work_folder(spark, "staging")
+        part.write.parquet(path)
+        try:
+            report = load.staged_load(spark, path, final, "yellow")
+            reports.append((step, report.staging_rows, report.final_row_count, False))
+        except load.EmptyStagingError:
+            reports.append((step, 0, None, True))
+    return spark.createDataFrame(reports, "step int, staging_rows bigint, final_row_count bigint, refused boolean")
+
+
 @query
 def filename_parse(spark, folder):
     """Object keys named after orders, with wrong prefixes, cab types, months and endings."""
@@ -508,6 +570,33 @@ def quality_stream(spark, folder):
     return quality.run_checks(t.staged_stream(spark, folder), quality.stream_checks(t.zones(spark, folder)))
 
 
+@query
+def quality_zones(spark, folder):
+    return quality.run_checks(t.zones(spark, folder), quality.zone_checks())
+
+
+@query
+def quality_enriched(spark, folder):
+    return quality.run_checks(enriched_trips(spark, folder), quality.enriched_checks())
+
+
+@query
+def quality_marts(spark, folder):
+    """The value checks of all marts over orders, some of which have no zone."""
+    tz = enriched_orders(spark, folder)
+    frames = [
+        marts.avg_fare_by_zone(tz),
+        marts.monthly_cab_counts(tz),
+        marts.avg_passengers_by_cab(enriched_trips(spark, folder)),
+        marts.avg_duration_by_cab_month(tz),
+    ]
+    checked = [
+        quality.run_checks(mart, quality.mart_checks(name)).withColumn("mart", F.lit(name))
+        for name, mart in zip(quality.MART_COLUMNS, frames, strict=True)
+    ]
+    return reduce(DataFrame.unionByName, checked)
+
+
 @query
 def quality_busiest(spark, folder):
     return quality.run_checks(marts.busiest_zone(enriched_orders(spark, folder)), quality.busiest_checks())
@@ -569,6 +658,14 @@ def credit_cost(spark, folder):
     )
 
 
+@query
+def credit_cost_inline(spark, folder):
+    """The same for a few ids given as a list."""
+    chosen = t.chosen_queries(spark, folder).orderBy("query_id").limit(7).collect()
+    ids = cost.inline_ids(spark, [r["query_id"] for r in chosen], "bigint")
+    return cost.credit_cost(t.query_history(spark, folder), t.query_attribution(spark, folder), ids)
+
+
 def usage_inputs(spark, folder):
     history, ids = t.query_history(spark, folder), t.chosen_queries(spark, folder)
     selected = cost.selected_queries(history, ids)
@@ -714,12 +811,20 @@ def delivered_twice(spark, folder):
     return once.unionByName(t.as_stream_trips(t.events_stream(spark, folder)))
 
 
+def landed_twice(spark, folder) -> str:
+    """The stream trips as two landed files that share five days."""
+    landing = work_folder(spark, "landing")
+    for part in load_sides(t.stream_trips(spark, folder)):
+        part.coalesce(1).write.mode("append").parquet(landing)
+    return landing
+
+
 @query
 def stream_dedup(spark, folder):
-    sink = work_folder(spark, "trips")
-    streams.run_keyed_load(
-        delivered_twice(spark, folder), sink, work_folder(spark, "checkpoint")
-    ).awaitTermination()
+    """Two micro-batches, the second of which brings rows that the sink holds."""
+    sink, landing = work_folder(spark, "trips"), landed_twice(spark, folder)
+    files = streams.file_stream(spark, landing, t.stream_trips(spark, folder).schema, max_files=1)
+    streams.run_keyed_load(files.drop("source_file"), sink, work_folder(spark, "checkpoint")).awaitTermination()
     return spark.read.parquet(sink).select("trip_id", "pickup_datetime", "fare_amount", "year", "month", "day", "hour")
 
 
@@ -754,14 +859,22 @@ def stream_static_join(spark, folder):
 
 @query
 def stream_file_load(spark, folder):
-    """Landed files loaded by key and entered in the ledger; ledger rows and trips counted."""
-    landing, sink, ledger = (work_folder(spark, n) for n in ("landing", "trips", "ledger"))
-    t.stream_trips(spark, folder).write.parquet(landing)
-    files = streams.file_stream(spark, landing, t.stream_trips(spark, folder).schema)
+    """Two landed files with rows in common, one per micro-batch; the trips with what the ledger says."""
+    landing, (sink, ledger) = landed_twice(spark, folder), (work_folder(spark, n) for n in ("trips", "ledger"))
+    files = streams.file_stream(spark, landing, t.stream_trips(spark, folder).schema, max_files=1)
     streams.run_file_load(files, sink, ledger, work_folder(spark, "checkpoint")).awaitTermination()
-    landed = spark.read.parquet(landing).select(F.col("_metadata.file_path").alias("pipeline_id")).distinct()
-    missing = landed.join(load.read_ledger(spark, ledger), "pipeline_id", "left_anti")
-    return spark.read.parquet(sink).agg(F.count("*").alias("trips")).withColumn(
-        "files_not_in_ledger", missing.agg(F.count("*")).scalar()
+    entries = load.read_ledger(spark, ledger).agg(F.count("*").alias("files_in_ledger")).first()[0]
+    return spark.read.parquet(sink).select("trip_id", "pickup_datetime", "fare_amount").withColumn(
+        "files_in_ledger", F.lit(entries).cast("bigint")
     )
 
+
+@query
+def stream_late_rows(spark, folder):
+    """Rows more than a day older than what came before, beside the others."""
+    landing, (sink, late, marks) = landed_twice(spark, folder), (work_folder(spark, n) for n in ("trips", "late", "marks"))
+    schema = t.stream_trips(spark, folder).schema
+    files = streams.file_stream(spark, landing, schema, max_files=1).drop("source_file")
+    streams.run_late_split(files, sink, late, marks, work_folder(spark, "checkpoint"), delay="1 day").awaitTermination()
+    sides = [spark.read.parquet(path).select("trip_id", "event_time", F.lit(side).alias("side")) for path, side in ((sink, "on time"), (late, "late"))]
+    return sides[0].unionByName(sides[1])
