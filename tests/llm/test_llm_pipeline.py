@@ -1,0 +1,113 @@
+"""The pipeline against brute force, stage by stage, on a small corpus with every kind of row."""
+
+from __future__ import annotations
+
+import random
+from collections import defaultdict
+
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from tests.llm.cases import SCHEMA, corpus, words
+from tests.llm.test_llm_natives import brute_report
+from tests.llm.test_llm_packing import check
+from tests.llm.test_llm_simhash import brute_components, brute_print
+from tripmill.llm import toxicity
+
+
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("tables"))
+    draw = random.Random(21)
+    item = words(draw, 30)
+    passage = words(draw, 80)
+    rows = {r[0]: r for r in corpus() if r[0] is not None}
+    extra = [f"{words(draw, 50)} {insult} {words(draw, 40)} {insult}" for insult in ["scumbag"] * 80]
+    extra += [words(draw, draw.randint(30, 120)) for _ in range(120)]
+    extra += [f"{words(draw, 40)} {passage} {words(draw, 20)}" for _ in range(3)] + [f"{words(draw, 25)} {item}"]
+    for k, text in enumerate(extra):
+        rows[1000 + k] = (1000 + k, text, "en", "src", len(text))
+    spark.createDataFrame(list(rows.values()), SCHEMA).coalesce(2).write.parquet(f"{path}/documents.parquet")
+    labels = [(1000 + k, 1, int("scumbag" in t)) for k, t in enumerate(extra)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+    return path
+
+
+@pytest.fixture(scope="module")
+def stages(spark, folder, tmp_path_factory):
+    """What each stage returned, the documents first."""
+    place = tmp_path_factory.mktemp("stages")
+    out = [spark.read.parquet(f"{folder}/documents.parquet")]
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, out[-1], folder).write.parquet(f"{place}/{name}")
+        out.append(spark.read.parquet(f"{place}/{name}"))
+    return out
+
+
+def texts(df) -> dict:
+    return {r["doc_id"]: r["text"] for r in df.collect()}
+
+
+def test_columns(stages):
+    for df in stages[:-1]:
+        assert df.columns == stages[0].columns
+
+
+def test_toxic_documents_go(spark, stages, folder):
+    scores = toxicity.score(stages[0], spark.read.parquet(f"{folder}/labels.parquet"))
+    stay = {r["doc_id"] for r in scores.where("predicted = 0").collect()}
+    assert set(texts(stages[1])) == stay
+    insulted = {k for k, t in texts(stages[0]).items() if "scumbag" in (t or "")}
+    assert not insulted & stay and len(stay) > 40
+
+
+def test_one_of_each_near_duplicate_group_stays(stages):
+    before = sorted(texts(stages[1]).items())
+    groups = brute_components([brute_print(t) for _, t in before], [k for k, _ in before])
+    assert texts(stages[2]) == {k: t for (k, t), g in zip(before, groups, strict=True) if k == g}
+
+
+def test_repeats_are_cut(stages):
+    seen, want = set(), {}
+    for doc_id, text in sorted(texts(stages[2]).items()):
+        raw, gone = (text or "").encode(), set()
+        for k in range(len(raw) - 99):
+            if raw[k : k + 100] in seen:
+                gone |= set(range(k, k + 100))
+            seen.add(raw[k : k + 100])
+        left = bytes(b for k, b in enumerate(raw) if k not in gone).decode("utf-8", "ignore")
+        want[doc_id] = None if text is None else left
+    assert texts(stages[3]) == want
+    assert want != texts(stages[2])
+    assert stages[3].where("text is not null and n_chars <> length(text)").isEmpty()
+
+
+def test_contaminated_documents_go(spark, stages, folder):
+    items = [tuple(r) for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
+    report = brute_report(list(texts(stages[3]).items()), items, 10)
+    assert any(r[-1] for r in report)
+    assert set(texts(stages[4])) == {r[0] for r in report if not r[-1]}
+
+
+def test_packed_documents(stages):
+    check(stages[5].collect(), texts(stages[4]), Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), 1024)
+
+
+def test_run_equals_the_stages(spark, stages, folder):
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    whole = corpus_pipeline.run(spark, folder)
+    assert sorted(map(tuple, whole.select(columns).collect())) == sorted(map(tuple, stages[5].select(columns).collect()))
+    by_sequence = defaultdict(int)
+    for r in whole.collect():
+        by_sequence[r["sequence_id"]] += r["length"]
+    assert len(by_sequence) == stages[5].select(F.count_distinct("sequence_id")).first()[0]
+
+
+def test_empty_tables(spark, folder, tmp_path):
+    for name in ("documents", "labels", "benchmark"):
+        spark.read.parquet(f"{folder}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []

@@ -90,3 +90,15 @@ def test_text_stage_keeps_columns_and_nulls(spark):
     assert all(r["n_spans"] == "own" for r in rows)
     assert sum(r["text"] is None for r in rows) == sum(r[1] is None for r in corpus())
     assert all(r["n_chars"] == (None if r["text"] is None else len(r["text"])) for r in rows)
+
+
+def test_blocks_follow_the_content():
+    """Blocks are long, cover each string once, and move with the text they are cut from."""
+    draw = random.Random(9)
+    finder = repeats.Minimizers(100)
+    text = bytes(draw.choice(b"abcdefgh ") for _ in range(6000))
+    (prints, starts, stops), = finder.blocks(text)
+    assert starts[0] == 0 and stops[-1] == 6000 - 99 and (starts[1:] == stops[:-1]).all()
+    assert 25 < (stops - starts).mean() < 45
+    (moved, _, _), = finder.blocks(b"something else before " + text)
+    assert len(set(prints.tolist()) - set(moved.tolist())) <= 1

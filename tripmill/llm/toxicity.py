@@ -27,6 +27,7 @@ GRAM_BUCKETS, GRAM_WIDTH = 8192, 12
 GRAMS = (3, 4, 5, 6)
 HIDDEN, ATTENTION = 8, 8
 DECAY = 0.01  # per step, of the embeddings
+EPOCHS, STEPS, BATCH = 6, 250, 96
 PREDICT_SCORE = 0.5
 # Bounds of the training sample.
 ROWS_PER_CLASS = 1500
@@ -249,15 +250,20 @@ def _seed_odds(net: GatedNetwork, words: Vocabulary, labels: np.ndarray) -> None
         net.p[name][:, 0] = np.clip(odds, -3, 3)
 
 
-def fit_windows(documents: list[list[str]], labels: np.ndarray, epochs: int = 6, rate: float = 0.01) -> GatedNetwork:
-    """Train all parameters by Adam on the windows that teach."""
+def fit_windows(documents: list[list[str]], labels: np.ndarray, rate: float = 0.01) -> GatedNetwork:
+    """Train all parameters by Adam on the windows that teach.
+
+    Each document is seen ``EPOCHS`` times, or more often in a small sample, so that there are
+    about ``STEPS`` steps.
+    """
+    epochs = min(8 * EPOCHS, max(EPOCHS, -(-STEPS * BATCH // max(1, len(documents)))))
     net, draw, words = GatedNetwork.fresh(), np.random.default_rng(3), Vocabulary(documents)
     _seed_odds(net, words, labels)
     counts = np.diff(np.append(words.starts, len(words.grams)))
     state = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items()}
     step = 0
     for epoch in range(epochs):
-        if epoch < 2:  # the network knows nothing yet: go by the words' odds
+        if epoch < epochs // 3:  # the network knows nothing yet: go by the words' odds
             ids, owner = words.windows()
             x = net.inputs(words)
             odds = np.append(x[:, 0] + x[:, WORD_WIDTH], -np.inf)
@@ -269,7 +275,7 @@ def fit_windows(documents: list[list[str]], labels: np.ndarray, epochs: int = 6,
         top = order[last]
         clean = np.flatnonzero(labels[owner] == 0)
         pick = np.concatenate([top, draw.choice(clean, min(len(clean), int((labels == 0).sum())), replace=False)])
-        for batch in np.array_split(draw.permutation(pick), max(1, len(pick) // 96)):
+        for batch in np.array_split(draw.permutation(pick), max(1, len(pick) // BATCH)):
             used, local = np.unique(ids[batch], return_inverse=True)
             local = local.reshape(len(batch), WINDOW)
             if used[-1] != words.size:
