@@ -193,7 +193,8 @@ def run_file_load(
 
 def path_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """Names of new Parquet files of a folder, each once; the files are not opened."""
-    reader = spark.readStream.format("binaryFile").option("pathGlobFilter", "*.parquet")
+    columns = "path string, modificationTime timestamp, length bigint, content binary"
+    reader = spark.readStream.format("binaryFile").schema(columns).option("pathGlobFilter", "*.parquet")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.load(path).select(F.col("path").alias("key"))
