@@ -41,10 +41,6 @@ def texts(batch: pa.RecordBatch, column: str = "text") -> Iterator[bytes]:
         yield value.as_py() or b""
 
 
-def batches_of(columns: dict[str, list], schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
-
-
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, per_class: int, max_chars: int) -> list[tuple[str, int, float]]:
     """Labelled texts to fit on, as ``(text, label, rows it stands for)``.
 

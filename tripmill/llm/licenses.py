@@ -95,8 +95,8 @@ def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     names. Rows are told apart by id and text: rows that repeat both get the same answer, and
     each is returned. A null text is empty and carries no licence; a text known under two
     licences counts as the first by name; no known texts leave every row without licence.
-    Lines are looked up once per distinct line, so a line that most documents share is not
-    joined for each of them.
+    The known digests, one short row each, are the small side of both joins: Spark broadcasts
+    them while their bytes allow it and otherwise splits a line that most documents share.
     """
     spark = docs.sparkSession
     digests = known_digests(spark, known)
