@@ -105,9 +105,13 @@ def test_token_codes_mark_repeats():
     assert codes[0] == zlib.crc32(b"the") % quality_network.BUCKETS
 
 
-def test_long_text_is_read_whole(spark, labels):
-    junk = "Thing$$$ " * 3
-    text = " ".join(f"word{k}" for k in range(30_000))
-    rows = [(1, text, None, None, None), (2, text + " " + junk * 3000, None, None, None)]
+def test_long_text_is_read_whole(spark, docs, labels):
+    """What comes behind 100,000 characters counts as what stands before them."""
+    labelled = docs.join(labels, "doc_id").orderBy("doc_id").collect()
+    good = "\n".join([r["text"] for r in labelled if r["quality"] == 1][:60])
+    junk = "\n".join([r["text"] for r in labelled if r["quality"] == 0 and "$$$" in r["text"]])
+    whole = good + "\n" + junk * (1 + 2 * len(good) // len(junk))
+    rows = [(1, good, None, None, None), (2, whole, None, None, None)]
     out = {r["doc_id"]: r for r in quality_rules.judge(spark.createDataFrame(rows, SCHEMA), labels).collect()}
-    assert out[2]["n_symbols"] == 27_000 and out[2]["score"] < out[1]["score"]
+    assert len(good) > 100_000 and out[2]["n_symbols"] == brute_counts(whole)[2]
+    assert out[2]["score"] < 0.3 < out[1]["score"]

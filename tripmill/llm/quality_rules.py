@@ -1,7 +1,7 @@
 """Quality rules: base counts of a text, and a hashed n-gram logistic regression.
 
 The features of a text are the shares of its word unigrams and bigrams and of its byte 1-,
-2- and 3-grams in hashed buckets. The regression is fitted on a bounded sample of labelled
+2- and 3-grams in hashed buckets, as a mean over its segments. The regression is fitted on a bounded sample of labelled
 rows, its scores are calibrated (Platt) on rows it was not fitted on, and whole texts are
 scored in Arrow batches against a fixed threshold.
 """
@@ -23,12 +23,14 @@ from tripmill.llm.common import texts, training_rows
 WORD_BUCKETS = 2048
 CHAR_BUCKETS = 1024
 CHAR_LENGTHS = (1, 2, 3)
+SEGMENT = 3000
 KEEP_SCORE = 0.3
 # Bounds of the training sample.
 ROWS_PER_CLASS = 1000
 MAX_CHARS = 6000
 
 SYMBOLS = b"#*$%&|<>"
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
 _SYMBOL = bytes(1 if b in SYMBOLS else 0 for b in range(256))
 _CONTINUES = bytes(1 if 0x80 <= b < 0xC0 else 0 for b in range(256))
 
@@ -119,11 +121,28 @@ def families(text: bytes, memo: WordBuckets) -> list[tuple[np.ndarray, int]]:
     return [(words, WORD_BUCKETS), (pairs, WORD_BUCKETS)] + [(char_buckets(raw, n), CHAR_BUCKETS) for n in CHAR_LENGTHS]
 
 
+def segments(text: bytes) -> Iterator[bytes]:
+    """The text in stretches of about ``SEGMENT`` bytes that end at white space."""
+    begin = 0
+    while len(text) - begin > SEGMENT:
+        found = _SPACE.search(text, begin + SEGMENT)
+        end = found.end() if found else len(text)
+        yield text[begin:end]
+        begin = end
+    yield text[begin:]
+
+
 def features(text: bytes, memo: WordBuckets) -> np.ndarray:
-    """Root shares per bucket; a kind without n-grams is all zero."""
-    return np.concatenate(
-        [np.sqrt(np.bincount(b, minlength=size) / max(1, len(b))).astype(np.float32) for b, size in families(text, memo)]
-    )
+    """Root shares per bucket, as a mean over the text's segments, so that a long text weighs
+    as its parts do. A kind without n-grams is all zero."""
+    total = np.zeros(2 * WORD_BUCKETS + len(CHAR_LENGTHS) * CHAR_BUCKETS, np.float32)
+    for part in segments(text):
+        weight, at = len(part) / max(1, len(text)), 0
+        for buckets, size in families(part, memo):
+            if len(buckets):
+                total[at : at + size] += weight * np.sqrt(np.bincount(buckets, minlength=size) / len(buckets))
+            at += size
+    return total
 
 
 @dataclass
@@ -199,17 +218,9 @@ def fit(sample: list[tuple[str, int, float]]) -> NgramModel:
 
 
 def score_texts(batch: list[bytes], model: NgramModel, memo: WordBuckets) -> np.ndarray:
-    """Calibrated probabilities of whole texts, without building their feature rows."""
-    raw = np.empty(len(batch))
-    for k, text in enumerate(batch):
-        total, at = model.bias, 0
-        for buckets, size in families(text, memo):
-            if len(buckets):
-                shares = np.sqrt(np.bincount(buckets, minlength=size) * (1.0 / len(buckets)))
-                total += float(shares @ model.weights[at : at + size])
-            at += size
-        raw[k] = total
-    return model.probability(raw)
+    """Calibrated probabilities of whole texts."""
+    raw = np.array([float(features(text, memo) @ model.weights) + model.bias for text in batch])
+    return model.probability(raw) if len(batch) else raw
 
 
 def judge(docs: DataFrame, labels: DataFrame, keep_score: float = KEEP_SCORE) -> DataFrame:
