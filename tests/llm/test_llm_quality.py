@@ -111,7 +111,8 @@ def test_long_text_is_read_whole(spark, docs, labels):
     good = "\n".join([r["text"] for r in labelled if r["quality"] == 1][:60])
     junk = "\n".join([r["text"] for r in labelled if r["quality"] == 0 and "$$$" in r["text"]])
     whole = good + "\n" + junk * (1 + 2 * len(good) // len(junk))
-    rows = [(1, good, None, None, None), (2, whole, None, None, None)]
-    out = {r["doc_id"]: r for r in quality_rules.judge(spark.createDataFrame(rows, SCHEMA), labels).collect()}
-    assert len(good) > 100_000 and out[2]["n_symbols"] == brute_counts(whole)[2]
-    assert out[2]["score"] < 0.3 < out[1]["score"]
+    rows = [(-1, good, None, None, None), (-2, whole, None, None, None)]
+    both = docs.unionByName(spark.createDataFrame(rows, SCHEMA))
+    out = {r["doc_id"]: r for r in quality_rules.judge(both, labels).where("doc_id < 0").collect()}
+    assert len(good) > 100_000 and out[-2]["n_symbols"] == brute_counts(whole)[2]
+    assert out[-2]["score"] < 0.5 < out[-1]["score"]
