@@ -27,7 +27,7 @@ GRAM_BUCKETS, GRAM_WIDTH = 8192, 12
 GRAMS = (3, 4, 5, 6)
 HIDDEN, ATTENTION = 8, 8
 DECAY = 0.01  # per step, of the embeddings
-EPOCHS, STEPS, BATCH = 6, 250, 96
+EPOCHS, STEPS, BATCH = 6, 125, 96
 PREDICT_SCORE = 0.5
 # Bounds of the training sample.
 ROWS_PER_CLASS = 1500
