@@ -41,9 +41,9 @@ class Minimizers:
     def __init__(self, length: int):
         self.length, self.gram = length, max(1, length // 3)
         size = _STRETCH + length
-        self.powers = np.cumprod(np.concatenate([[1], np.full(size, _ODD, np.uint64)]).astype(np.uint64))
-        inverse = np.full(size, pow(_ODD, -1, 1 << 64), np.uint64)
-        self.inverse = np.cumprod(np.concatenate([[1], inverse]).astype(np.uint64))
+        self.powers, self.inverse = np.ones((2, size + 1), np.uint64)
+        self.powers[1:] = np.cumprod(np.full(size, _ODD, np.uint64))
+        self.inverse[1:] = np.cumprod(np.full(size, pow(_ODD, -1, 1 << 64), np.uint64))
 
     def _hashes(self, text: np.ndarray) -> np.ndarray:
         """A 64-bit hash of each n-gram, from one running sum over the text."""
@@ -170,7 +170,7 @@ def _block_rows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.R
                     elif before != place:
                         first[key], later = min(before, place), max(before, place)
                         out.append((doc[k].as_py(), None, None, *later))
-            if size > 8 * _TOGETHER or len(out) > _TOGETHER // 4:
+            if size > 4 * _TOGETHER or len(out) > _TOGETHER // 20:
                 yield from rows()
                 first, out, size = {}, [], 0
     yield from rows()
