@@ -33,6 +33,7 @@ _SUFFIXES = 200_000  # bytes of a suffix array, or up to four times that for one
 _STRINGS = 64_000_000  # bytes of strings
 _ODD = 0x9E3779B97F4A7C15
 _LOW = np.uint64((1 << 20) - 1)
+ALONE, SHARED, APART = 0, 1, 2
 
 
 class Minimizers:
@@ -75,10 +76,11 @@ class Minimizers:
 
 
 def _minimizer_rows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """``part, minimizer, doc, known`` of documents' minimizers.
+    """``part, other, kind`` of documents' minimizers.
 
-    Of minimizers that several of the documents looked at together have, one row goes to be
-    counted; the others are known to repeat and stay clear of the minimizer's own part.
+    One row of each minimizer goes to the part that counts it, with its document: of kind
+    ALONE, or SHARED if several of the documents looked at together have it. Their other rows
+    are of kind APART: they stay clear of the minimizer's part, and come by their document.
     """
     finder = Minimizers(length)
     prints: list[np.ndarray] = []
@@ -93,8 +95,9 @@ def _minimizer_rows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[
         again = ~first | np.append(~first[1:], False)
         new = first | (np.append(True, doc[1:] != doc[:-1]))  # one row a minimizer and document
         m, doc, first, again = m[new].view(np.int64), doc[new], first[new], again[new]
-        part = np.where(first, m, doc)
-        return pa.RecordBatch.from_arrays([pa.array(part), pa.array(m), pa.array(doc), pa.array(again)], names=["part", "minimizer", "doc", "known"])
+        kind = np.where(first, np.where(again, SHARED, ALONE), APART).astype(np.int8)
+        columns = [np.where(first, m, doc), np.where(first, doc, m), kind]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["part", "other", "kind"])
 
     for batch in batches:
         for doc, text in zip(batch.column(0).to_pylist(), texts(batch), strict=True):
@@ -110,29 +113,31 @@ def _minimizer_rows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[
 
 
 def _repeated_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``doc, minimizer`` of the minimizers with several rows, or known to repeat."""
-    held: tuple | None = None  # the last minimizer's first row, while it is the only one
+    """``doc, minimizer`` of the minimizers that repeat, from rows sorted by part."""
+    held: tuple | None = None  # the last row so far, which the next one may repeat
+
+    def out(part: np.ndarray, other: np.ndarray, kind: np.ndarray, repeats: np.ndarray) -> pa.RecordBatch:
+        apart = kind[repeats] == APART
+        part, other = part[repeats], other[repeats]
+        pair = [np.where(apart, part, other), np.where(apart, other, part)]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in pair], names=["doc", "minimizer"])
+
     for batch in batches:
-        m, doc, known = (batch.column(k).to_numpy(zero_copy_only=False) for k in (1, 2, 3))
+        if not batch.num_rows:
+            continue
+        part, other, kind = (batch.column(k).to_numpy() for k in range(3))
         if held is not None:
-            m, doc, known = (np.append(a, b) for a, b in zip(held, (m, doc, known), strict=True))
-        same = m[1:] == m[:-1]
-        out = known | np.append(False, same) | np.append(same, False)
-        held = None
-        if len(m) and not out[-1]:
-            held = (m[-1:], doc[-1:], known[-1:])
-        elif len(m):  # whatever follows with this minimizer repeats it
-            held = (m[-1:], doc[-1:], np.array([True]))
-            out[-1] = False
-        if len(m):
-            out[-1] = False  # it comes with the next batch, or at the end
-        yield pa.RecordBatch.from_arrays([pa.array(doc[out]), pa.array(m[out])], names=["doc", "minimizer"])
-    if held is not None and held[2][0]:
-        yield pa.RecordBatch.from_arrays([pa.array(held[1]), pa.array(held[0])], names=["doc", "minimizer"])
+            part, other, kind = (np.append(a, b) for a, b in zip(held, (part, other, kind), strict=True))
+        same = part[1:] == part[:-1]
+        repeats = (kind != ALONE) | np.append(False, same) | np.append(same, False)
+        held = (part[-1:], other[-1:], np.where(repeats[-1:] & (kind[-1:] == ALONE), SHARED, kind[-1:]).astype(np.int8))
+        yield out(part[:-1], other[:-1], kind[:-1], repeats[:-1])
+    if held is not None:
+        yield out(*held, held[2] != ALONE)
 
 
 _BLOCK = pa.schema(
-    [("part", pa.int64()), ("minimizer", pa.int64()), ("block", pa.binary()), ("id", pa.int64()), ("tie", pa.int64()), ("start", pa.int64()), ("stop", pa.int64())]
+    [("part", pa.int64()), ("block", pa.binary()), ("id", pa.int64()), ("tie", pa.int64()), ("start", pa.int64()), ("stop", pa.int64())]
 )
 _SPAN = pa.schema([("id", pa.int64()), ("tie", pa.int64()), ("start", pa.int64()), ("stop", pa.int64())])
 
@@ -151,12 +156,19 @@ def _block_rows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.R
     size = 0
 
     def rows() -> Iterator[pa.RecordBatch]:
-        every = [(m, m, block, *place) for (m, block), place in first.items()] + out
+        every: list[tuple] = [(m, block, *place) for (m, block), place in first.items()]
+        out.sort()
+        for id_, tie, start, stop in out:  # neighbouring spans of a document become one
+            last = every[-1] if every else (0, b"")
+            if last[1] is None and last[2:4] == (id_, tie) and last[5] == start:
+                every[-1] = (*last[:5], stop)
+            else:
+                every.append((hash((id_, tie)), None, id_, tie, start, stop))
         for k in range(0, len(every), 20_000):
             yield _as_batch(every[k : k + 20_000], _BLOCK)
 
     for batch in batches:
-        doc, id_, tie, wanted = (batch.column(k) for k in (0, 1, 2, 4))  # then the row, not needed here
+        id_, tie, wanted = (batch.column(k) for k in (1, 2, 4))  # then the row, not needed here
         for k, text in enumerate(texts(batch.select(["text"]))):
             repeated = np.asarray(wanted[k].as_py(), np.int64).view(np.uint64)
             own = (id_[k].as_py(), tie[k].as_py())
@@ -168,8 +180,8 @@ def _block_rows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.R
                     if before is place:
                         size += b - a + length
                     elif before != place:
-                        first[key], later = min(before, place), max(before, place)
-                        out.append((doc[k].as_py(), None, None, *later))
+                        first[key] = min(before, place)
+                        out.append(max(before, place))
             if size > 4 * _TOGETHER or len(out) > _TOGETHER // 20:
                 yield from rows()
                 first, out, size = {}, [], 0
@@ -249,7 +261,7 @@ def _span_rows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Re
         first.clear()
 
     for batch in batches:
-        columns = [batch.column(k).to_pylist() for k in range(1, 7)]
+        columns = [batch.column(k).to_pylist() for k in range(6)]
         for m, block, *place in zip(*columns, strict=True):
             place = tuple(place)
             if block is None:
@@ -310,9 +322,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, as_text: bool = False)
     minimizers = (
         keyed.select("doc", "text")
         .where(F.octet_length("text") >= length)
-        .mapInArrow(lambda b: _minimizer_rows(b, length), "part long, minimizer long, doc long, known boolean")
+        .mapInArrow(lambda b: _minimizer_rows(b, length), "part long, other long, kind byte")
         .repartition("part")
-        .sortWithinPartitions("minimizer")
+        .sortWithinPartitions("part")
     )
     repeated = (
         minimizers.mapInArrow(_repeated_rows, "doc long, minimizer long")
@@ -326,9 +338,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, as_text: bool = False)
         by_doc.join(repeated, "doc")
         .where("copy = 1")
         .select("doc", "id", "tie", "text", "repeated", "row")
-        .mapInArrow(lambda b: _block_rows(b, length), "part long, minimizer long, block binary, id long, tie long, start long, stop long")
+        .mapInArrow(lambda b: _block_rows(b, length), "part long, block binary, id long, tie long, start long, stop long")
         .repartition("part")
-        .sortWithinPartitions("minimizer")
+        .sortWithinPartitions("part")
     )
     spans = (
         blocks.mapInArrow(lambda b: _span_rows(b, length), "id long, tie long, start long, stop long")
