@@ -123,7 +123,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Data
     own = docs.select("doc_id", text_hash(F.col("text")).alias("tie"), "text")
     same = own["doc_id"].eqNullSafe(found["doc_id"]) & (own["tie"] == found["tie"])
     return (
-        own.join(found, same)
+        own.join(found.hint("merge"), same)  # one plan at every size: candidates grow with the corpus
         .select(own["doc_id"], own["tie"], words_of(ascii_lower(F.col("text"))).alias("words"), "tests")
         .select("doc_id", "tie", _occurrences(window).alias("spans"))
         .where(F.size("spans") > 0)
