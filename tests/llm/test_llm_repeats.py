@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -77,6 +78,93 @@ def test_small_alphabet_and_small_limits(spark, limits, monkeypatch):
     assert got == want
 
 
+def in_process(rows: list[tuple[int, bytes]], length: int, parts: int) -> set[tuple[int, int]]:
+    """``(id, start)`` of the repeated strings by the steps of ``remove_repeats``, run in this
+    process, where limits set by a test hold. Batches are of ``parts`` rows."""
+    def by_part(batches, *columns):
+        table = pa.Table.from_batches(batches).sort_by([("part", "ascending")])
+        return table.select(columns).to_batches(max_chunksize=parts) if columns else table.to_batches(max_chunksize=parts)
+
+    minimizers = by_part([b for k in range(0, len(rows), parts) for b in repeats._minimizer_rows(
+        iter([pa.RecordBatch.from_pydict({"doc": [r[0] for r in rows[k : k + parts]], "text": [r[1] for r in rows[k : k + parts]]})]), length)])
+    crowds = {m for b in repeats._crowded_rows(iter(minimizers), length) for m in b.column(0).to_pylist()}
+    wanted: dict[int, set] = {}
+    for b in repeats._repeated_rows(iter(minimizers)):
+        for doc, m in zip(*b.to_pydict().values(), strict=True):
+            wanted.setdefault(doc, set()).add(m)
+    docs = [(k, k, 0, t, list(wanted[k]), list(wanted[k] & crowds)) for k, t in rows if k in wanted]
+    blocks = []
+    for k in range(0, len(docs), parts):
+        names = ("doc", "id", "tie", "text", "repeated", "crowded")
+        blocks += repeats._block_rows(iter([pa.RecordBatch.from_pydict(dict(zip(names, map(list, zip(*docs[k : k + parts], strict=True)), strict=True)))]), length)
+    spans = [r for b in repeats._span_rows(iter(by_part(blocks)), length) for r in b.to_pylist()]
+    assert crowds
+    return {(r["id"], k) for r in spans for k in range(r["start"], r["stop"])}
+
+
+@pytest.mark.parametrize("length", [12, 30])
+@pytest.mark.parametrize("parts", [1, 7, 1000])
+def test_a_line_in_most_documents_is_never_held_whole(monkeypatch, length, parts):
+    """Its edge blocks differ in every document; no suffix array may grow with them."""
+    monkeypatch.setattr(repeats, "_SUFFIXES", 500)
+    draw = random.Random(8)
+    line = bytes(draw.choice(b"abcdefgh ") for _ in range(60))
+    own = lambda: bytes(draw.choice(b"abcdefgh ") for _ in range(40))
+    rows = [(k, own() + line + own() if k % 3 else own() + b"\n" + line) for k in range(200)]
+    real, sizes = repeats._repeated_spans, []
+    monkeypatch.setattr(repeats, "_repeated_spans", lambda blocks, n: sizes.append(sum(len(t) + 1 for _, t in blocks)) or real(blocks, n))
+    seen, want = set(), set()
+    for k, text in rows:
+        for at in range(len(text) - length + 1):
+            if text[at : at + length] in seen:
+                want.add((k, at))
+            seen.add(text[at : at + length])
+    assert in_process(rows, length, parts) == want
+    assert max(sizes, default=0) <= 5 * repeats._SUFFIXES
+
+
+def test_a_crowd_at_the_limits_that_hold(spark):
+    """More distinct edge blocks of one line than a suffix array takes."""
+    draw = random.Random(3)
+    line = "".join(draw.choice("abcdefgh ") for _ in range(130))
+    rows = [(k, "".join(draw.choice("abcdefgh ") for _ in range(60)) + line, None, None, None) for k in range(repeats._crowd(100) + 500)]
+    got, want = both(spark, documents(spark, rows), 100)
+    assert got == want
+
+
+def test_crowded_minimizers_are_cut_into_strings():
+    """Blocks of a crowded minimizer leave as digests by string, equal strings met on the way."""
+    draw = random.Random(4)
+    line = bytes(draw.choice(b"abcdefgh ") for _ in range(150))
+    texts = [bytes(draw.choice(b"abcdefgh ") for _ in range(90)) + line for _ in range(40)]
+    finder = repeats.Minimizers(100)
+    prints = [np.concatenate([found for found, _, _ in finder.blocks(t)]).view(np.int64).tolist() for t in texts]
+    columns = {"doc": range(40), "id": range(40), "tie": range(40), "text": texts, "repeated": prints, "crowded": prints}
+    batch = pa.RecordBatch.from_pydict({k: list(v) for k, v in columns.items()})
+    out = [r for b in repeats._block_rows(iter([batch]), 100) for r in b.to_pylist()]
+    whole = [r for r in out if r["block"] is not None]
+    assert all(len(r["block"]) == 16 and r["stop"] - r["start"] == 1 for r in whole)
+    assert len(whole) == len({t[k : k + 100] for t in texts for k in range(len(t) - 99)})
+    assert sum(r["stop"] - r["start"] for r in out) == sum(len(t) - 99 for t in texts)
+
+
+def test_distinct_blocks_are_counted():
+    """Equal blocks count once where they are looked at together, and a crowd is found by its sum."""
+    draw = random.Random(6)
+    line = bytes(draw.choice(b"abcdefgh ") for _ in range(200))
+    texts = [bytes(draw.choice(b"abcdefgh ") for _ in range(90)) + line for _ in range(30)]
+    batch = pa.RecordBatch.from_pydict({"doc": list(range(30)), "text": texts})
+    (rows,) = repeats._minimizer_rows(iter([batch]), 100)
+    got = {r["part"]: r["kind"] for r in rows.to_pylist() if r["kind"] > 0}
+    finder, want = repeats.Minimizers(100), {}
+    for t in texts:
+        for found, starts, stops in finder.blocks(t):
+            for m, a, b in zip(found.view(np.int64).tolist(), starts, stops, strict=True):
+                want.setdefault(m, []).append(t[a : b + 99])
+    assert got == {m: len(set(v)) for m, v in want.items() if len(v) > 1}
+    assert max(got.values()) > 5 and min(got.values()) == 1
+
+
 def test_no_rows(spark):
     assert repeats.report(documents(spark, [])).collect() == []
 

@@ -8,6 +8,8 @@ equal minimizers at equal places. So the suffixes are distributed by minimizer:
    and the minimizers go to the task that counts them.
 2. Blocks whose minimizer occurs once anywhere are done with. The others, with their text,
    meet at their minimizer. Equal blocks are dealt with before that where a task holds both.
+   Blocks of a minimizer with very many distinct ones, such as those at the edges of a line
+   that a third of the documents share, are cut into their strings, which meet by themselves.
 3. There the difference-cover algorithm sorts the suffixes of the distinct blocks; neighbours
    that agree in ``length`` bytes are occurrences of one string, of which the first stays.
 4. Each document gathers the starts of its repeated strings and drops the bytes they cover.
@@ -16,6 +18,8 @@ equal minimizers at equal places. So the suffixes are distributed by minimizer:
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -30,10 +34,16 @@ NO_ID = -(1 << 63)
 _STRETCH = 1 << 19  # windows handled at once, under 2**20
 _TOGETHER = 2_000_000  # minimizers or blocks' bytes that a task looks at together
 _SUFFIXES = 200_000  # bytes of a suffix array, or up to four times that for one minimizer
-_STRINGS = 64_000_000  # bytes of strings
+_STRINGS = 16_000_000  # bytes of strings, cut from blocks, that a task looks at together
+_DIGEST = 16  # bytes that stand for a longer string
 _ODD = 0x9E3779B97F4A7C15
 _LOW = np.uint64((1 << 20) - 1)
-ALONE, SHARED, APART = 0, 1, 2
+APART, ALONE, SHARED = -1, 0, 1  # or more than SHARED: so many distinct blocks
+
+
+def _crowd(length: int) -> int:
+    """Distinct blocks of one minimizer that fit a suffix array; none has twice ``length`` bytes."""
+    return max(1, 4 * _SUFFIXES // (2 * length))
 
 
 class Minimizers:
@@ -46,10 +56,14 @@ class Minimizers:
         self.powers[1:] = np.cumprod(np.full(size, _ODD, np.uint64))
         self.inverse[1:] = np.cumprod(np.full(size, pow(_ODD, -1, 1 << 64), np.uint64))
 
-    def _hashes(self, text: np.ndarray) -> np.ndarray:
-        """A 64-bit hash of each n-gram, from one running sum over the text."""
+    def _sums(self, text: np.ndarray) -> np.ndarray:
+        """The running sum over the text that hashes of its pieces are taken from."""
         total = np.zeros(len(text) + 1, np.uint64)
         np.cumsum((text.astype(np.uint64) + np.uint64(1)) * self.powers[: len(text)], out=total[1:])
+        return total
+
+    def _hashes(self, text: np.ndarray, total: np.ndarray) -> np.ndarray:
+        """A 64-bit hash of each n-gram."""
         h = (total[self.gram :] - total[: -self.gram]) * self.inverse[: len(text) - self.gram + 1]
         h ^= h >> np.uint64(29)
         h *= np.uint64(0xBF58476D1CE4E5B9)
@@ -58,9 +72,16 @@ class Minimizers:
 
     def blocks(self, text: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """For each stretch of the text the blocks' minimizers, first and last + 1 string."""
+        for found, first, last, _ in self.hashed_blocks(text):
+            yield found, first, last
+
+    def hashed_blocks(self, text: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """``blocks`` with a 64-bit hash of each block's bytes."""
         raw, wide = np.frombuffer(text, np.uint8), self.length - self.gram + 1
         for begin in range(0, max(0, len(raw) - self.length + 1), _STRETCH):
-            h = self._hashes(raw[begin : begin + _STRETCH + self.length - 1])
+            piece = raw[begin : begin + _STRETCH + self.length - 1]
+            total = self._sums(piece)
+            h = self._hashes(piece, total)
             # The place in the low bits makes the leftmost of equal hashes the least.
             least = (h & ~_LOW) | np.arange(len(h), dtype=np.uint64)
             step = 1
@@ -72,42 +93,53 @@ class Minimizers:
             at = least & _LOW
             first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
             last = np.append(first[1:], len(at))
-            yield h[at[first]], first + begin, last + begin
+            whole = (total[last + self.length - 1] - total[first]) * self.inverse[first]
+            yield h[at[first]], first + begin, last + begin, whole
 
 
 def _minimizer_rows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """``part, other, kind`` of documents' minimizers.
 
     One row of each minimizer goes to the part that counts it, with its document: of kind
-    ALONE, or SHARED if several of the documents looked at together have it. Their other rows
-    are of kind APART: they stay clear of the minimizer's part, and come by their document.
+    ALONE, or if it occurs several times in the documents looked at together, the number of
+    its distinct blocks there, SHARED or more. The documents' other rows are of kind APART:
+    they stay clear of the minimizer's part, and come by their document.
     """
     finder = Minimizers(length)
     prints: list[np.ndarray] = []
     owners: list[np.ndarray] = []
+    hashes: list[np.ndarray] = []
     size = 0
 
     def rows() -> pa.RecordBatch:
-        m, doc = np.concatenate(prints), np.concatenate(owners)
+        m, doc, whole = np.concatenate(prints), np.concatenate(owners), np.concatenate(hashes)
         order = np.argsort(m, kind="stable")
-        m, doc = m[order], doc[order]
+        m, doc, whole = m[order], doc[order], whole[order]
         first = np.append(True, m[1:] != m[:-1])
         again = ~first | np.append(~first[1:], False)
+        blocks = np.zeros(len(m), np.int64)  # at the first row of each repeated minimizer
+        if again.any():
+            own, block, begins = m[again], whole[again], np.flatnonzero(first[again])
+            by = np.lexsort((block, own))  # minimizers stay where they are, their blocks are sorted
+            block = block[by]
+            differs = first[again] | np.append(True, block[1:] != block[:-1])
+            blocks[first & again] = np.add.reduceat(differs.astype(np.int64), begins)
         new = first | (np.append(True, doc[1:] != doc[:-1]))  # one row a minimizer and document
         m, doc, first, again = m[new].view(np.int64), doc[new], first[new], again[new]
-        kind = np.where(first, np.where(again, SHARED, ALONE), APART).astype(np.int8)
+        kind = np.where(first, np.where(again, blocks[new], ALONE), APART)
         columns = [np.where(first, m, doc), np.where(first, doc, m), kind]
         return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["part", "other", "kind"])
 
     for batch in batches:
         for doc, text in zip(batch.column(0).to_pylist(), texts(batch), strict=True):
-            for found, _, _ in finder.blocks(text):
+            for found, _, _, whole in finder.hashed_blocks(text):
                 prints.append(found)
+                hashes.append(whole)
                 owners.append(np.full(len(found), doc, np.int64))
                 size += len(found)
         if size > _TOGETHER:
             yield rows()
-            prints, owners, size = [], [], 0
+            prints, owners, hashes, size = [], [], [], 0
     if size:
         yield rows()
 
@@ -130,12 +162,33 @@ def _repeated_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             part, other, kind = (np.append(a, b) for a, b in zip(held, (part, other, kind), strict=True))
         same = part[1:] == part[:-1]
         repeats = (kind != ALONE) | np.append(False, same) | np.append(same, False)
-        held = (part[-1:], other[-1:], np.where(repeats[-1:] & (kind[-1:] == ALONE), SHARED, kind[-1:]).astype(np.int8))
+        held = (part[-1:], other[-1:], np.where(repeats[-1:] & (kind[-1:] == ALONE), SHARED, kind[-1:]))
         yield out(part[:-1], other[:-1], kind[:-1], repeats[:-1])
     if held is not None:
         yield out(*held, held[2] != ALONE)
 
 
+def _crowded_rows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """``minimizer`` of those with more distinct blocks than a suffix array takes, from rows
+    sorted by part. Blocks that tasks have in common count once for each of them."""
+    most = _crowd(length)
+    last, total = np.zeros(0, np.int64), 0  # the part not complete yet
+
+    for batch in batches:
+        part, kind = batch.column(0).to_numpy(), batch.column(2).to_numpy()
+        part, kind = part[kind != APART], kind[kind != APART]
+        if not len(part):
+            continue
+        blocks = np.append(total, np.maximum(kind, 1)) if len(last) else np.maximum(kind, 1)
+        part = np.append(last, part)
+        begins = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+        sums = np.add.reduceat(blocks, begins)
+        last, total = part[-1:], sums[-1]
+        yield pa.RecordBatch.from_arrays([pa.array(part[begins[:-1]][sums[:-1] > most])], names=["minimizer"])
+    if total > most:
+        yield pa.RecordBatch.from_arrays([pa.array(last)], names=["minimizer"])
+
+
 _BLOCK = pa.schema(
     [("part", pa.int64()), ("block", pa.binary()), ("id", pa.int64()), ("tie", pa.int64()), ("start", pa.int64()), ("stop", pa.int64())]
 )
@@ -148,12 +201,23 @@ def _as_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 
 def _block_rows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """The blocks whose minimizer repeats. Of equal blocks looked at together only the first
-    goes on; the others come without text, as repeated from start to stop."""
+    """The blocks whose minimizer repeats; those of crowded minimizers as one block a string,
+    which meet by a hash of the string, with a digest in place of a string that is longer.
+
+    Of equal blocks looked at together only the first goes on; the others come without text,
+    as repeated from start to stop.
+    """
     finder = Minimizers(length)
     first: dict[tuple[int, bytes], tuple[int, int, int, int]] = {}
     out: list[tuple] = []
-    size = 0
+    size = cut = 0
+
+    def add(key: tuple[int, bytes], place: tuple[int, int, int, int]) -> bool:
+        before = first.setdefault(key, place)
+        if before is not place and before != place:
+            first[key] = min(before, place)
+            out.append(max(before, place))
+        return before is place
 
     def rows() -> Iterator[pa.RecordBatch]:
         every: list[tuple] = [(m, block, *place) for (m, block), place in first.items()]
@@ -168,23 +232,26 @@ def _block_rows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.R
             yield _as_batch(every[k : k + 20_000], _BLOCK)
 
     for batch in batches:
-        id_, tie, wanted = (batch.column(k) for k in (1, 2, 4))  # then the row, not needed here
+        id_, tie, wanted, crowds = (batch.column(k) for k in (1, 2, 4, 5))  # then the row, not needed here
         for k, text in enumerate(texts(batch.select(["text"]))):
             repeated = np.asarray(wanted[k].as_py(), np.int64).view(np.uint64)
+            crowded = set(crowds[k].as_py())
             own = (id_[k].as_py(), tie[k].as_py())
             for found, starts, stops in finder.blocks(text):
                 hit = np.isin(found, repeated)
                 for m, a, b in zip(found[hit].view(np.int64).tolist(), starts[hit].tolist(), stops[hit].tolist(), strict=True):
-                    key, place = (m, text[a : b + length - 1]), (*own, a, b)
-                    before = first.setdefault(key, place)
-                    if before is place:
-                        size += b - a + length
-                    elif before != place:
-                        first[key] = min(before, place)
-                        out.append(max(before, place))
-            if size > 4 * _TOGETHER or len(out) > _TOGETHER // 20:
+                    if m not in crowded:
+                        if add((m, text[a : b + length - 1]), (*own, a, b)):
+                            size += b - a + length
+                        continue
+                    for at in range(a, b):
+                        string = text[at : at + length]
+                        digest = blake2b(string, digest_size=_DIGEST).digest()
+                        part = int.from_bytes(digest[:8], "little", signed=True)
+                        cut += length * add((part, digest if length > _DIGEST else string), (*own, at, at + 1))
+            if size > 4 * _TOGETHER or cut > _STRINGS or len(out) > _TOGETHER // 20:
                 yield from rows()
-                first, out, size = {}, [], 0
+                first, out, size, cut = {}, [], 0, 0
     yield from rows()
 
 
@@ -217,33 +284,6 @@ def _repeated_spans(blocks: list[tuple[tuple, bytes]], length: int) -> list[tupl
     return spans
 
 
-def _single_strings(group: list[tuple[tuple, bytes]], length: int) -> list[tuple]:
-    """``_repeated_spans`` of more blocks of one minimizer than a suffix array takes.
-
-    The blocks are cut into their strings, which are compared as such. Strings are dealt by
-    their hash and a deal at a time is looked at, so that memory stays bounded.
-    """
-    strings = sum(stop - start for (_, _, start, stop), _ in group)
-    deals = 1 + strings * length // _STRINGS
-    spans = []
-    for deal in range(deals):
-        seen: set[bytes] = set()
-        for (id_, tie, start, stop), text in group:
-            for k in range(stop - start):
-                string = text[k : k + length]
-                if hash(string) % deals == deal:
-                    if string in seen:
-                        spans.append((id_, tie, start + k, start + k + 1))
-                    seen.add(string)
-    return spans
-
-
-def _sorted_spans(blocks: list[tuple[tuple, bytes]], length: int) -> list[tuple]:
-    blocks.sort(key=lambda item: item[0])
-    fits = sum(len(text) + 1 for _, text in blocks) <= 4 * _SUFFIXES
-    return (_repeated_spans if fits else _single_strings)(blocks, length)
-
-
 def _span_rows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """Starts of repeated strings, as spans by document, from blocks sorted by minimizer."""
     spans: list[tuple] = []
@@ -255,9 +295,10 @@ def _span_rows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Re
     def close() -> None:
         """The minimizer is complete: one distinct block alone holds no string twice."""
         nonlocal size
-        if len(first) > 1:
-            waiting.extend((place, block) for block, place in first.items())
-            size += sum(map(len, first)) + len(first)
+        blocks = [(place, block) for block, place in first.items() if len(block) >= length]  # no digests
+        if len(blocks) > 1:
+            waiting.extend(blocks)
+            size += sum(len(block) + 1 for _, block in blocks)
         first.clear()
 
     for batch in batches:
@@ -271,7 +312,7 @@ def _span_rows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Re
                 close()
                 current = m
                 if size > _SUFFIXES:
-                    spans += _sorted_spans(waiting, length)
+                    spans += _repeated_spans(sorted(waiting, key=itemgetter(0)), length)
                     waiting, size = [], 0
             before = first.setdefault(block, place)
             if before != place:
@@ -282,7 +323,7 @@ def _span_rows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Re
             spans = []
     close()
     if waiting:
-        spans += _sorted_spans(waiting, length)
+        spans += _repeated_spans(sorted(waiting, key=itemgetter(0)), length)
     yield _as_batch(spans, _SPAN)
 
 
@@ -322,14 +363,18 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, as_text: bool = False)
     minimizers = (
         keyed.select("doc", "text")
         .where(F.octet_length("text") >= length)
-        .mapInArrow(lambda b: _minimizer_rows(b, length), "part long, other long, kind byte")
+        .mapInArrow(lambda b: _minimizer_rows(b, length), "part long, other long, kind long")
         .repartition("part")
         .sortWithinPartitions("part")
     )
+    # Both read one exchange. A crowded minimizer takes hundreds of kilobytes of the corpus, so
+    # there are few; they are exchanged first, as a broadcast must not wait for the count.
+    crowded = minimizers.mapInArrow(lambda b: _crowded_rows(b, length), "minimizer long").repartition("minimizer")
     repeated = (
         minimizers.mapInArrow(_repeated_rows, "doc long, minimizer long")
+        .join(F.broadcast(crowded.withColumn("crowded", F.col("minimizer"))), "minimizer", "left")
         .groupBy("doc")
-        .agg(F.collect_set("minimizer").alias("repeated"))
+        .agg(F.collect_set("minimizer").alias("repeated"), F.collect_set("crowded").alias("crowded"))
     )
     # One exchange of the texts serves both joins; so both must ask for the same columns of it.
     copies = Window.partitionBy("doc", "id", "tie").orderBy("doc")
@@ -337,7 +382,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, as_text: bool = False)
     blocks = (
         by_doc.join(repeated, "doc")
         .where("copy = 1")
-        .select("doc", "id", "tie", "text", "repeated", "row")
+        .select("doc", "id", "tie", "text", "repeated", "crowded", "row")
         .mapInArrow(lambda b: _block_rows(b, length), "part long, block binary, id long, tie long, start long, stop long")
         .repartition("part")
         .sortWithinPartitions("part")
