@@ -175,6 +175,57 @@ def test_proximity_finds_copies_with_changes(spark):
     assert decontamination.report(docs, bench).where("doc_id = 99 and contaminated").isEmpty()
 
 
+def brute_near(rows: list[tuple], items: list[tuple], window: int = 10, slop: int = 5, least: int = 3) -> list[tuple]:
+    cut = lambda t: [w.lower() for w in re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(ASCII))]
+    counts = Counter(w for r in rows for w in cut(r[1]))
+    out = []
+    for item_id, text in set(items):
+        w = cut(text)
+        rare = lambda places: sorted((k for k in places if counts[w[k]]), key=lambda k: (counts[w[k]], k))
+        size = min(window, len(w))
+        chosen = set(rare(range(len(w)))[: least + 2]).union(*(rare(range(k, k + size))[:2] for k in range(len(w) - size + 1)))
+        need = min(least, len(w))
+        for doc_id, body in {(r[0], r[1] or "") for r in rows}:
+            met = [(p - k, k) for p, word in enumerate(cut(body)) for k in chosen if w[k] == word]
+            groups = [[m for m in met if low <= m[0] <= low + slop] for low, _ in met]
+            most = max((min(len({k for _, k in g}), len({o + k for o, k in g})) for g in groups), default=0)
+            if need and most >= need:
+                out.append((doc_id, None if item_id is None else str(item_id), most))
+    return sorted(out, key=repr)
+
+
+def test_proximity_equals_brute_force(spark):
+    rows, items = phrase_cases()
+    rows = [*rows, (60, "one word two w1 w2 w3 more", None, None, None), (61, "ha", None, None, None), (62, "short " + "x " * 9 + "item ÉA", None, None, None)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for window, slop, least in ((10, 5, 3), (4, 0, 2), (10, 2, 1)):
+        got = decontamination.proximity_matches(documents(spark, rows), bench, window, slop, least)
+        assert sorted(map(tuple, got.collect()), key=repr) == brute_near(rows, items, window, slop, least)
+
+
+def test_proximity_of_short_items_and_unseen_words(spark):
+    rows = [
+        (1, "he said alpha beta gamma delta epsilon zeta to her", None, None, None),
+        (2, "alpha and nothing else of it", None, None, None),
+        (3, "k0 k1 k2 k3 k4 changed k6 k7 k8 k9 k10 k11", None, None, None),
+        (4, "pair here", None, None, None),
+        (5, "ha", None, None, None),
+    ]
+    items = [
+        (1, "alpha beta gamma delta epsilon zeta"),  # one window, an exact copy
+        (2, "alpha beta unseen delta epsilon zeta"),  # a word that no document has
+        (3, " ".join(f"k{k}" for k in range(12))),  # the copy's changed word is in every window
+        (4, "Pair, here!"),  # fewer than three words
+        (5, "ha ha ha"),  # one word cannot stand for three
+        (6, "none of these"),
+        (7, "missing everywhere"),
+    ]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontamination.proximity_matches(documents(spark, rows), bench).collect()}
+    assert {(1, "1"), (1, "2"), (3, "3"), (4, "4")} <= got
+    assert not got & {(2, "1"), (2, "2"), (5, "5")} and not any(item == "7" for _, item in got)
+
+
 def test_phrases_empty_tables(spark):
     rows, items = phrase_cases()
     bench = spark.createDataFrame(items, "item_id long, text string")

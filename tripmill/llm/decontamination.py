@@ -13,6 +13,8 @@ Their terms are written first, so that Spark knows their true size when it choos
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -71,6 +73,23 @@ def rare_places(items: DataFrame, counts: DataFrame, window: int) -> DataFrame:
     )
 
 
+def near_places(items: DataFrame, counts: DataFrame, window: int, least: int) -> DataFrame:
+    """``item, at, term``: places to look for changed copies by, whether or not all words of
+    their windows occur: the two rarest of each window and two more than ``least`` of each item,
+    among the words that do."""
+    known = places(items).join(counts, "term")
+    size = F.least(F.lit(window), F.size("words"))
+    starts = items.select("item", size.alias("size"), F.explode(F.sequence(F.lit(0), F.size("words") - size)).alias("start"))
+    inside = starts.select("item", "start", F.explode(F.expr("sequence(start, start + size - 1)")).alias("at"))
+    of_window = Window.partitionBy("item", "start").orderBy("n", "at")
+    of_item = Window.partitionBy("item").orderBy("n", "at")
+    chosen = [
+        inside.join(known, ["item", "at"]).withColumn("rank", F.row_number().over(of_window)).where("rank <= 2"),
+        known.withColumn("rank", F.row_number().over(of_item)).where(F.col("rank") <= least + 2),
+    ]
+    return chosen[0].select("item", "at", "term").unionByName(chosen[1].select("item", "at", "term")).distinct()
+
+
 def index(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """Postings ``term, doc_id, tie, position`` of the given terms. Documents are told apart by
     id and a hash of their text, so repeated rows share their postings."""
@@ -78,11 +97,12 @@ def index(docs: DataFrame, terms: DataFrame) -> DataFrame:
     return tokens.withColumn("term", F.lower("term")).join(terms, "term").select("term", "doc_id", "tie", "position")
 
 
-def offsets(docs: DataFrame, items: DataFrame, window: int) -> DataFrame:
-    """``doc_id, tie, item, at, offset``: rare terms of items met in documents."""
+def offsets(docs: DataFrame, items: DataFrame, choose: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``doc_id, tie, item, at, offset``: rare terms of items met in documents. ``choose`` gives
+    their places, ``item, at, term``, from the counts of terms."""
     terms = written(places(items).select("term").distinct(), "terms")
     counts = written(term_counts(docs, terms), "counts")
-    rare = written(rare_places(items, counts, window), "rare")
+    rare = written(choose(counts), "rare")
     postings = written(index(docs, written(rare.select("term").distinct(), "rare-terms")), "postings")
     return postings.join(rare, "term").select("doc_id", "tie", "item", "at", (F.col("position") - F.col("at")).alias("offset"))
 
@@ -93,7 +113,8 @@ def candidates(docs: DataFrame, items: DataFrame, window: int) -> DataFrame:
     A window that occurs brings both of its rarest places to one offset, so one alone is only
     enough for windows of a single word.
     """
-    met = offsets(docs, items, window).groupBy("doc_id", "tie", "item", "offset").agg(F.countDistinct("at").alias("n"))
+    found = offsets(docs, items, lambda counts: rare_places(items, counts, window))
+    met = found.groupBy("doc_id", "tie", "item", "offset").agg(F.countDistinct("at").alias("n"))
     return (
         met.join(items, "item")
         .where((F.col("n") >= 2) | (F.least(F.lit(window), F.size("words")) == 1))
@@ -136,18 +157,27 @@ def proximity_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
     """``doc_id, item_id, n_near``: items at least ``least`` of whose rare terms stand in a
     document in places that differ from the item's by at most ``slop`` words from each other.
 
-    Finds copies with words put in, left out or moved, which no exact window matches.
+    Finds copies with words put in, left out or moved, which no exact window matches. Words
+    that the corpus lacks count for nothing; an item of fewer than ``least`` words needs all of
+    them. A word of the document stands for one
+    place of the item at a time. Texts are compared as in ``report``; repeated rows are
+    answered once, and texts that share an id each for itself.
     """
     items = written(test_items(benchmark), "items")
-    near = """array_max(transform(met, m -> size(array_distinct(transform(
-        filter(met, o -> o.offset between m.offset and m.offset + {slop}), o -> o.at)))))"""
+    found = offsets(docs, items, lambda counts: near_places(items, counts, window, least))
+    # In the order of offsets, those within the slop of one are among the next few.
+    near = f"""array_max(transform(
+        transform(met, (m, i) -> filter(slice(met, i + 1, n_places * {int(slop) + 1}), o -> o.offset <= m.offset + {int(slop)})),
+        s -> least(size(array_distinct(transform(s, o -> o.at))), size(array_distinct(transform(s, o -> o.offset + o.at))))))"""
     return (
-        offsets(docs, items, window)
-        .groupBy("doc_id", "tie", "item")
-        .agg(F.collect_set(F.struct("offset", "at")).alias("met"))
-        .join(items.select("item", "item_id"), "item")
-        .select("doc_id", "item_id", F.expr(near.format(slop=int(slop))).alias("n_near"))
-        .where(F.col("n_near") >= least)
+        found.groupBy("doc_id", "tie", "item")
+        .agg(F.array_sort(F.collect_set(F.struct("offset", "at"))).alias("met"))
+        .join(items.select("item", "item_id", F.least(F.lit(least), F.size("words")).alias("need")), "item")
+        .where(F.size("met") >= F.col("need"))
+        .withColumn("n_places", F.size(F.array_distinct("met.at")))
+        .select("doc_id", "item_id", "need", F.expr(near).alias("n_near"))
+        .where(F.col("n_near") >= F.col("need"))
+        .select("doc_id", "item_id", "n_near")
     )
 
 

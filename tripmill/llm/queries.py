@@ -72,6 +72,12 @@ def op7_benchmark_phrases(spark, sf_dir):
     return decontamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op7_benchmark_proximity(spark, sf_dir):
+    """Changed copies, apart from the exact phrases, whose columns their SQL counterpart fixes."""
+    return decontamination.proximity_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op4_suffix_array_dedup(spark, sf_dir):
     return repeats.report(table(spark, sf_dir, "documents"))
