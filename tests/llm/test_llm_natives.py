@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import textwrap
 from collections import Counter
 
 import pytest
@@ -92,6 +93,32 @@ def test_whole_text_of_a_known_license(spark):
     assert licenses.scan(documents(spark, [(1, spelled, None, None, None)])).first()["whole_license"] == "MIT"
 
 
+def test_complete_wrapped_texts(spark):
+    """Real texts under a title and a copyright line, wrapped anywhere; "copyright" begins lines."""
+    texts = {p.stem: p.read_text() for p in licenses.WHOLE_TEXTS.glob("*.txt")}
+    assert {"MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause", "Apache-2.0", "GPL-3.0"} <= set(texts)
+    rows, want = [], {}
+    for name, text in sorted(texts.items()):
+        plain = name not in licenses.TITLES  # their copyright lines lie between others
+        for wide in (None,) if plain else (None, 30, 61, 79, 10_000):
+            body = text if wide is None else "\n\n".join(textwrap.fill(p, wide) for p in text.split("\n\n"))
+            for head in ("",) if plain else ("", "Copyright (c) 2020 A. Name\n\n", licenses.TITLES[name][0] + "\n\nCopyright A. Name and others\n"):
+                rows.append((len(rows), head + body, None, None, None))
+                want[len(rows) - 1] = name
+    for k, cut in enumerate((texts["MIT"][:-40], texts["ISC"].replace("copyright notice", "notice"), "copyright notice and this")):
+        rows.append((1000 + k, cut, None, None, None))
+        want[1000 + k] = None
+    rows.append((2000, texts["Apache-2.0"].split(licenses.END_OF_TERMS)[0].upper(), None, None, None))
+    want[2000] = "Apache-2.0"
+    filled = texts["Apache-2.0"].replace("Copyright [yyyy] [name of copyright owner]", "Copyright 2019 The Authors")
+    rows.append((2001, filled, None, None, None))
+    want[2001] = "Apache-2.0"
+    assert filled != texts["Apache-2.0"]
+    assert any(line.startswith("copyright") for r in rows for line in r[1].splitlines())
+    got = {r["doc_id"]: r["whole_license"] for r in licenses.scan(documents(spark, rows)).collect()}
+    assert got == want
+
+
 def test_licenses_no_rows_and_none_known(spark):
     assert licenses.scan(documents(spark, [])).collect() == []
     none = spark.createDataFrame([], licenses.KNOWN_SCHEMA)

@@ -8,6 +8,8 @@ inside a text, so the work is one pass whatever the number of known licences.
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,15 +60,47 @@ KNOWN = [
     ),
 ]
 
+# Complete texts, <license>.txt, that count besides KNOWN, with the titles they may come under.
+WHOLE_TEXTS = Path(__file__).parent / "known_licenses"
+TITLES = {
+    "MIT": ["MIT License", "The MIT License", "The MIT License (MIT)"],
+    "ISC": ["ISC License", "The ISC License", "ISC License (ISC)"],
+    "BSD-2-Clause": ["BSD 2-Clause License", 'BSD 2-Clause "Simplified" License', "The BSD 2-Clause License"],
+    "BSD-3-Clause": ["BSD 3-Clause License", 'BSD 3-Clause "New" or "Revised" License', "The BSD 3-Clause License"],
+}
+END_OF_TERMS = "END OF TERMS AND CONDITIONS"  # what follows tells how to apply the licence
+
 KNOWN_SCHEMA = "license string, text string"
 
 # A line that only says whose the rights are: "Copyright (c) 2020 Name", "(c) Name", "© Name".
 COPYRIGHT_LINE = r"(^|\n)[ \t]*(copyright|\(c\)|©)[^\n]*"
+# Of those, the lines that go: with a sign or a year behind, or a name. In wrapped wording
+# "copyright" may begin a line too ("copyright notice and this"), and "(c)" an item of a list.
+_SIGN = r"\(c\)|©|\b(19|20)\d\d\b|[\[<{(]y{2,4}|[\[<{(]year"
+_WORDING = (
+    "notices?|holders?|owners?|laws?|licen[sc]es?|licen[sc]ors?|statements?|disclaimers?|interests?|protections?|treaty|doctrines?|"
+    "and|or|in|is|are|to|on|of|for|as|with|without|that|which|this|these|any|you|your|if|permission|status|rights?|patents?|trademarks?"
+)
+RIGHTS_LINE = rf"(^|\n)[ \t]*(copyright[^\n]*?({_SIGN})|©|(copyright|\(c\))[ \t]*:?[ \t]+(?!({_WORDING})\b)(?=[^\n]*[\p{{L}}\p{{N}}]))[^\n]*"
+
+
+def whole_texts() -> list[tuple[str, str]]:
+    """``license, text`` of the complete texts, with and without titles and what follows the terms."""
+    rows = []
+    for path in sorted(WHOLE_TEXTS.glob("*.txt")):
+        text = path.read_text(encoding="utf-8")
+        cuts = [text]
+        if END_OF_TERMS in text:
+            terms = text.split(END_OF_TERMS)[0]
+            cuts += [terms, terms + END_OF_TERMS]
+        cuts += [t.replace("https://", "http://") for t in cuts if "https://" in t]
+        rows += [(path.stem, f"{title}\n\n{t}") for t in cuts for title in ("", *TITLES.get(path.stem, ()))]
+    return rows
 
 
 def canonical(text: Column) -> Column:
     """Canonical form of a text; null counts as empty."""
-    low = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), COPYRIGHT_LINE, "\n")
+    low = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), RIGHTS_LINE, "\n")
     plain = F.concat(F.lit(" "), F.trim(F.regexp_replace(low, r"[^\p{L}\p{N}]+", " ")), F.lit(" "))
     for spelled, usual in SPELLINGS:
         plain = F.replace(plain, F.lit(f" {spelled} "), F.lit(f" {usual} "))
@@ -79,7 +113,7 @@ def digest(text: Column) -> Column:
 
 def known_digests(spark: SparkSession, known: DataFrame | None = None) -> DataFrame:
     """``digest, license``, once each; texts that are canonically empty are nobody's licence."""
-    known = spark.createDataFrame(KNOWN, KNOWN_SCHEMA) if known is None else known
+    known = spark.createDataFrame([*KNOWN, *whole_texts()], KNOWN_SCHEMA) if known is None else known
     return (
         known.where(canonical(F.col("text")) != "")
         .groupBy(digest(F.col("text")).alias("digest"))
