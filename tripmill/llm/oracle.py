@@ -82,3 +82,29 @@ named AS (
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)"""
+
+_TERMS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLE["op12_ranked_search"] = f"""
+WITH docs AS (
+  SELECT *, CAST(len(t) AS BIGINT) AS n FROM (
+    SELECT row_number() OVER () AS d, doc_id, regexp_extract_all({_LOW}, '{_TERMS}') AS t FROM documents) WHERE len(t) > 0),
+whole AS (SELECT CAST(count(*) AS BIGINT) AS docs_all, CAST(sum(n) AS BIGINT) AS words_all FROM docs),
+wanted AS (
+  SELECT q, item_id, term, CAST(count(*) AS BIGINT) AS times FROM (
+    SELECT q, item_id, unnest(regexp_extract_all({_LOW}, '{_TERMS}')) AS term
+    FROM (SELECT row_number() OVER () AS q, * FROM benchmark)) GROUP BY ALL),
+postings AS (
+  SELECT d, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT d, unnest(t) AS term FROM docs)
+  WHERE term IN (SELECT term FROM wanted) GROUP BY ALL),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * docs_all + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM postings GROUP BY term), whole),
+shares AS (SELECT d, doc_id, 100 - 75 + (75 * n * docs_all) // words_all AS m FROM docs, whole),
+scores AS (
+  SELECT q, item_id, doc_id, d, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM wanted JOIN weights USING (term) JOIN postings USING (term) JOIN shares USING (d) GROUP BY ALL),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST, d) AS place FROM scores WHERE score > 0)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM ranked WHERE place <= 10"""

@@ -8,7 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import decontamination, licenses, packing, quality_network, quality_rules, repeats, sharding, simhash, toxicity, url_rules
+from tripmill.llm import (
+    alignment,
+    decontamination,
+    licenses,
+    packing,
+    quality_network,
+    quality_rules,
+    ranking,
+    repeats,
+    sharding,
+    simhash,
+    toxicity,
+    url_rules,
+)
 from tripmill.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -81,3 +94,13 @@ def op7_benchmark_proximity(spark, sf_dir):
 @query
 def op4_suffix_array_dedup(spark, sf_dir):
     return repeats.report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_ranked_search(spark, sf_dir):
+    return ranking.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_tokenizer_alignment(spark, sf_dir):
+    return alignment.align(table(spark, sf_dir, "documents"), TOKENIZER, public_tokenizers.path("piece_bpe_32k.model"))
