@@ -12,6 +12,7 @@ from tripmill.llm import (
     alignment,
     decontamination,
     licenses,
+    metric_join,
     packing,
     quality_network,
     quality_rules,
@@ -104,3 +105,8 @@ def op12_ranked_search(spark, sf_dir):
 @query
 def op13_tokenizer_alignment(spark, sf_dir):
     return alignment.align(table(spark, sf_dir, "documents"), TOKENIZER, public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op11_jaccard_components(spark, sf_dir):
+    return metric_join.join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
