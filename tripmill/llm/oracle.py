@@ -23,25 +23,50 @@ SELECT doc_id, n_bytes, depth, CASE WHEN depth = 0 THEN '' ELSE lpad(bin(prefix)
 FROM placed WHERE k = 1"""
 
 
-def _canonical(text: str) -> str:
-    low = f"regexp_replace(lower(coalesce({text}, '')), '{licenses.COPYRIGHT_LINE}', chr(10), 'g')"
-    plain = rf"' ' || trim(regexp_replace({low}, '[^\p{{L}}\p{{N}}]+', ' ', 'g')) || ' '"
-    for spelled, usual in licenses.SPELLINGS:
-        plain = f"replace({plain}, ' {spelled} ', ' {usual} ')"
+def _spelled(text: str) -> str:
+    plain = f"' ' || {text} || ' '"
+    for odd, usual in licenses.SPELLINGS:
+        plain = f"replace({plain}, ' {odd} ', ' {usual} ')"
     return f"trim({plain})"
 
 
+def _lined(source: str, *keys: str) -> str:
+    """``keys, lines, canon``: canonical lines that are not empty, and the canonical whole text."""
+    names = ", ".join(keys)
+    rights = f"(regexp_matches(l, '{licenses.SIGNED}') OR (regexp_matches(l, '{licenses.NAMED}') AND NOT regexp_matches(l, '{licenses.WORDED}')))"
+    plain = f"trim(regexp_replace(regexp_replace(l, '{licenses.ITEM}', ''), '{licenses.OTHER}', ' ', 'g'))"
+    return f"""(
+  SELECT {names}, lines, {_spelled("array_to_string(CASE WHEN len(own) > 0 THEN own ELSE lines END, ' ')")} AS canon
+  FROM (SELECT {names}, lines, list_filter(lines, lambda l: NOT starts_with(l, '{licenses.SPDX}')) AS own FROM (
+    SELECT {names}, list_filter(list_transform(
+      list_filter(cut, lambda l, i: kinds[i] = 0 OR (kinds[i] = 1 AND (i = 1 OR kinds[i - 1] <> 2))),
+      lambda l: {_spelled(plain)}), lambda l: l <> '') AS lines
+    FROM (SELECT {names}, cut, list_transform(cut, lambda l:
+        CASE WHEN {rights} THEN 2 WHEN regexp_matches(l, '{licenses.RESERVED}') THEN 1 ELSE 0 END) AS kinds
+      FROM (SELECT {names}, string_split(lower(coalesce(text, '')), chr(10)) AS cut FROM {source})))))"""
+
+
 _KNOWN = ", ".join(f"('{name}', '{text}')" for name, text in licenses.KNOWN)
+_TITLES = ", ".join(f"('{name}', '{title}')" for name, titles in licenses.TITLES.items() for title in titles)
+_END = licenses.END_OF_TERMS
 
 ORACLE["op3_license_scan"] = f"""
-WITH known AS (
-  SELECT canon, min(license) AS license FROM (
-    SELECT license, {_canonical("text")} AS canon FROM (VALUES {_KNOWN}) AS k(license, text)) GROUP BY canon),
-lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents),
+WITH files AS (
+  SELECT regexp_extract(filename, '([^/~]+)(~[^/]*)?[.]txt$', 1) AS license, content FROM read_text('{licenses.WHOLE_TEXTS}/*.txt')),
+cuts AS (
+  SELECT license, content AS text FROM files
+  UNION SELECT license, string_split(content, '{_END}')[1] FROM files
+  UNION SELECT license, CASE WHEN contains(content, '{_END}') THEN string_split(content, '{_END}')[1] || '{_END}' ELSE content END FROM files),
+texts AS (SELECT license, text FROM cuts UNION SELECT license, replace(text, 'https://', 'http://') FROM cuts),
+titled AS (
+  SELECT license, text FROM texts
+  UNION ALL SELECT license, title || chr(10) || text FROM texts JOIN (VALUES {_TITLES}) AS t(license, title) USING (license)
+  UNION ALL SELECT license, text FROM (VALUES {_KNOWN}) AS k(license, text)),
+known AS (SELECT canon, min(license) AS license FROM {_lined("titled", "license")} WHERE canon <> '' GROUP BY canon),
+own AS MATERIALIZED (SELECT * FROM {_lined("documents", "doc_id")}),
 found AS (
   SELECT doc_id, string_agg(DISTINCT license, ',' ORDER BY license) AS line_licenses, count(*) AS n_license_lines
-  FROM (SELECT doc_id, {_canonical("line")} AS canon FROM lines) JOIN known USING (canon) GROUP BY doc_id),
-own AS (SELECT doc_id, {_canonical("text")} AS canon FROM documents)
+  FROM (SELECT doc_id, unnest(lines) AS canon FROM own) JOIN known USING (canon) GROUP BY doc_id)
 SELECT own.doc_id, known.license AS whole_license, coalesce(line_licenses, '') AS line_licenses,
   coalesce(n_license_lines, 0) AS n_license_lines
 FROM own LEFT JOIN known USING (canon) LEFT JOIN found ON found.doc_id = own.doc_id"""
@@ -108,3 +133,21 @@ scores AS (
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST, d) AS place FROM scores WHERE score > 0)
 SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM ranked WHERE place <= 10"""
+
+_SPACED = r"[^\x20\x09-\x0D]+"
+
+ORACLE["op11_jaccard_components"] = f"""
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOW}, '{_SPACED}') AS w FROM documents),
+sets AS (
+  SELECT r, doc_id, list_distinct(CASE WHEN len(w) >= 3
+    THEN list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM docs),
+shingles AS (SELECT r, len(s) AS n, unnest(s) AS x FROM sets),
+links AS (
+  SELECT a.r AS a, b.r AS b FROM shingles a JOIN shingles b USING (x) WHERE a.r <> b.r
+  GROUP BY a.r, b.r, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+reach AS (SELECT r AS a, r AS b FROM sets UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT own.doc_id, CAST(len(own.s) AS BIGINT) AS n_shingles, min(other.doc_id) AS component_id
+FROM sets own JOIN reach ON reach.a = own.r JOIN sets other ON other.r = reach.b
+GROUP BY own.r, own.doc_id, len(own.s)"""
