@@ -28,7 +28,7 @@ RULES = [
     ("com", "/de/", "block"),
 ]
 
-ROWS_PER_SWEEP = 200_000
+ROWS_PER_SWEEP = 5_000
 
 
 def host_of(url: Column) -> Column:
@@ -78,7 +78,8 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", rows_per_s
     every url to the default.
 
     Equal urls are judged once. Keys that hold many urls are swept in several parts, each
-    beside a copy of that key's rules; ``rows_per_sweep`` is the size of a part.
+    beside a copy of that key's rules; ``rows_per_sweep`` is the size of a part, or eight times
+    the number of those rules if that is more, so that copies stay few beside the urls.
     """
     url = pages.select(*[c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]).withColumns(
         {"host": host_of(F.col("url")), "path": path_of(F.col("url"))}
@@ -93,7 +94,9 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", rows_per_s
         .select("host", "path", F.expr("concat_ws('.', slice(labels, 1, n))").alias("key"))
         .join(stacks.select("key").distinct(), "key", "left_semi")
     )
-    parts = keyed.groupBy("key").agg(F.ceil(F.count("*") / rows_per_sweep).cast("int").alias("parts"))
+    counts, sizes = keyed.groupBy("key").agg(F.count("*").alias("urls")), stacks.groupBy("key").agg(F.count("*").alias("rules"))
+    size = F.greatest(F.lit(rows_per_sweep), 8 * F.col("rules"))
+    parts = counts.join(sizes, "key").select("key", F.ceil(F.col("urls") / size).cast("int").alias("parts"))
     urls = keyed.join(parts, "key").select(
         "key", F.pmod(F.xxhash64("host", "path"), F.col("parts")).cast("int").alias("part"), "path", "host", F.lit(None).cast(stacks.schema["stack"].dataType).alias("stack")
     )
