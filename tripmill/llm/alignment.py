@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmill.llm.common import texts, written
-from tripmill.llm.packing import _OTHER, _PIECE, PieceIds
+from tripmill.llm.packing import _OTHER
 
 HOT_PAIRS = 1 << 20
 _DOCS_AT_ONCE = 256
@@ -125,54 +125,51 @@ def _ids(mark: str, size: int) -> np.ndarray:
 class Aligner:
     """Tokenizes texts with a byte-level BPE (A) and a sentence-piece model (B) and aligns them.
 
-    A's pre-tokens that were met before are not encoded again: its merges never cross them.
+    A's vocabulary file is run by ``tiktoken``, which gives the ids of ``tokenizers``; texts
+    with characters whose class the two might see differently go to ``tokenizers`` itself.
     """
 
     def __init__(self, path_a: str, path_b: str):
+        import public_tokenizers
         import sentencepiece
-
-        self.path_a = path_a
-        self.pieces = PieceIds(path_a)
-        self.model = sentencepiece.SentencePieceProcessor(model_file=path_b)
-        names = [self.model.id_to_piece(k) for k in range(self.model.get_piece_size())]
-        self.b_bytes = [bytes([int(p[3:5], 16)]) if self.model.is_byte(k) else p.replace("▁", " ").encode() for k, p in enumerate(names)]
-        self.lengths_b = np.array([len(x) for x in self.b_bytes])
-        self.tokenizer = cache(self._tokenizer)
-        self.a_bytes = self._a_bytes()
-        self.lengths_a = np.array([len(x) for x in self.a_bytes])
-
-    def _tokenizer(self):
+        import tiktoken
         from tokenizers import Tokenizer
 
-        found = Tokenizer.from_file(self.path_a)
-        found.encode_special_tokens = True
-        return found
-
-    def _a_bytes(self) -> list[bytes]:
+        self.tokenizer = Tokenizer.from_file(path_a)
+        self.tokenizer.encode_special_tokens = True
+        names = self.tokenizer.get_vocab()
+        # The file spells each byte as one character: printable ones as themselves, the
+        # others, in order, as those from 256 on.
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in plain]
         byte_of = {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
-        names = self._tokenizer().get_vocab()
-        out = [b""] * (max(names.values()) + 1)
-        for name, k in names.items():
-            out[k] = bytes(byte_of[c] for c in name) if all(c in byte_of for c in name) else name.encode()
-        return out
+        special = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
+        ranks = {bytes(map(byte_of.__getitem__, name)): k for name, k in names.items() if name not in special}
+        self.a_bytes = [b""] * (max(names.values()) + 1)
+        for raw, k in ranks.items():
+            self.a_bytes[k] = raw
+        self.bpe = tiktoken.Encoding("whole", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.model = sentencepiece.SentencePieceProcessor(model_file=path_b)
+        pieces = [self.model.id_to_piece(k) for k in range(self.model.get_piece_size())]
+        self.b_bytes = [bytes([int(p[3:5], 16)]) if self.model.is_byte(k) else p.replace("▁", " ").encode() for k, p in enumerate(pieces)]
+        self.lengths_a, self.lengths_b = (np.array([len(x) for x in side]) for side in (self.a_bytes, self.b_bytes))
 
     def ids_a(self, text: str) -> list[int]:
         if _OTHER.search(text):
-            return self.tokenizer().encode(text, add_special_tokens=False).ids
-        return np.frombuffer(b"".join(map(self.pieces.__getitem__, _PIECE.findall(text))), "<u4").tolist()
-
-    def align(self, text: str) -> Alignment | None:
-        """None if the text is empty or its tokens do not spell it."""
-        whole = " " + text
-        a, b = self.ids_a(whole), self.model.encode(text, num_threads=1)
-        raw = whole.encode()
-        if not text or b"".join([self.a_bytes[k] for k in a]) != raw or b"".join([self.b_bytes[k] for k in b]) != raw:
-            return None
-        a, b = np.array(a, np.int64), np.array(b, np.int64)
-        a_ends, b_ends = np.cumsum(self.lengths_a[a]), np.cumsum(self.lengths_b[b])
-        return Alignment(a, b, a_ends, b_ends, np.intersect1d(a_ends, b_ends, assume_unique=True))
+            return self.tokenizer.encode(text, add_special_tokens=False).ids
+        return self.bpe.encode_ordinary(text)
+
+    def align(self, texts_: list[str]) -> Iterator[Alignment | None]:
+        """For each text its alignment; None if it is empty or its tokens do not spell it."""
+        for text, b in zip(texts_, self.model.encode(texts_, num_threads=1), strict=True):
+            whole = " " + text
+            raw, a = whole.encode(), self.ids_a(whole)
+            if not text or b"".join([self.a_bytes[k] for k in a]) != raw or b"".join([self.b_bytes[k] for k in b]) != raw:
+                yield None
+                continue
+            a, b = np.array(a, np.int64), np.array(b, np.int64)
+            a_ends, b_ends = np.cumsum(self.lengths_a[a]), np.cumsum(self.lengths_b[b])
+            yield Alignment(a, b, a_ends, b_ends, np.intersect1d(a_ends, b_ends, assume_unique=True))
 
 
 LINKED = (
@@ -194,8 +191,8 @@ def linked_documents(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
             for first in range(0, batch.num_rows, _DOCS_AT_ONCE):
                 part = batch.slice(first, _DOCS_AT_ONCE)
                 rows, pairs, times = [], [], []
-                for doc_id, text in zip(part.column(0).to_pylist(), texts(part), strict=True):
-                    found = aligner.align(text.decode("utf-8", "replace"))
+                own = [text.decode("utf-8", "replace") for text in texts(part)]
+                for doc_id, found in zip(part.column(0).to_pylist(), aligner.align(own), strict=True):
                     if found is None:
                         rows.append((row_id, doc_id, 0, 0, 0, 0, 0, ""))
                         pairs.append([])
@@ -284,14 +281,14 @@ def align(docs: DataFrame, path_a: str, path_b: str, hot_pairs: int = HOT_PAIRS)
     def hot_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             pairs, times = (batch.column(k).flatten().to_numpy() for k in (1, 2))
-            row = np.repeat(np.arange(batch.num_rows), pa.compute.list_value_length(batch.column(1)).to_numpy())
+            ends = np.append(0, np.cumsum(pa.compute.list_value_length(batch.column(1)).to_numpy()))
             at, known = look_up(pairs)
-            at, row, times = at[known], row[known], times[known].astype(np.int64)
-            best, total = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64)
-            if len(at):
-                np.add.at(best, row, times * hot_best[at])
-                np.add.at(total, row, times * hot_n[at])
-            yield pa.RecordBatch.from_arrays([*batch.columns[3:], pa.array(best), pa.array(total)], names=[*plain, "n_best", "count_sum"])
+            times = np.where(known, times, 0).astype(np.int64)
+            sums = []
+            for value in (hot_best, hot_n):
+                total = np.append(0, np.cumsum(times * value[at])) if len(value) else np.zeros(len(pairs) + 1, np.int64)
+                sums.append(pa.array(total[ends[1:]] - total[ends[:-1]]))
+            yield pa.RecordBatch.from_arrays([*batch.columns[3:], *sums], names=[*plain, "n_best", "count_sum"])
 
     def cold_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
