@@ -7,8 +7,10 @@ an item give an offset; places of one item that meet at one offset in one docume
 possible copy, whatever number of windows it spans. Each is then compared word by word, so
 only exact phrases count.
 
-Only DataFrame functions are used. Test items may be many: nothing here forces a broadcast.
-Their terms are written first, so that Spark knows their true size when it chooses.
+Only DataFrame functions are used. Test items may be many, and so may candidates. Tokens and
+documents that belong to none are told by a bitmap of fixed size before anything is shuffled;
+what passes meets its true partners in a join that nothing forces. Terms are written first,
+so that Spark knows their true size when it chooses.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from pyspark.sql import functions as F
 from tripmill.llm.common import ascii_lower, written
 
 WINDOW = 10
+BITMAP_BITS = 1 << 24  # 262,144 rows of 64 bits, whatever the number of keys
 # What separates words: ASCII other than letters and digits.
 BREAKS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
@@ -50,10 +53,36 @@ def places(items: DataFrame) -> DataFrame:
     return items.select("item", F.posexplode("words").alias("at", "term")).withColumn("term", F.lower("term"))
 
 
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with a column that is computed here, once: Catalyst copies no expression over a
+    one-row explode into the filters and lambdas that use it."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
+def may_be_among(df: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
+    """The rows whose ``key``, a hash, may be among the hashes in ``keys``' only column. The
+    bitmap that tells is broadcast; its size is fixed."""
+    bit = F.pmod(F.col(keys.columns[0]), F.lit(BITMAP_BITS))
+    words = keys.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).alias("word"))
+    words = words.agg(F.expr("bit_or(shiftleft(1L, int(bit & 63)))").alias("bits"))
+    own = F.pmod(key, F.lit(BITMAP_BITS))
+    met = df.withColumn("bit", own).join(F.broadcast(words), F.shiftright("bit", 6) == F.col("word"))
+    return met.where(F.expr("shiftright(bits, int(bit & 63)) & 1 = 1")).select(*df.columns)
+
+
+def tokens_among(docs: DataFrame, terms: DataFrame, position: bool = False) -> DataFrame:
+    """The tokens of ``docs`` that may be among ``terms``, in lower case, with what else ``docs`` has."""
+    words = words_of(F.col("text"))
+    kept = [c for c in docs.columns if c != "text"]
+    tokens = docs.select(*kept, F.posexplode(words).alias("position", "term") if position else F.explode(words).alias("term"))
+    tokens = tokens.withColumn("term", F.lower("term"))
+    return may_be_among(tokens, F.xxhash64("term"), terms.select(F.xxhash64("term").alias("key")))
+
+
 def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """How often each of ``terms`` occurs in the corpus; terms that never do are left out."""
-    tokens = docs.select(F.explode(words_of(F.col("text"))).alias("term")).select(F.lower("term").alias("term"))
-    return tokens.join(terms, "term").groupBy("term").agg(F.count("*").alias("n"))
+    counted = tokens_among(docs.select("text"), terms).groupBy("term").agg(F.count("*").alias("n"))
+    return counted.join(terms, "term", "left_semi")
 
 
 def rare_places(items: DataFrame, counts: DataFrame, window: int) -> DataFrame:
@@ -93,8 +122,8 @@ def near_places(items: DataFrame, counts: DataFrame, window: int, least: int) ->
 def index(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """Postings ``term, doc_id, tie, position`` of the given terms. Documents are told apart by
     id and a hash of their text, so repeated rows share their postings."""
-    tokens = docs.select("doc_id", text_hash(F.col("text")).alias("tie"), F.posexplode(words_of(F.col("text"))).alias("position", "term"))
-    return tokens.withColumn("term", F.lower("term")).join(terms, "term").select("term", "doc_id", "tie", "position")
+    own = docs.select("doc_id", text_hash(F.col("text")).alias("tie"), "text")
+    return tokens_among(own, terms, position=True).join(terms, "term").select("term", "doc_id", "tie", "position")
 
 
 def offsets(docs: DataFrame, items: DataFrame, choose: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -142,15 +171,12 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Data
     items = written(test_items(benchmark), "items")
     found = written(candidates(docs.select("doc_id", "text"), items, window), "candidates")
     own = docs.select("doc_id", text_hash(F.col("text")).alias("tie"), "text")
+    own = may_be_among(own, F.xxhash64("doc_id", "tie"), found.select(F.xxhash64("doc_id", "tie").alias("key")))
     same = own["doc_id"].eqNullSafe(found["doc_id"]) & (own["tie"] == found["tie"])
-    return (
-        own.join(found.hint("merge"), same)  # one plan at every size: candidates grow with the corpus
-        .select(own["doc_id"], own["tie"], words_of(ascii_lower(F.col("text"))).alias("words"), "tests")
-        .select("doc_id", "tie", _occurrences(window).alias("spans"))
-        .where(F.size("spans") > 0)
-        .groupBy("doc_id", "tie")
-        .agg(F.any_value("spans").alias("spans"))
-    )
+    met = own.join(found, same).select(own["doc_id"], own["tie"], "text", "tests")
+    met = once(met, "words", words_of(ascii_lower(F.col("text"))))
+    spans = once(met, "spans", _occurrences(window)).select("doc_id", "tie", "spans")
+    return spans.where(F.size("spans") > 0).groupBy("doc_id", "tie").agg(F.any_value("spans").alias("spans"))
 
 
 def proximity_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop: int = 5, least: int = 3) -> DataFrame:
@@ -217,7 +243,12 @@ def report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataF
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``docs`` without the rows that hold a window of the benchmark; columns stay as they are."""
-    hit = matches(docs, benchmark, window).select(F.col("doc_id").alias("__id"), F.col("tie").alias("__tie"))
-    hit = written(hit, "contaminated")
-    return docs.join(hit, docs["doc_id"].eqNullSafe(F.col("__id")) & (text_hash(docs["text"]) == F.col("__tie")), "left_anti")
+    """``docs`` without the rows that hold a window of the benchmark.
+
+    Rows with null and empty texts stay, repeated rows stay or go together, and of texts that
+    share an id, or lack one, each is judged for itself. Columns stay as they are, whatever
+    their names. An empty benchmark drops nothing; no rows give no rows.
+    """
+    hit = written(matches(docs, benchmark, window).select("doc_id", "tie"), "contaminated")
+    own = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("whole"), F.col("doc_id").alias("id"), text_hash(docs["text"]).alias("hash"))
+    return own.join(hit, own["id"].eqNullSafe(hit["doc_id"]) & (own["hash"] == hit["tie"]), "left_anti").select("whole.*")
