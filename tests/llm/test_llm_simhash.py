@@ -7,7 +7,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tests.llm.cases import SCHEMA, corpus, documents
+from tests.llm.cases import SCHEMA, corpus, documents, words
 from tripmill.llm import simhash
 from tripmill.llm.components import components
 
@@ -107,6 +107,29 @@ def test_keep_one_of_each_group(spark):
     assert len(texts) == len(set(texts))
 
 
+def test_unlike_texts_of_one_id_all_stay(spark):
+    texts = [words(random.Random(k), 30, 5000) for k in range(3)]
+    rows = [(1, texts[0], None, None, 0), (1, texts[1], None, None, 0), (2, texts[2], None, None, 0)]
+    kept = simhash.keep_one(documents(spark, rows)).select("doc_id", "text").collect()
+    assert sorted(map(tuple, kept)) == sorted((r[0], r[1]) for r in rows)
+
+
+def test_near_copies_without_ids_leave_one(spark):
+    base = words(random.Random(4), 1000, 5000)
+    more = [f"{base} tail{k}" for k in range(60)]
+    near = [t for t in more if 1 <= (brute_print(t) ^ brute_print(base)).bit_count() <= 2][:3]
+    assert len(near) == 3
+    rows = [(None, t, "en", None, 0) for t in (base, *near)] + [(None, words(random.Random(5), 40), None, None, 0)]
+    kept = simhash.keep_one(documents(spark, rows))
+    assert kept.where("lang = 'en'").count() == 1 and kept.count() == 2
+
+
+def test_columns_of_any_name_stay(spark):
+    odd = documents(spark).withColumns({c: F.lit("x") for c in ("none", "id", "tie", "whole", "row", "__id", "__tie", "__none")})
+    kept = simhash.keep_one(odd)
+    assert kept.columns == odd.columns and kept.where("whole = 'x' and none = 'x' and tie = 'x'").count() == kept.count() > 0
+
+
 def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(40)] + [(7, 7), (100, 101), (101, 100), (None, 3)], "a long, b long")
     got = dict(components(edges).collect())

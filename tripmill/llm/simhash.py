@@ -195,10 +195,11 @@ def families(prints: DataFrame, radius: int = RADIUS, shard_rows: int = SHARD_RO
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """``doc_id, tie, fingerprint, component_id`` of every row.
+    """``doc_id, tie, fingerprint, component_id, family`` of every row.
 
     ``component_id`` is the smallest id that the row reaches over links, its own included;
     null ids count for nothing there, and it is null where no row of the group has an id.
+    ``family`` names the group itself: rows of one id may lie in several.
     A null text is empty; texts without words have fingerprint 0 and are linked like others.
     Repeated rows are returned as often as they occur. No rows give no rows.
     """
@@ -207,8 +208,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     family = families(prints, radius, shard_rows)
     linked = written(least.join(family, "fingerprint"), "families")
     named = linked.groupBy("family").agg(F.min("least").alias("component_id"))
-    by_print = linked.join(named, "family").select("fingerprint", "component_id")
-    return prints.join(by_print, "fingerprint").select("doc_id", "tie", "fingerprint", "component_id")
+    by_print = linked.join(named, "family").select("fingerprint", "component_id", "family")
+    return prints.join(by_print, "fingerprint").select("doc_id", "tie", "fingerprint", "component_id", "family")
 
 
 def hexadecimal(value: Column) -> Column:
@@ -218,26 +219,24 @@ def hexadecimal(value: Column) -> Column:
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """``docs`` with one row of each group of near duplicates: the one with the smallest id.
 
-    Rows without an id stay only where no row of their group has one; among equal ids the
-    text with the smaller hash stays, and one of equal rows. Columns stay as they are.
+    Null texts count as empty, and texts without words are one group. Rows without an id stay
+    only where no row of their group has one. Of rows that share an id, or lack one, the text
+    with the smaller hash stays, and one of equal rows. Unlike texts that share an id are
+    groups of their own and all stay. Columns stay as they are, whatever their names. No rows
+    give no rows.
     """
     found = near_duplicates(docs.select("doc_id", "text"), shingle, radius)
-    row = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("doc_id"), "tie")
-    # Groups without any id fall back on their fingerprint's own rows.
-    group = F.when(F.col("component_id").isNull(), F.struct(F.lit(1).alias("none"), F.col("fingerprint").alias("of"))).otherwise(
-        F.struct(F.lit(0).alias("none"), F.col("component_id").alias("of"))
+    row = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), "tie")
+    stay = found.groupBy("family").agg(F.min(row).alias("row")).select("row.*")
+    own = F.col("doc_id").cast("long")
+    keyed = docs.select(
+        F.struct(*[docs[c] for c in docs.columns]).alias("whole"),
+        own.isNull().alias("none"),
+        F.coalesce(own, F.lit(0)).alias("id"),
+        text_hash(F.col("text")).alias("tie"),
     )
-    stay = (
-        found.groupBy(group.alias("group"))
-        .agg(F.min(row).alias("row"))
-        .select(F.col("row.none").alias("__none"), F.col("row.doc_id").alias("__id"), F.col("row.tie").alias("__tie"))
-        .distinct()
-    )
-    keyed = docs.withColumns(
-        {"__none": F.col("doc_id").isNull(), "__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), "__tie": text_hash(F.col("text"))}
-    )
-    kept = keyed.join(stay, ["__none", "__id", "__tie"], "left_semi")
+    kept = keyed.join(stay, ["none", "id", "tie"], "left_semi")
     repeated = found.groupBy("doc_id", "tie").agg(F.count("*").alias("n")).where("n > 1")
     if not repeated.isEmpty():
-        kept = kept.dropDuplicates(["__none", "__id", "__tie"])
-    return kept.select(*docs.columns)
+        kept = kept.dropDuplicates(["none", "id", "tie"])
+    return kept.select("whole.*")
