@@ -27,10 +27,11 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         stars = now.where("a > b")
         both = stars.select("a", "b").unionByName(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+        # Both sides of a join are shuffled as they are, so that AQE splits a node with many edges.
+        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")).repartition("a")
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         lower = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(lower, "a").where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        small = large.repartition("a").join(lower.repartition("a"), "a").where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         loops = now.where("a = b")
         now = written(small.unionByName(lower.withColumnRenamed("m", "b")).unionByName(loops).distinct(), "edges")
         before, state = state, _state(now)
