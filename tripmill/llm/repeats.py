@@ -30,6 +30,7 @@ from tripmill.llm.common import texts
 from tripmill.llm.suffix_array import equal_prefix_groups
 
 LENGTH = 100
+ADDED = ("n_bytes", "n_removed", "n_spans", "kept")
 NO_ID = -(1 << 63)
 _STRETCH = 1 << 19  # windows handled at once, under 2**20
 _TOGETHER = 2_000_000  # minimizers or blocks' bytes that a task looks at together
@@ -336,27 +337,14 @@ def _cover(starts: list, stops: list, length: int) -> tuple[np.ndarray, np.ndarr
     return begin[new], np.append(end[np.flatnonzero(new)[1:] - 1], end[-1])
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, as_text: bool = False) -> DataFrame:
-    """``docs`` without the bytes that repeat, with ``n_bytes, n_removed, n_spans``.
-
-    A byte is removed if a string of ``length`` bytes that covers it, within its document,
-    also starts earlier: in a document with a smaller id, or before it in the same one.
-    Strings are those of the input. A null id is the smallest, and among equal ids the text
-    with the smaller hash comes first; of rows that repeat id and text, all but one lose
-    whatever ``length`` bytes can cover. A null text is empty, and texts shorter than
-    ``length`` stay whole. Every row is returned with its columns; input columns named like
-    the added ones are replaced. No rows give no rows.
-
-    In place of ``text`` comes ``kept``, the remaining bytes, last of all columns. With
-    ``as_text`` they stay in ``text`` instead, without the parts of characters that a cut may
-    leave; a null text stays null.
-    """
-    added = ("n_bytes", "n_removed", "n_spans", "kept")
-    columns = [c for c in docs.columns if c != "text" and c not in added]
-    raw = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
+def _cut_rows(docs: DataFrame, length: int, as_text: bool) -> DataFrame:
+    """``row, n_bytes, n_removed, n_spans, kept`` of every row of ``docs``; ``row`` holds whether
+    the text was null (``none``) and the other columns as they came (``own``)."""
+    columns = [docs[c] for c in docs.columns if c != "text"]
+    raw = F.coalesce(docs["text"].cast("binary"), F.lit(b""))
     keyed = docs.select(
-        F.struct(F.col("text").isNull().alias("__none"), *columns).alias("row"),
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID).cast("long")).alias("id"),
+        F.struct(docs["text"].isNull().alias("none"), F.struct(*columns).alias("own")).alias("row"),
+        F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID).cast("long")).alias("id"),
         F.xxhash64(raw).alias("tie"),
         raw.alias("text"),
     ).withColumn("doc", F.xxhash64("id", "tie"))
@@ -367,12 +355,12 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, as_text: bool = False)
         .repartition("part")
         .sortWithinPartitions("part")
     )
-    # Both read one exchange. A crowded minimizer takes hundreds of kilobytes of the corpus, so
-    # there are few; they are exchanged first, as a broadcast must not wait for the count.
+    # Both read one exchange. Crowded minimizers are few beside the others, as each takes
+    # hundreds of kilobytes of the corpus; Spark broadcasts them where their bytes allow it.
     crowded = minimizers.mapInArrow(lambda b: _crowded_rows(b, length), "minimizer long").repartition("minimizer")
     repeated = (
         minimizers.mapInArrow(_repeated_rows, "doc long, minimizer long")
-        .join(F.broadcast(crowded.withColumn("crowded", F.col("minimizer"))), "minimizer", "left")
+        .join(crowded.withColumn("crowded", F.col("minimizer")), "minimizer", "left")
         .groupBy("doc")
         .agg(F.collect_set("minimizer").alias("repeated"), F.collect_set("crowded").alias("crowded"))
     )
@@ -396,7 +384,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, as_text: bool = False)
         "row", "id", "tie", "copy", "text", *[F.col(f"spans.{c}").alias(f"span_{c}") for c in ("id", "tie", "start", "stop")]
     )
     result = "string" if as_text else "binary"
-    schema = joined.select("row", *[F.lit(0).cast("long").alias(c) for c in added[:3]], F.lit(None).cast(result).alias("kept")).schema
+    schema = joined.select("row", *[F.lit(0).cast("long").alias(c) for c in ADDED[:3]], F.lit(None).cast(result).alias("kept")).schema
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -416,11 +404,24 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, as_text: bool = False)
             arrays = [pa.array(c, t) for c, t in zip(own, types, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], names=schema.names)
 
-    done = joined.mapInArrow(cut, schema)
-    if not as_text:
-        return done.select(*[f"row.{c}" for c in columns], *added)
-    text = F.when(~F.col("row.__none"), F.col("kept")).alias("text")
-    return done.select(*[text if c == "text" else f"row.{c}" for c in docs.columns if c not in added], *added[:3])
+    return joined.mapInArrow(cut, schema)
+
+
+def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """``docs`` without the bytes that repeat, with ``n_bytes, n_removed, n_spans``.
+
+    A byte is removed if a string of ``length`` bytes that covers it, within its document,
+    also starts earlier: in a document with a smaller id, or before it in the same one.
+    Strings are those of the input. A null id is the smallest, and among equal ids the text
+    with the smaller hash comes first; of rows that repeat id and text, all but one lose
+    whatever ``length`` bytes can cover. A null text is empty, and texts shorter than
+    ``length`` stay whole. Every row is returned with its columns; input columns named like
+    the added ones are replaced. No rows give no rows.
+
+    In place of ``text`` comes ``kept``, the remaining bytes, last of all columns.
+    """
+    done = _cut_rows(docs, length, as_text=False)
+    return done.select(*[F.col(f"row.own.`{c}`") for c in docs.columns if c != "text" and c not in ADDED], *ADDED)
 
 
 def report(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -431,11 +432,16 @@ def report(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``docs`` with what remains as ``text``, and ``n_chars`` its length where there is one."""
-    added = ("n_bytes", "n_removed", "n_spans")
-    clash = {c: f"__own_{c}" for c in added if c in docs.columns}
-    done = remove_repeats(docs.withColumnsRenamed(clash), length, as_text=True).drop(*added)
-    done = done.withColumnsRenamed({v: k for k, v in clash.items()})
+    """``docs`` with what ``remove_repeats`` leaves as ``text``, and ``n_chars`` its length where
+    there is one.
+
+    The parts of characters that a cut may leave go too; a null text stays null. Every row is
+    returned, a text that repeats as a whole as an empty one, and other columns stay as they
+    are, whatever their names. No rows give no rows.
+    """
+    done = _cut_rows(docs, length, as_text=True)
+    text = F.when(~F.col("row.none"), F.col("kept"))
+    new = {"text": text}
     if "n_chars" in docs.columns:
-        done = done.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return done.select(*docs.columns)
+        new["n_chars"] = F.length(text).cast(docs.schema["n_chars"].dataType)
+    return done.select(*[new[c].alias(c) if c in new else F.col(f"row.own.`{c}`") for c in docs.columns])
