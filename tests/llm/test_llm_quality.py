@@ -1,10 +1,12 @@
 from __future__ import annotations
 
+import math
 import random
 import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -116,3 +118,62 @@ def test_long_text_is_read_whole(spark, docs, labels):
     out = {r["doc_id"]: r for r in quality_rules.judge(both, labels).where("doc_id < 0").collect()}
     assert len(good) > 100_000 and out[-2]["n_symbols"] == brute_counts(whole)[2]
     assert out[-2]["score"] < 0.5 < out[-1]["score"]
+
+
+def plain_codes(text: str) -> list[int]:
+    """Buckets of the tokens, a token equal to the one before it as ``AGAIN``."""
+    tokens = re.findall(rb"[0-9A-Za-z\x80-\xff]+|[^\s0-9A-Za-z\x80-\xff]+", text.encode())
+    codes = [zlib.crc32(t) % quality_network.BUCKETS for t in tokens]
+    return [quality_network.AGAIN if k and codes[k] == codes[k - 1] else c for k, c in enumerate(codes)]
+
+
+def test_context_sums_equal_a_loop_over_neighbours(spark):
+    rows = corpus()
+    places, signs = quality_network.index_vectors()
+    want = np.zeros((quality_network.GAP + 1, quality_network.WIDTH))
+    for row in rows:
+        codes = plain_codes(row[1] or "")
+        for i, word in enumerate(codes):
+            for j in range(max(0, i - quality_network.REACH), min(len(codes), i + quality_network.REACH + 1)):
+                if i != j:
+                    for place, sign in zip(places[codes[j]], signs[codes[j]], strict=True):
+                        want[word, place] += sign
+    assert np.allclose(quality_network.context_sums(documents(spark).repartition(3)), want)
+
+
+def test_pooling_and_network_equal_plain_versions():
+    draw = np.random.default_rng(4)
+    vectors = quality_network.word_vectors(draw.normal(size=(quality_network.GAP + 1, quality_network.WIDTH)))
+    memo, net = quality_network.Codes(), None
+    texts_ = [r[1] or "" for r in corpus()]
+    pooled = np.stack([quality_network.pooled(t.encode(), vectors, memo) for t in texts_])
+    for text, row in zip(texts_, pooled, strict=True):
+        codes = plain_codes(text)
+        want = sum((vectors[c].astype(float) for c in codes), np.zeros(quality_network.WIDTH)) / max(1, len(codes))
+        assert np.allclose(row, want, atol=1e-5)
+    labels = (pooled[:, 0] > np.median(pooled[:, 0])).astype(float)
+    net = quality_network.fit_network(pooled.astype(float), labels, np.ones(len(labels)))
+    net.temperature = 1.7
+    w1, b1, w2, b2 = net.layers
+    for row, got in zip(pooled, net.probability(pooled), strict=True):
+        x = [(v - c) / s for v, c, s in zip(row, net.center, net.spread, strict=True)]
+        hidden = [math.tanh(sum(a * w for a, w in zip(x, w1[:, k], strict=True)) + b1[k]) for k in range(quality_network.HIDDEN)]
+        logit = sum(h * w for h, w in zip(hidden, w2, strict=True)) + b2[0]
+        assert abs(got - 1 / (1 + math.exp(-max(-30, min(30, logit / 1.7))))) < 1e-6
+    # Training lowers the loss that a constant has.
+    assert np.logaddexp(0, np.where(labels == 1, -net.logits(pooled), net.logits(pooled))).mean() < 0.3
+
+
+@pytest.mark.parametrize("module", [quality_network, quality_rules])
+def test_held_out_labels_are_not_read(docs, labels, module):
+    held = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    flipped = labels.withColumn("quality", F.when(held, 1 - F.col("quality")).otherwise(F.col("quality")))
+    run = module.score if module is quality_network else module.judge
+    results = [sorted(map(tuple, run(docs.limit(400), of).collect())) for of in (labels, flipped)]
+    assert results[0] == results[1]
+
+
+def test_network_on_very_long_texts(spark, labels):
+    rows = [(1, "word other thing. " * 100_000, None, None, 0), (2, "x" * 2_000_000, None, None, 0), (3, "a few words", None, None, 0)]
+    out = quality_network.score(documents(spark, rows), labels).collect()
+    assert sorted(r["doc_id"] for r in out) == [1, 2, 3] and all(0 <= r["score"] <= 1 for r in out)

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -76,3 +77,63 @@ def test_no_rows_and_no_labels(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert toxicity.score(documents(spark, []), none).collect() == []
     assert toxicity.drop_toxic(documents(spark), none).count() == len(corpus())
+
+
+def plain_logit(net: GatedNetwork, window: list[str]) -> float:
+    """One window, a number at a time."""
+    p = {k: v.astype(float) for k, v in net.p.items()}
+
+    def input_of(word: str) -> np.ndarray:
+        raw = word.encode()
+        marked, buckets = b"\x01" + raw + b"\x02", []
+        for n in toxicity.GRAMS:
+            for k in range(len(marked) - n + 1):
+                mixed = 131 * n
+                for byte in marked[k : k + n]:
+                    mixed = ((mixed ^ byte) * 2654435761) % (1 << 32)
+                buckets.append((mixed ^ (mixed >> 16)) % toxicity.GRAM_BUCKETS)
+        return np.append(p["word"][zlib.crc32(raw) % toxicity.WORD_BUCKETS], np.mean([p["gram"][b] for b in buckets], 0))
+
+    sides = []
+    for way, words in ((0, window), (1, window[::-1])):
+        h, states, u = np.zeros(HIDDEN), [], p[f"u{way}"]
+        for word in words:
+            g = (input_of(word) @ p["wx"] + p["bx"])[3 * HIDDEN * way : 3 * HIDDEN * (way + 1)]
+            own = h @ u
+            z = 1 / (1 + np.exp(-(g[:HIDDEN] + own[:HIDDEN])))
+            r = 1 / (1 + np.exp(-(g[HIDDEN : 2 * HIDDEN] + own[HIDDEN : 2 * HIDDEN])))
+            h = z * h + (1 - z) * np.tanh(g[2 * HIDDEN :] + r * own[2 * HIDDEN :])
+            states.append(h)
+        sides.append(states if way == 0 else states[::-1])
+    both = [np.append(a, b) for a, b in zip(*sides, strict=True)]
+    if not both:
+        return float(p["bo"][0])
+    looks = np.array([np.tanh(s @ p["wa"] + p["ba"]) @ p["va"] for s in both])
+    share = np.exp(looks - looks.max()) / np.exp(looks - looks.max()).sum()
+    return float(sum(a * s for a, s in zip(share, both, strict=True)) @ p["wo"] + p["bo"][0])
+
+
+def test_documents_score_as_their_worst_window_does():
+    draw, net = np.random.default_rng(2), GatedNetwork.fresh()
+    net.p["bx"] += draw.normal(0, 0.3, net.p["bx"].shape).astype(np.float32)
+    texts = [[f"wörd{k}" for k in draw.integers(0, 30, n)] for n in (0, 1, 2, STRIDE, WINDOW, WINDOW + 1, 90)]
+    top = net.worst(Vocabulary(texts))[0]
+    for words, logit in zip(texts, top, strict=True):
+        windows = [words[a : a + WINDOW] for a in range(0, max(1, len(words) - (WINDOW - STRIDE)), STRIDE)]
+        assert abs(max(plain_logit(net, w) for w in windows) - logit) < 1e-4
+
+
+def test_held_out_labels_are_not_read(spark):
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").limit(300)
+    held = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    flipped = labels.withColumn("toxic", F.when(held, 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    results = [sorted(map(tuple, toxicity.score(docs, of).collect())) for of in (labels, flipped)]
+    assert results[0] == results[1]
+
+
+def test_very_long_texts(spark):
+    labels = spark.createDataFrame([(1, 1, 0), (2, 1, 1)], "doc_id long, quality int, toxic int")
+    rows = [(1, "some words of it " * 40_000, None, None, 0), (2, "y" * 1_000_000, None, None, 0)]
+    out = toxicity.score(documents(spark, rows), labels).collect()
+    assert sorted(r["doc_id"] for r in out) == [1, 2] and all(0 <= r["score"] <= 1 for r in out)

@@ -187,7 +187,8 @@ def proximity_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
     that the corpus lacks count for nothing; an item of fewer than ``least`` words needs all of
     them. A word of the document stands for one
     place of the item at a time. Texts are compared as in ``report``; repeated rows are
-    answered once, and texts that share an id each for itself.
+    answered once, and texts that share an id each for itself. Null and empty texts and items
+    match nothing, a null id stays null, and empty tables on either side give no rows.
     """
     items = written(test_items(benchmark), "items")
     found = offsets(docs, items, lambda counts: near_places(items, counts, window, least))

@@ -99,7 +99,8 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, sequence: int = SEQUENCE,
 
     A document is its ids and the end id; null text has the end id alone. Documents over
     ``sequence`` ids are cut into pieces of that length, the first taking what is left over.
-    ``keep_ids`` adds the ids themselves, as an array.
+    ``keep_ids`` adds the ids themselves, as an array. Repeated rows give their pieces as often
+    as they occur, a null id stays null, and no rows give no rows.
     """
     fields = [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]
     schema = pa.schema(fields + ([("ids", pa.list_(pa.int64()))] if keep_ids else []))

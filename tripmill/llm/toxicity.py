@@ -371,5 +371,13 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, least: float = PREDICT_SCORE) -> DataFrame:
-    """``docs`` without the rows that score ``least`` or more; columns stay as they are."""
-    return scored(docs, labels, "__toxicity").where(F.col("__toxicity") < least).drop("__toxicity")
+    """``docs`` without the rows that score ``least`` or more.
+
+    Null and empty texts score like texts without words. Repeated rows go or stay together,
+    and of texts that share an id, or lack one, each is judged for itself. Columns stay as
+    they are, whatever their names. No rows give no rows, whatever the labels.
+    """
+    name = "toxicity"
+    while name in docs.columns:
+        name += "_"
+    return scored(docs, labels, name).where(F.col(name) < least).drop(name)
