@@ -2,20 +2,24 @@ from __future__ import annotations
 
 import base64
 import json
+import os
+import time
+from collections import Counter
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tests.conftest import at, plan_of, rows
 from tripmill.operators.ingest import fill_defaults
-from tripmill.operators.load import read_if_exists
 from tripmill.plans import marts, staging
 from tripmill.schema import STREAM_TYPES, ddl
 from tripmill.session import conf_set, work_folder
 from tripmill.sources.records import RECORD_SCHEMA, read_envelopes
 from tripmill.streaming import cleanse as cleansing
-from tripmill.streaming import hourly, load
+from tripmill.streaming import commits, files, hourly, load
+from tripmill.streaming.commits import CommittedSink
 from tripmill.workload import tables as t
 
 AS_OF = "2024-01-31 00:00:00"
@@ -122,8 +126,13 @@ def test_odd_but_good_records_are_delivered_whole(spark):
     assert [values[k] for k in ("trip_id", "passenger_count", "pulocationid", "dolocationid")] == ["a1", 1.7, [1, "x"], 9]
 
 
-def contents(spark, path):
-    df = read_if_exists(spark, path)
+def trip_schema() -> StructType:
+    return StructType.fromDDL(ddl(STREAM_TYPES))
+
+
+def contents(spark, path, sink=None):
+    """What is visible in a sink, or in a folder beside it."""
+    df = CommittedSink(spark, sink or path).read(path)
     return [] if df is None else df.collect()
 
 
@@ -145,26 +154,27 @@ def test_stream_restart_and_duplicates(spark):
     trip = lambda i: {**GOOD, "trip_id": f"t{i}"}
     write_envelopes(spark, source, [trip(1), trip(2), trip(2), "{bad", {**GOOD, "trip_id": None}], "a")
     cleanse_stream(spark, source, sink, bad, checkpoint)
-    assert sorted(r.trip_id or "" for r in spark.read.parquet(sink).collect()) == ["", "t1", "t2"]
-    assert spark.read.parquet(bad).count() == 1
+    assert sorted(r.trip_id or "" for r in contents(spark, sink)) == ["", "t1", "t2"]
+    assert len(contents(spark, bad, sink)) == 1
 
     write_envelopes(spark, source, [trip(2), trip(3), "[1]", {**GOOD, "trip_id": None}], "b")
     cleanse_stream(spark, source, sink, bad, checkpoint)
-    assert sorted(r.trip_id or "" for r in spark.read.parquet(sink).collect()) == ["", "", "t1", "t2", "t3"]
-    assert [r[0] for r in rows(spark.read.parquet(bad).select("recordId"))] == ["a-3", "b-2"]
+    assert sorted(r.trip_id or "" for r in contents(spark, sink)) == ["", "", "t1", "t2", "t3"]
+    assert sorted(r.recordId for r in contents(spark, bad, sink)) == ["a-3", "b-2"]
 
     # A new checkpoint replays everything: keyed rows stay as they were, and the dead
     # letters of the first stream are not replaced.
-    keyed = spark.read.parquet(sink).where("trip_id IS NOT NULL").count()
+    keyed = lambda: sorted(r.trip_id for r in contents(spark, sink) if r.trip_id)
+    before = keyed()
     cleanse_stream(spark, source, sink, bad, work_folder(spark, "checkpoint"))
-    assert spark.read.parquet(sink).where("trip_id IS NOT NULL").count() == keyed
-    assert [r[0] for r in rows(spark.read.parquet(bad).select("recordId"))] == ["a-3", "a-3", "b-2", "b-2"]
+    assert keyed() == before
+    assert sorted(r.recordId for r in contents(spark, bad, sink)) == ["a-3", "a-3", "b-2", "b-2"]
 
 
 def test_repeated_batch_replaces_itself(spark):
     path = work_folder(spark, "batches")
     for batch, n in ((load.Batch("s", 0), 3), (load.Batch("s", 1), 2), (load.Batch("r", 0), 5), (load.Batch("s", 0), 4)):
-        load.write_batch(spark.range(n), path, batch)
+        commits.write_batch(spark.range(n), path, batch)
     assert rows(spark.read.parquet(path).groupBy("stream_id", "batch_id").count()) == [("r", 0, 5), ("s", 0, 4), ("s", 1, 2)]
 
 
@@ -172,7 +182,7 @@ def test_sink_columns(spark):
     source, sink, bad = (work_folder(spark, n) for n in ("in", "trips", "bad"))
     write_envelopes(spark, source, [GOOD], "a")
     cleanse_stream(spark, source, sink, bad, work_folder(spark, "checkpoint"))
-    assert set(spark.read.parquet(sink).columns) == set(STREAM_TYPES)
+    assert set(CommittedSink(spark, sink).read().columns) == set(STREAM_TYPES)
 
 
 def test_good_and_bad_make_up_the_input(spark, folder):
@@ -196,7 +206,7 @@ def test_file_load_reads_each_file_once(spark):
     def run():
         files = load.file_stream(spark, landing, ddl(STREAM_TYPES), max_files=1)
         load.run_file_load(files, sink, ledger, checkpoint).awaitTermination()
-        return spark.read.parquet(sink).count(), spark.read.parquet(ledger).count()
+        return len(contents(spark, sink)), len(contents(spark, ledger, sink))
 
     trips_file(spark, landing, ("a", "10:00:00", 1.0), ("b", "11:00:00", 2.0))
     trips_file(spark, landing, ("b", "11:00:00", 2.0), ("c", "12:00:00", 3.0))
@@ -211,10 +221,11 @@ def test_a_bad_file_is_listed_and_tried_again(spark):
     landing, sink, ledger, failures, checkpoint = (work_folder(spark, n) for n in names)
     bad = Path(landing.removeprefix("file:")) / "part-bad.parquet"
 
-    def run():
-        paths = load.path_stream(spark, landing)
-        load.run_tolerant_file_load(paths, ddl(STREAM_TYPES), sink, ledger, failures, checkpoint).awaitTermination()
-        return sorted(r.trip_id for r in contents(spark, sink)), len(contents(spark, ledger)), {r.key.split("/")[-1] for r in contents(spark, failures)}
+    def run(**options):
+        landed = files.whole_files(spark, landing)
+        load.run_tolerant_file_load(landed, trip_schema(), sink, ledger, failures, checkpoint, **options).awaitTermination()
+        names = {r.key.split("/")[-1] for r in contents(spark, failures, sink)}
+        return sorted(r.trip_id for r in contents(spark, sink)), len(contents(spark, ledger, sink)), names
 
     trips_file(spark, landing, ("a", "10:00:00", 1.0))
     trips_file(spark, landing, ("a", "10:00:00", 1.0), ("b", "11:00:00", 1.0))
@@ -227,21 +238,140 @@ def test_a_bad_file_is_listed_and_tried_again(spark):
     bad.write_bytes(next(Path(mended.removeprefix("file:")).glob("*.parquet")).read_bytes())
     (bad.parent / ".part-bad.parquet.crc").unlink(missing_ok=True)
     assert run() == (["a", "b", "c", "d"], 4, {"part-bad.parquet"})
+    assert run() == (["a", "b", "c", "d"], 4, {"part-bad.parquet"})
+
+
+def test_a_bad_file_is_given_up_when_it_leaves_the_lookback(spark):
+    names = ("landing", "trips", "ledger", "failures", "checkpoint")
+    landing, sink, ledger, failures, checkpoint = (work_folder(spark, n) for n in names)
+    trips_file(spark, landing, ("a", "10:00:00", 1.0))
+    for name, age in (("old", 7200), ("new", 60)):
+        bad = Path(landing.removeprefix("file:")) / f"part-{name}.parquet"
+        bad.write_bytes(b"no parquet")
+        os.utime(bad, (time.time() - age,) * 2)
+    for _ in range(3):
+        landed = files.whole_files(spark, landing)
+        load.run_tolerant_file_load(landed, trip_schema(), sink, ledger, failures, checkpoint, lookback="1 hour").awaitTermination()
+    tried = Counter(r.key.split("/")[-1] for r in contents(spark, failures, sink))
+    assert tried == {"part-old.parquet": 1, "part-new.parquet": 3}
+
+
+def test_a_file_is_loaded_whole_or_not_at_all(spark):
+    landing = work_folder(spark, "landing")
+    for k in range(3):
+        trips_file(spark, landing, *[(f"{k}-{i}", "10:00:00", 1.0) for i in range(50)])
+    spark.createDataFrame([("x", "no number")], "trip_id string, fare_amount string").coalesce(1).write.mode("append").parquet(landing)
+    spark.createDataFrame([], "trip_id string").coalesce(1).write.mode("append").parquet(landing)
+    spark.createDataFrame([("few", 2.5)], "trip_id string, more double").coalesce(1).write.mode("append").parquet(landing)
+    half = sorted(Path(landing.removeprefix("file:")).glob("*.parquet"), key=lambda p: -p.stat().st_size)[0]
+    raw = bytearray(half.read_bytes())
+    raw[60:400] = bytes(340)  # the footer is whole, the pages are not
+    half.write_bytes(raw)
+    (half.parent / f".{half.name}.crc").unlink()
+    found = files.decode_now(files.read_whole(spark, [landing]), trip_schema())
+    marks = found.where("is_file").collect()
+    assert len(marks) == 6 and sum(r.reason is not None for r in marks) == 2
+    loaded = found.where("NOT is_file")
+    failed = [r.source_file for r in marks if r.reason]
+    assert loaded.where(F.col("source_file").isin(failed)).count() == 0
+    assert [r[1] for r in rows(loaded.groupBy("source_file").count())] in ([1, 50, 50], [50, 1, 50], [50, 50, 1])
+    assert loaded.select(*STREAM_TYPES).schema == trip_schema()
+
+
+def sink_of(spark, path, **options):
+    return CommittedSink(spark, path, ["trip_id"], **options)
+
+
+def load_rows(sink, batch_id, rows_in, stream="s", crash=None):
+    """One batch, which may crash before its commit."""
+    with sink.load(commits.Batch(stream, batch_id)) as attempt:
+        if attempt is not None:
+            attempt.add_new(rows_in)
+            attempt.beside(rows_in.select("trip_id"), f"{sink.path}-beside")
+            if crash:
+                raise crash
+    return attempt
+
+
+def landed(spark, *trips):
+    folder = work_folder(spark, "landing")
+    trips_file(spark, folder, *trips)
+    return spark.read.parquet(folder)
+
+
+def test_a_crashed_batch_is_not_seen_and_a_repeated_one_adds_nothing(spark):
+    path = work_folder(spark, "trips")
+    first = landed(spark, ("a", "10:00:00", 1.0), (None, "10:00:00", 1.0))
+    second = landed(spark, ("b", "11:00:00", 1.0), (None, "11:00:00", 1.0))
+    ids = lambda p: sorted(r.trip_id or "" for r in contents(spark, p, path))
+    load_rows(sink_of(spark, path), 0, first)
+    with pytest.raises(OSError, match="lost"):
+        load_rows(sink_of(spark, path), 1, second, crash=OSError("lost"))
+    assert ids(path) == ids(f"{path}-beside") == ["", "a"]
+    assert spark.read.parquet(path).count() == 4  # what is not seen
+    load_rows(sink_of(spark, path), 1, second)
+    assert ids(path) == ids(f"{path}-beside") == ["", "", "a", "b"]
+    assert load_rows(sink_of(spark, path), 1, second) is None  # run again after its commit
+    assert ids(path) == ["", "", "a", "b"]
+    assert sink_of(spark, path).remove_left_overs() > 0
+    assert spark.read.parquet(path).count() == 4 and ids(path) == ["", "", "a", "b"]
+
+
+def test_keys_that_move_between_days_are_known(spark):
+    path = work_folder(spark, "trips")
+    for k, when in enumerate(("10:00:00", "2024-01-03 10:00:00", "2023-12-31 23:59:59")):
+        load_rows(sink_of(spark, path, compact_every=2), k, landed(spark, ("a", when, 1.0), (f"only-{k}", when, 1.0)))
+    assert sorted(r.trip_id for r in contents(spark, path)) == ["a", "only-0", "only-1", "only-2"]
+
+
+@pytest.mark.parametrize("compact_every", [1, 3, 100])
+def test_index_against_all_that_was_loaded(spark, compact_every):
+    path, seen = work_folder(spark, "trips"), {}
+    for k in range(7):
+        batch = [(f"k{(k * 5 + i) % 17}", "10:00:00", float(k)) for i in range(9)]
+        load_rows(sink_of(spark, path, compact_every=compact_every, buckets=4), k, landed(spark, *batch))
+        for name, _, fare in batch:
+            seen.setdefault(name, fare)
+    assert sorted((r.trip_id, r.fare_amount) for r in contents(spark, path)) == sorted(seen.items())
+    sink = sink_of(spark, path, buckets=4)
+    assert len(commits.folders(spark, f"{path}.commits/deltas", 2)) <= max(2 * compact_every, 1)
+    assert sink.commits.read().select("batch_id").distinct().count() == 7
+
+
+def test_a_batch_reads_the_buckets_of_its_keys(spark):
+    path = work_folder(spark, "trips")
+    sink = sink_of(spark, path, compact_every=1)
+    load_rows(sink, 0, landed(spark, *[(f"k{i}", "10:00:00", 1.0) for i in range(300)]))
+    batch = landed(spark, ("k7", "2024-01-09 10:00:00", 1.0), ("new", "10:00:00", 1.0))
+    known = sink.known(batch)
+    assert 0 < known.count() < 20
+    plan = plan_of(known)
+    filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "bucket#" in filters and ("IN" in filters or "=" in filters)
+    assert f"{path}/" not in plan  # the sink itself is not read
+    load_rows(sink, 1, batch)
+    assert len(contents(spark, path)) == 301
+
+
+def test_a_sink_without_an_index_is_read_once(spark):
+    path = work_folder(spark, "trips")
+    load_rows(sink_of(spark, path, key_fixes_partition=True), 0, landed(spark, ("a", "10:00:00", 1.0)))
+    load_rows(sink_of(spark, path), 1, landed(spark, ("a", "2024-01-05 10:00:00", 1.0), ("b", "10:00:00", 1.0)))
+    assert sorted(r.trip_id for r in contents(spark, path)) == ["a", "b"]
 
 
 def test_load_reads_only_partitions_of_the_batch(spark):
-    sink = work_folder(spark, "trips")
+    path = work_folder(spark, "trips")
     batches = [
         [("a", "10:00:00", 1.0), ("b", "11:00:00", 1.0), ("c", "2024-01-03 10:00:00", 1.0)],
         [("b", "11:00:00", 1.0), ("b", "12:00:00", 1.0), ("d", "10:30:00", 1.0)],
     ]
-    for trips in batches:
-        landing = work_folder(spark, "landing")
-        trips_file(spark, landing, *trips)
-        rows_in = spark.read.parquet(landing)
-        load.append_new(rows_in, sink, ["trip_id"], key_fixes_partition=True)
-    assert [r[0] for r in rows(spark.read.parquet(sink).select("trip_id"))] == ["a", "b", "c", "d"]
-    known = load.in_partitions_of(rows_in, spark.read.parquet(sink), ["year", "month", "day", "hour"])
+    sink = sink_of(spark, path, key_fixes_partition=True)
+    for k, trips in enumerate(batches):
+        rows_in = landed(spark, *trips)
+        load_rows(sink, k, rows_in)
+    assert [r[0] for r in rows(sink.read().select("trip_id"))] == ["a", "b", "c", "d"]
+    known = sink.known(rows_in)
     # One by one: hour 11 of the batch's day is touched, that of another day would not be.
     assert [r[0] for r in rows(known.select("trip_id"))] == ["a", "b", "d"]
     filters = plan_of(known).split("PartitionFilters: [")[1].split("]")[0]
@@ -249,27 +379,31 @@ def test_load_reads_only_partitions_of_the_batch(spark):
 
 
 def test_partitions_without_a_value_are_compared(spark):
-    sink, landing = work_folder(spark, "trips"), work_folder(spark, "landing")
-    trips_file(spark, landing, ("a", "10:00:00", 1.0), ("b", "11:00:00", 1.0))
-    nowhere = spark.read.parquet(landing).withColumn("hour", F.lit(None).cast("int"))
-    for _ in range(2):
-        load.append_new(nowhere, sink, ["trip_id"], key_fixes_partition=True)
-    assert spark.read.parquet(sink).count() == 2
+    sink = sink_of(spark, work_folder(spark, "trips"), key_fixes_partition=True)
+    nowhere = landed(spark, ("a", "10:00:00", 1.0), ("b", "11:00:00", 1.0)).withColumn("hour", F.lit(None).cast("int"))
+    for k in range(2):
+        load_rows(sink, k, nowhere)
+    assert sink.read().count() == 2
 
 
 def test_late_rows_go_aside(spark):
-    source, sink, late, marks = (work_folder(spark, n) for n in ("in", "sink", "late", "marks"))
+    source, sink, late = (work_folder(spark, n) for n in ("in", "sink", "late"))
     checkpoint = work_folder(spark, "checkpoint")
 
     def run():
         stream = spark.readStream.schema(ddl(STREAM_TYPES)).parquet(source)
-        load.run_late_split(stream, sink, late, marks, checkpoint).awaitTermination()
-        return [sorted(r.trip_id for r in contents(spark, p)) for p in (sink, late)]
+        load.run_late_split(stream, sink, late, checkpoint).awaitTermination()
+        return [sorted(r.trip_id for r in contents(spark, p, sink)) for p in (sink, late)]
 
     trips_file(spark, source, ("a", "10:00:00", 1.0), ("b", "05:00:00", 1.0))
     assert run() == [["a", "b"], []]
     trips_file(spark, source, ("c", "09:30:00", 1.0), ("d", "08:59:59", 1.0), ("e", "12:00:00", 1.0))
     assert run() == [["a", "b", "c", "e"], ["d"]]
+    trips_file(spark, source, ("f", "10:59:59", 1.0), ("g", "11:00:00", 1.0))
+    assert run() == [["a", "b", "c", "e", "g"], ["d", "f"]]
+    day = CommittedSink(spark, sink).read().where("day = 1 AND hour = 9")
+    assert [r.trip_id for r in day.collect()] == ["c"]
+    assert "hour#" in plan_of(day).split("PartitionFilters: [")[1].split("]")[0]
 
 
 def test_bounded_dedup(spark):
@@ -290,7 +424,7 @@ def test_stream_hours_equal_batch_hours(spark, folder):
         stream = staging.stg_stream(spark.readStream.schema(parts.schema).parquet(source))
         hourly.run_hourly(hourly.stream_hourly(stream), sink, checkpoint).awaitTermination()
     figures = ["hour", "trips", "round(fare_total, 2)", "round(avg_passenger_count, 6)"]
-    streamed = hourly.current_hours(spark.read.parquet(sink)).selectExpr(*figures)
+    streamed = hourly.read_hours(spark, sink).selectExpr(*figures)
     assert rows(streamed) == rows(marts.hourly(staging.stg_stream(parts)).selectExpr(*figures))
 
 
@@ -315,12 +449,30 @@ def test_fresh_checkpoint_over_an_old_hourly_sink(spark, folder):
         parts.coalesce(1).write.mode("append").parquet(source)
         stream = staging.stg_stream(spark.readStream.schema(parts.schema).parquet(source))
         hourly.run_hourly(hourly.stream_hourly(stream), sink, checkpoint).awaitTermination()
-        return hourly.current_hours(spark.read.parquet(sink)).agg(F.sum("trips")).first()[0]
+        return hourly.read_hours(spark, sink).agg(F.sum("trips")).first()[0]
 
     checkpoint, once = work_folder(spark, "checkpoint"), parts.count()
     assert [run(checkpoint), run(checkpoint), run(work_folder(spark, "checkpoint"))] == [once, 2 * once, 3 * once]
 
 
+@pytest.mark.parametrize("compact_every", [1, 2])
+def test_hours_from_snapshots(spark, folder, compact_every):
+    source, sink, checkpoint = (work_folder(spark, n) for n in ("in", "hours", "checkpoint"))
+    parts = t.stream_trips(spark, folder)
+    days = [f"2024-01-{d:02d} 00:00:00" for d in (1, 6, 11, 16, 21, 26)] + ["2024-03-01 00:00:00"]
+    time = F.col("pickup_datetime")
+    for k, (low, high) in enumerate(zip(days, days[1:], strict=False)):
+        low, high = (F.lit(x).cast("timestamp_ntz") for x in (low, high))
+        parts.where((time >= low - F.expr("INTERVAL 1 DAY")) & (time < high)).coalesce(1).write.mode("append").parquet(source)
+        stream = staging.stg_stream(spark.readStream.schema(parts.schema).parquet(source))
+        hourly.run_hourly(hourly.stream_hourly(stream), sink, checkpoint, compact_every=compact_every).awaitTermination()
+        figures = ["hour", "trips", "round(fare_total, 2)", "round(avg_passenger_count, 6)"]
+        whole = marts.hourly(staging.stg_stream(spark.read.parquet(source))).selectExpr(*figures)
+        assert rows(hourly.read_hours(spark, sink).selectExpr(*figures)) == rows(whole), k
+    log = commits.Log(spark, sink)
+    assert log.versions() and len(commits.folders(spark, f"{sink}/deltas", 2)) <= 6
+
+
 def test_fill_defaults(spark):
     df = spark.createDataFrame([(None, None, None, None, None)], "passenger_count bigint, fare_amount double, payment_type bigint, pulocationid int, dolocationid int")
     assert rows(fill_defaults(df)) == [(1, 0.0, 1, 0, 0)]

@@ -1,9 +1,9 @@
 """Streaming loads into Parquet sinks that survive replays and restarts.
 
-foreachBatch may run a batch again after a failure. Trips are inserted by key, so a
-repeat adds nothing; dead letters, late rows and ledger entries go to a partition named
-after the stream and the batch, which a repeat replaces. The stream's id lives in its
-checkpoint, so a stream started afresh never replaces what another one wrote.
+foreachBatch may run a batch again after a failure. All that a batch writes becomes visible
+with its commit (``commits``), and a batch that was committed is not run again, so a repeat
+adds nothing, whether or not its rows have keys. The stream's id lives in its checkpoint, so a
+stream started afresh is another stream; its rows are known by their keys.
 """
 
 from __future__ import annotations
@@ -11,77 +11,18 @@ from __future__ import annotations
 import threading
 import uuid
 from collections.abc import Callable, Sequence
-from functools import reduce
-from operator import and_, or_
-from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from tripmill.functions.times import as_of_column
-from tripmill.operators.load import drop_repeats, insert_new, ledger_entries, read_if_exists, read_ledger
-from tripmill.operators.sinks import write_lake
+from tripmill.operators.load import ledger_entries
 from tripmill.schema import STREAM_PARTITIONS, STREAM_TYPES
 from tripmill.streaming.cleanse import cleanse, failed_rows, good_rows
-
-BATCH_COLUMNS = ("stream_id", "batch_id")
-
-
-class Batch(NamedTuple):
-    """What names a micro-batch across restarts."""
-
-    stream_id: str
-    batch_id: int
-
-
-def write_batch(df: DataFrame, path: str, batch: Batch) -> None:
-    """Write one micro-batch under its own partition, replacing an earlier attempt."""
-    named = df.withColumns({name: F.lit(value) for name, value in zip(BATCH_COLUMNS, batch, strict=True)})
-    write_lake(named, path, partitions=BATCH_COLUMNS, layout="none")
-
-
-def in_partitions_of(batch: DataFrame, known: DataFrame, partitions: Sequence[str]) -> DataFrame:
-    """The part of a sink whose partitions the batch touches, one by one.
-
-    The sink is joined with the batch's distinct partition values, which Spark turns into
-    dynamic partition pruning. The first and last value of each column go along as literals:
-    they prune as well, and they tell the optimizer that the values select. Rows of partitions
-    without a value are compared if the batch has such rows.
-    """
-    ends = batch.agg(*[F.struct(F.min(c).alias("low"), F.max(c).alias("high")).alias(c) for c in partitions]).first()
-    unknown = reduce(or_, [F.col(c).isNull() for c in partitions])
-    if all(ends[c].low is None for c in partitions):
-        return known.where(unknown)
-    inside = reduce(and_, [F.col(c).between(ends[c].low, ends[c].high) for c in partitions if ends[c].low is not None])
-    touched = batch.select(*partitions).where(inside).distinct()
-    met = known.where(inside).join(touched, list(partitions), "left_semi")
-    return met.unionByName(known.where(unknown))
-
-
-def append_new(
-    rows: DataFrame,
-    sink: str,
-    keys: Sequence[str],
-    partitions: Sequence[str] = STREAM_PARTITIONS,
-    key_fixes_partition: bool = False,
-) -> None:
-    """Append rows of a batch whose key the sink lacks; repeats inside the batch go too.
-
-    The whole sink is checked, unless the caller vouches that rows of one key always fall
-    into one partition; then only partitions the batch touches are read.
-    """
-    fresh = drop_repeats(rows, keys).persist()
-    try:
-        known = read_if_exists(rows.sparkSession, sink)
-        new = fresh
-        if known is not None:
-            if key_fixes_partition:
-                known = in_partitions_of(fresh, known, partitions)
-            new = insert_new(fresh, known, keys)
-        write_lake(new, sink, mode="append", partitions=partitions)
-    finally:
-        fresh.unpersist()
+from tripmill.streaming.commits import Batch, CommittedSink, Load
+from tripmill.streaming.files import decode_now, read_whole
 
 
 def start(writer, checkpoint: str, once: bool) -> StreamingQuery:
@@ -119,17 +60,21 @@ def run_stream(
     once: bool = True,
 ) -> StreamingQuery:
     """Cleanse envelopes; good rows to the keyed trip sink, failures to the dead-letter sink."""
+    trips = CommittedSink(raw_stream.sparkSession, sink, keys, STREAM_PARTITIONS, key_fixes_partition)
 
-    def load(rows: DataFrame, batch: Batch) -> None:
-        records = cleanse(rows, received_at).drop("record").persist()
-        try:
-            good = good_rows(records).withColumn("inserted_at", as_of_column(inserted_at))
-            append_new(good.select(*STREAM_TYPES), sink, keys, STREAM_PARTITIONS, key_fixes_partition)
-            write_batch(failed_rows(records), bad_sink, batch)
-        finally:
-            records.unpersist()
+    def each(rows: DataFrame, batch: Batch) -> None:
+        with trips.load(batch) as load:
+            if load is None:
+                return
+            records = cleanse(rows, received_at).drop("record").persist()
+            try:
+                good = good_rows(records).withColumn("inserted_at", as_of_column(inserted_at))
+                load.add_new(good.select(*STREAM_TYPES))
+                load.beside(failed_rows(records), bad_sink)
+            finally:
+                records.unpersist()
 
-    return start_batches(raw_stream.writeStream, load, checkpoint, once)
+    return start_batches(raw_stream.writeStream, each, checkpoint, once)
 
 
 def run_keyed_load(
@@ -141,17 +86,20 @@ def run_keyed_load(
     key_fixes_partition: bool = False,
     once: bool = True,
 ) -> StreamingQuery:
-    """Append stream rows whose key was never loaded, checked against all of the sink.
+    """Append stream rows whose key was never loaded, checked against all that was.
 
-    Reads the sink's key columns in every batch, or with ``key_fixes_partition`` those of
-    the partitions the batch touches. For histories too large even for that, use
-    ``dedup_within`` on the stream, which keeps only the keys of a bounded delay.
+    Reads the buckets of the key index that the batch's keys fall into, or with
+    ``key_fixes_partition`` the partitions of the sink that the batch touches. ``dedup_within``
+    does without either for rows whose repeats come within a bounded delay.
     """
+    trips = CommittedSink(stream.sparkSession, sink, keys, partitions, key_fixes_partition)
 
-    def load(rows: DataFrame, _: Batch) -> None:
-        append_new(rows, sink, keys, partitions, key_fixes_partition)
+    def each(rows: DataFrame, batch: Batch) -> None:
+        with trips.load(batch) as load:
+            if load is not None:
+                load.add_new(rows)
 
-    return start_batches(stream.writeStream, load, checkpoint, once)
+    return start_batches(stream.writeStream, each, checkpoint, once)
 
 
 def dedup_within(
@@ -181,28 +129,22 @@ def run_file_load(
     key_fixes_partition: bool = False,
     once: bool = True,
 ) -> StreamingQuery:
-    """Load landed Parquet files and record each in the ledger after its rows are in."""
-
-    def load(rows: DataFrame, batch: Batch) -> None:
-        append_new(rows.drop("source_file"), sink, keys, partitions, key_fixes_partition)
-        loaded = rows.select(F.col("source_file").alias("key")).distinct()
-        write_batch(ledger_entries(loaded, "streaming", dataset_name), ledger, batch)
-
-    return start_batches(files.writeStream, load, checkpoint, once)
+    """Load landed Parquet files and record each in the ledger, with the rows that it brought."""
+    trips = CommittedSink(files.sparkSession, sink, keys, partitions, key_fixes_partition)
 
+    def each(rows: DataFrame, batch: Batch) -> None:
+        with trips.load(batch) as load:
+            if load is not None:
+                load.add_new(rows.drop("source_file"))
+                loaded = rows.select(F.col("source_file").alias("key")).distinct()
+                load.beside(ledger_entries(loaded, "streaming", dataset_name), ledger)
 
-def path_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """Names of new Parquet files of a folder, each once; the files are not opened."""
-    columns = "path string, modificationTime timestamp, length bigint, content binary"
-    reader = spark.readStream.format("binaryFile").schema(columns).option("pathGlobFilter", "*.parquet")
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.load(path).select(F.col("path").alias("key"))
+    return start_batches(files.writeStream, each, checkpoint, once)
 
 
 def run_tolerant_file_load(
-    paths: DataFrame,
-    schema,
+    files: DataFrame,
+    schema: StructType,
     sink: str,
     ledger: str,
     failures: str,
@@ -210,85 +152,105 @@ def run_tolerant_file_load(
     keys: Sequence[str] = ("trip_id",),
     partitions: Sequence[str] = STREAM_PARTITIONS,
     dataset_name: str = "streaming_trips",
+    lookback: str = "1 day",
+    retries: int = 100,
     once: bool = True,
 ) -> StreamingQuery:
     """``run_file_load`` that goes on without files it cannot load, and tries them again later.
 
-    The files of a batch are loaded together. If that fails they are loaded one by one; those
-    that fail stay out of the ledger and are listed under ``failures`` with the reason. Every
-    later batch takes the listed files that the ledger still lacks along, and so does the
-    start of a run. A batch holds as many files as ``path_stream`` hands out at once.
+    ``files`` come from ``files.whole_files``. Tasks decode each file for itself, in one job for
+    all files of a batch. One that fails stays out of the ledger and is listed under
+    ``failures`` with the reason. A batch, and the start of a run, takes listed files along that
+    the ledger still lacks, at most ``retries`` of them, the oldest first, until they have not
+    changed for ``lookback``.
     """
-    spark = paths.sparkSession
-
-    def load(keys_: list[str]) -> None:
-        append_new(spark.read.schema(schema).parquet(*keys_), sink, keys, partitions)
-
-    def load_files(names: list[str], batch: Batch) -> None:
-        loaded, failed = list(names), []
-        try:
-            load(names)
-        except Exception:  # noqa: BLE001 - whatever ails a file must not stop the others
-            loaded = []
-            for name in names:
-                try:
-                    load([name])
-                    loaded.append(name)
-                except Exception as error:  # noqa: BLE001
-                    failed.append((name, str(error).splitlines()[0][:300]))
-        if loaded:
-            done = spark.createDataFrame([(n,) for n in loaded], "key string")
-            write_batch(ledger_entries(done, "streaming", dataset_name), ledger, batch)
-        if failed:
-            write_batch(spark.createDataFrame(failed, "key string, reason string"), failures, batch)
+    spark = files.sparkSession
+    trips = CommittedSink(spark, sink, keys, partitions)
 
     def pending() -> list[str]:
-        listed = read_if_exists(spark, failures)
+        listed = trips.read(failures)
         if listed is None:
             return []
-        done = read_ledger(spark, ledger).select(F.col("pipeline_id").alias("key"))
-        return [r.key for r in listed.select("key").distinct().join(done, "key", "left_anti").collect()]
-
-    def each(rows: DataFrame, batch: Batch) -> None:
-        names = sorted({r.key for r in rows.collect()} | set(pending()))
-        if names:
-            load_files(names, batch)
-
-    if again := pending():
-        load_files(sorted(again), Batch(f"retry-{uuid.uuid4()}", 0))
-    return start_batches(paths.writeStream, each, checkpoint, once)
+        recent = F.col("modified_at") >= F.current_timestamp() - F.expr(f"INTERVAL {lookback}")
+        left = listed.where(recent).groupBy("key").agg(F.max("modified_at").alias("modified_at"))
+        if (done := trips.read(ledger)) is not None:
+            left = left.join(done.select(F.col("pipeline_id").alias("key")), "key", "left_anti")
+        names = [r.key for r in left.orderBy("modified_at", "key").limit(retries).collect()]
+        return [n for n in names if exists(spark, n)]
+
+    def load_files(found: DataFrame, load: Load) -> None:
+        load.add_new(found.where(~F.col("is_file")).select(*schema.names))
+        of_files = found.where("is_file").withColumn("key", F.col("source_file"))
+        load.beside(ledger_entries(of_files.where("reason IS NULL"), "streaming", dataset_name), ledger)
+        load.beside(of_files.where("reason IS NOT NULL").select("key", "modified_at", "reason"), failures)
+
+    def each(rows: DataFrame | None, batch: Batch) -> None:
+        names = pending()
+        if rows is None and not names:
+            return
+        with trips.load(batch) as load:
+            if load is None:
+                return
+            again = read_whole(spark, names) if names else None
+            given = again if rows is None else rows if again is None else again.unionByName(rows).dropDuplicates(["path"])
+            found = decode_now(given, schema)
+            try:
+                load_files(found, load)
+            finally:
+                found.unpersist()
+
+    each(None, Batch(f"retry-{uuid.uuid4()}", 0))  # no new file need come for a listed one to be tried again
+    return start_batches(files.writeStream, each, checkpoint, once)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
 def run_late_split(
     stream: DataFrame,
     sink: str,
     late_sink: str,
-    marks: str,
     checkpoint: str,
     event_col: str = "event_time",
     delay: str = "1 hour",
+    partitions: Sequence[str] = STREAM_PARTITIONS,
     once: bool = True,
 ) -> StreamingQuery:
     """Send rows older than the newest earlier event by more than ``delay`` to a side sink.
 
-    Nothing is dropped. The newest event time of each batch is kept under ``marks``, so a
-    replayed batch is split as it was the first time.
+    Nothing is dropped. The newest event time of a batch goes into its commit; a run looks it
+    up once and carries it from batch to batch. Both sinks are laid out by ``partitions``.
     """
+    spark = stream.sparkSession
+    on_time = CommittedSink(spark, sink, partitions=partitions)
+    seen: list = []
+
+    def newest_before(batch: Batch):
+        commits = on_time.commits.read()
+        if commits is None:
+            return None
+        same = (F.col("stream_id") == batch.stream_id) & (F.col("batch_id") < batch.batch_id)
+        return commits.where(same).agg(F.max("newest")).first()[0]
 
-    def split(rows: DataFrame, batch: Batch) -> None:
-        seen = read_if_exists(rows.sparkSession, marks)
-        newest = None
-        if seen is not None:
-            earlier = (F.col("stream_id") == batch.stream_id) & (F.col("batch_id") < batch.batch_id)
-            newest = seen.where(earlier).agg(F.max("newest")).first()[0]
-        bound = F.lit(None if newest is None else str(newest)).cast("timestamp_ntz")
-        late = F.coalesce(F.col(event_col) < bound - F.expr(f"INTERVAL {delay}"), F.lit(False))
-        marked = rows.withColumn("late", late).persist()
-        try:
-            write_batch(marked.where(~F.col("late")).drop("late"), sink, batch)
-            write_batch(marked.where("late").drop("late"), late_sink, batch)
-            write_batch(marked.agg(F.max(event_col).alias("newest")), marks, batch)
-        finally:
-            marked.unpersist()
-
-    return start_batches(stream.writeStream, split, checkpoint, once)
+    def each(rows: DataFrame, batch: Batch) -> None:
+        with on_time.load(batch) as load:
+            if load is None:
+                return
+            if not seen:
+                seen.append(newest_before(batch))
+            bound = F.lit(None if seen[0] is None else str(seen[0])).cast("timestamp_ntz")
+            late = F.coalesce(F.col(event_col) < bound - F.expr(f"INTERVAL {delay}"), F.lit(False))
+            marked = rows.withColumn("late", late).persist()
+            try:
+                load.add(marked.where(~F.col("late")).drop("late"))
+                load.add(marked.where("late").drop("late"), late_sink)
+                newest = marked.agg(F.max(event_col)).first()[0]
+            finally:
+                marked.unpersist()
+            newest = max((n for n in (newest, seen[0]) if n is not None), default=None)
+            load.facts["newest"] = F.lit(None if newest is None else str(newest)).cast("timestamp_ntz")
+        seen[:] = [newest]
+
+    return start_batches(stream.writeStream, each, checkpoint, once)
