@@ -4,7 +4,8 @@ import datetime as dt
 
 from tests.conftest import at, plan_of, rows
 from tripmill.operators import audit, quality, reconcile
-from tripmill.session import work_folder
+from tripmill.operators.load import in_partitions_of
+from tripmill.session import conf_set, work_folder
 
 
 def test_checks(spark):
@@ -107,3 +108,45 @@ def test_change_texts_round_ties_to_even(spark):
     df = spark.createDataFrame([(401, 400), (403, 400), (1, 0), (398, 400), (14_000, 400)], "a int, b int")
     texts = [r[0] for r in df.select(arrow_percent_text(F.col("a"), F.col("b"))).collect()]
     assert texts == ["\U0001f53c 0.2%", "\U0001f53c 0.8%", "N/A", "\U0001f53d -0.5%", "\U0001f53c 3400.0%"]
+
+
+def test_fractions_are_no_whole_numbers(spark):
+    parent = spark.createDataFrame([(1,), (2,)], "location_id int")
+    df = spark.createDataFrame([(1.5,), (1.0,), (2.0,), (None,), (float("nan"),), (3.0,)], "zone double")
+    checks = [quality.Relationship("zone", parent, "location_id")]
+    assert quality.run_checks(df, checks).first()["failures"] == 3
+    assert quality.merged_checks(quality.check_states(df.selectExpr("zone", "1 AS day"), checks, ["day"]), checks).first()["failures"] == 3
+
+
+def test_checks_kept_by_partition_equal_a_full_run(spark, tmp_path):
+    zones = spark.createDataFrame([(1,), (2,), (None,)], "location_id bigint")
+    columns = "day int, flag string, zone bigint, id string"
+    checks = [
+        quality.NotNull("flag"), quality.Unique("id"), quality.Accepted("flag", ("Y", "N")),
+        quality.Relationship("zone", zones, "location_id"), quality.Unique("zone"),
+    ]
+    lake, states = f"{tmp_path}/lake", f"{tmp_path}/states"
+    days = {
+        1: [("Y", 1, "a"), ("N", 3, "b"), (None, 3, "b")], 2: [("X", None, None), ("X", 2, "c")], 3: [("Y", 1, "a"), ("Y", 9, "d")],
+    }
+
+    def write(day):
+        data = [(day, *r) for r in days[day]]
+        with conf_set(spark, spark__sql__sources__partitionOverwriteMode="dynamic"):
+            spark.createDataFrame(data, columns).write.mode("overwrite").partitionBy("day").parquet(lake)
+
+    def read():
+        return spark.read.schema(columns).parquet(lake)
+
+    for day in days:
+        write(day)
+    assert rows(quality.refresh_checks(read(), checks, states, ["day"])) == rows(quality.run_checks(read(), checks))
+    days[2] = [("Y", 7, "a"), (None, 7, "e"), ("N", 7, "e")]
+    write(2)
+    changed = spark.createDataFrame([(2,)], "day int")
+    assert rows(quality.refresh_checks(read(), checks, states, ["day"], changed)) == rows(quality.run_checks(read(), checks))
+    filters = plan_of(quality.check_states(in_partitions_of(changed, read(), ["day"]), checks, ["day"])).split("PartitionFilters: [")[1]
+    assert "day#" in filters.split("]")[0] and "dynamicpruning" in filters.split("]")[0]
+    # A day that was emptied.
+    kept = read().where("day <> 2")
+    assert rows(quality.refresh_checks(kept, checks, states, ["day"], changed)) == rows(quality.run_checks(kept, checks))

@@ -1,9 +1,11 @@
 from __future__ import annotations
 
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from tests.conftest import at, plan_of, rows
 from tripmill.plans import dashboards, marts, models, staging
@@ -79,14 +81,16 @@ def test_date_bound_marts_read_their_partitions_only(spark, tmp_path):
     t.stream_trips(spark, small).write.partitionBy("year", "month", "day", "hour").parquet(sink)
     tz = models.trip_zone(staging.stg_trips(spark.read.parquet(lake)), t.zones(spark, small))
     whole = q.enriched_trips(spark, small)
-    newest = marts.newest_day(tz)
-    assert newest == marts.latest_day(whole).first()[0]
+    newest = marts.latest_day(whole).first()[0]
+    days = marts.partition_days(staging.stg_trips(spark.read.parquet(lake)))
+    assert [scan.split(">")[0] for scan in plan_of(days).split("ReadSchema: struct<")[1:]] == [""]
     chosen = marts.top_traffic_day(tz)
     stream = staging.stg_stream(spark.read.parquet(sink))
     for df in (
         marts.baseline_hourly(tz, "2024-01-15"),
         marts.baseline_hourly(tz, newest),
         marts.baseline_hourly(tz),
+        marts.baseline_hourly(tz, days=days),
         dashboards.day_trips(tz, chosen),
         dashboards.simulate_today(tz, chosen, "2024-02-01"),
     ):
@@ -99,6 +103,42 @@ def test_date_bound_marts_read_their_partitions_only(spark, tmp_path):
     assert trailing.count() == models.streaming_enriched(t.staged_stream(spark, small).drop(*models.PARTS), t.zones(spark, small), "2024-01-31", 3).count()
 
 
+def test_the_latest_day_reads_the_files_of_one_day(spark, tmp_path):
+    """All files of other days are broken, yet the mart is right."""
+    small, lake = "/root/testdata/sf0.001", f"{tmp_path}/lake"
+    zones = t.zones(spark, small)
+    t.trips(spark, small).write.partitionBy("cab_type", "year", "month", "day").parquet(lake)
+    table = spark.read.parquet(lake)
+    stg = staging.stg_trips(table)
+    newest = table.agg(F.max(F.make_date("year", "month", "day"))).first()[0]
+    figures = ["hour", "trips", "round(fare_total, 4)"]
+    want = rows(marts.baseline_hourly(models.trip_zone(stg, zones)).selectExpr(*figures))
+    files = [r[0] for r in table.where(F.make_date("year", "month", "day") < F.lit(newest)).select("_metadata.file_path").distinct().collect()]
+    for file in files:
+        path = Path(file.removeprefix("file://").removeprefix("file:"))
+        raw = path.read_bytes()
+        path.write_bytes(raw[:4] + bytes(len(raw) - 4 - int.from_bytes(raw[-8:-4], "little") - 8) + raw[-int.from_bytes(raw[-8:-4], "little") - 8 :])
+        (path.parent / f".{path.name}.crc").unlink()
+    found = marts.baseline_hourly(models.trip_zone(stg, zones), days=marts.partition_days(stg))
+    assert rows(found.selectExpr(*figures)) == want
+
+
+def test_a_newest_day_without_valid_trips_is_passed_over(spark, tmp_path):
+    small, lake = "/root/testdata/sf0.001", f"{tmp_path}/lake"
+    trips = t.trips(spark, small)
+    last = trips.agg(F.max("pickup_datetime")).first()[0]
+    wrong = trips.limit(3).withColumns({
+        "pickup_datetime": F.lit(str(last)).cast("timestamp_ntz") + F.expr("INTERVAL 3 DAYS"),
+        "dropoff_datetime": F.lit(str(last)).cast("timestamp_ntz"),
+    }).withColumns({n: f("pickup_datetime") for n, f in (("year", F.year), ("month", F.month), ("day", F.dayofmonth))})
+    trips.unionByName(wrong).write.partitionBy("cab_type", "year", "month", "day").parquet(lake)
+    stg = staging.stg_trips(spark.read.parquet(lake))
+    tz = models.trip_zone(stg, t.zones(spark, small))
+    figures = ["hour", "trips", "round(fare_total, 4)"]
+    found = marts.baseline_hourly(tz, days=marts.partition_days(stg)).selectExpr(*figures)
+    assert rows(found) == rows(marts.baseline_hourly(tz).selectExpr(*figures)) != []
+
+
 def test_hourly_marts_sort_once(spark):
     from tripmill.workload.queries import REGISTRY
 
@@ -175,3 +215,15 @@ def test_simulated_today_keeps_the_clock(spark, folder):
     assert rows(dashboards.day_trips(tz, day).selectExpr("hour(pickup_datetime)", "fare_amount")) == rows(
         moved.selectExpr("hour(pickup_datetime)", "fare_amount")
     )
+
+
+@pytest.mark.parametrize("as_of", ["2024-01-20 12:00:00", "2024-01-20 12:00:59", "2024-01-20 12:00:00.000001"])
+@pytest.mark.parametrize("zone", [None, "NATION_3"])
+def test_kpis_from_minutes(spark, as_of, zone):
+    small = "/root/testdata/sf0.001"
+    trips = q.live(spark, small)
+    figures = dashboards.minute_figures(trips)
+    for minutes in (3, 600, 15_000):
+        want = dashboards.live_kpis(trips, as_of, minutes, zone)
+        assert rows(dashboards.live_kpis_of_minutes(figures, trips, as_of, minutes, zone)) == rows(want)
+    assert rows(dashboards.cumulative_of_minutes(figures)) == rows(dashboards.cumulative_trips(trips))

@@ -93,6 +93,27 @@ def same_keys(keys: Sequence[str], prefix: str, null_safe: bool) -> Column:
     return reduce(lambda a, b: a & b, [same(k) for k in keys])
 
 
+def in_partitions_of(batch: DataFrame, known: DataFrame, partitions: Sequence[str]) -> DataFrame:
+    """The part of a sink whose partitions the batch touches, one by one.
+
+    The sink is joined with the batch's distinct partition values, which Spark turns into
+    dynamic partition pruning. The first and last value of each column go along as literals:
+    they prune as well, and they tell the optimizer that the values select. Rows of partitions
+    without a value are compared if the batch has such rows.
+    """
+    ends = batch.agg(*[F.struct(F.min(c).alias("low"), F.max(c).alias("high")).alias(c) for c in partitions]).first()
+    unknown = has_null(partitions)
+    if all(ends[c].low is None for c in partitions):
+        return known.where(unknown)
+    inside = F.lit(True)
+    for c in partitions:
+        if ends[c].low is not None:
+            inside = inside & F.col(c).between(ends[c].low, ends[c].high)
+    touched = batch.select(*partitions).where(inside).distinct()
+    met = known.where(inside).join(touched, list(partitions), "left_semi")
+    return met.unionByName(known.where(unknown))
+
+
 def pickup_months_of(target: DataFrame, batch: DataFrame) -> DataFrame:
     """The part of the final table that can hold keys of the batch: its pickup months.
 
@@ -111,24 +132,50 @@ def pickup_months_of(target: DataFrame, batch: DataFrame) -> DataFrame:
     return target.where(pickup.between(first, last) & years).join(months.where(years), list(parts), "left_semi")
 
 
+def data_files(spark: SparkSession, folders: Sequence[str]) -> set[str]:
+    """Names of the Parquet files in folders; nothing is opened."""
+    out = set()
+    for folder in folders:
+        place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+        if files.exists(place):
+            out |= {s.getPath().toString() for s in files.listStatus(place) if s.getPath().getName().endswith(".parquet")}
+    return out
+
+
 def staged_load(spark: SparkSession, source_path: str, target_path: str, cab_type: str) -> LoadReport:
     """Load one staged file into the final table, inserting only new trips.
 
-    The target is laid out by pickup year and month. Row counts are taken from Parquet
-    footers after the write, so a retried task cannot count twice.
+    The target is laid out by pickup year and month. A load counts the rows of the files it
+    wrote from their footers, so a retried task cannot count twice, and keeps that figure
+    beside the table: the table's size is the sum of the loads'. One load at a time fills it.
     """
     staging = read_staging(spark, source_path)
     staging_rows = staging.count()
     if staging_rows == 0:
         raise EmptyStagingError(f"no rows staged from {source_path}")
     aligned = align_for_load(staging, cab_type)
-    target = read_if_exists(spark, target_path)
+    target, counts = read_if_exists(spark, target_path), f"{target_path}.counts"
+    before = read_if_exists(spark, counts)
+    if before is not None:
+        held = before.agg(F.sum("rows")).first()[0]
+    else:  # a table that was filled in another way is counted once
+        held = 0 if target is None else target.count()
     if target is not None:
         aligned = insert_new(aligned, pickup_months_of(target, aligned), TRIP_KEY)
     pickup = F.col("pickup_datetime")
     rows = aligned.withColumns({"pickup_year": F.year(pickup), "pickup_month": F.month(pickup)})
+    months = staging.select(F.year(pickup).alias("y"), F.month(pickup).alias("m")).distinct().collect()
+    none = "__HIVE_DEFAULT_PARTITION__"
+    touched = [f"{target_path}/pickup_year={r.y if r.y is not None else none}/pickup_month={r.m if r.m is not None else none}" for r in months]
+    known = data_files(spark, touched)
     write_lake(rows, target_path, mode="append", partitions=("pickup_year", "pickup_month"))
-    return LoadReport(staging_rows, spark.read.parquet(target_path).count())
+    files = sorted(data_files(spark, touched) - known)
+    written = spark.read.parquet(*files).count() if files else 0
+    first = before is None
+    added = spark.createDataFrame([(held,), (written,)] if first else [(written,)], "rows bigint")
+    added.coalesce(1).write.mode("append").parquet(counts)
+    return LoadReport(staging_rows, held + written)
 
 
 def stream_load_rows(staging: DataFrame, target: DataFrame) -> DataFrame:

@@ -8,8 +8,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FractionalType, StringType
 
 from tripmill.functions.times import as_of_column
+from tripmill.operators.load import in_partitions_of, read_if_exists
+from tripmill.operators.sinks import write_lake
 
 
 @dataclass(frozen=True)
@@ -67,6 +70,14 @@ def _counted(df: DataFrame, checks: Sequence, failures: Sequence[Column]) -> Dat
     return wide.select(F.inline(F.array(*rows)))
 
 
+def _as_type(df: DataFrame, column: str, kind) -> Column:
+    """A value in another type; NULL if it does not fit, or if the cast would cut a fraction off."""
+    value = F.col(column).try_cast(kind)
+    if isinstance(df.schema[column].dataType, FractionalType) and not isinstance(kind, FractionalType | StringType):
+        return F.when(value.isNotNull() & (F.col(column) == value), value)
+    return value
+
+
 def _value_counts(df: DataFrame, columns: Sequence[str], kind) -> DataFrame:
     """Rows per column and non-NULL value, for several columns in one scan.
 
@@ -74,7 +85,7 @@ def _value_counts(df: DataFrame, columns: Sequence[str], kind) -> DataFrame:
     count together as a NULL value.
     """
     pairs = [
-        F.struct(F.lit(c).alias("column"), F.col(c).try_cast(kind).alias("value"), F.col(c).isNotNull().alias("given"))
+        F.struct(F.lit(c).alias("column"), _as_type(df, c, kind).alias("value"), F.col(c).isNotNull().alias("given"))
         for c in columns
     ]
     values = df.select(F.explode(F.array(*pairs)).alias("pair")).select("pair.*")
@@ -117,6 +128,82 @@ def run_checks(df: DataFrame, checks: Sequence) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+# --- checks kept by partition ---------------------------------------------------
+STATE = ("check", "column", "value", "n")
+
+
+def check_states(df: DataFrame, checks: Sequence, partitions: Sequence[str]) -> DataFrame:
+    """What each partition adds to the checks: ``partitions, check, column, value, n``.
+
+    Null and accepted-value checks add their failures, unique and relationship checks the
+    number of rows of each value, as text in the type it is compared in. A row without a check
+    stands for the partition itself and its rows, so a partition without rows is known too.
+    """
+    keys = list(partitions)
+
+    def named(check, value: Column) -> list[Column]:
+        return [F.lit(NAMES[type(check)]).alias("check"), F.lit(check.column).alias("column"), value.cast("string").alias("value")]
+
+    row_level = [c for c in checks if isinstance(c, NotNull | Accepted)]
+    sums = df.groupBy(*keys).agg(F.count("*").alias("rows"), *[F.count_if(c.failing()).alias(f"c{i}") for i, c in enumerate(row_level)])
+    none = F.lit(None).cast("string")
+    figures = [F.struct(none.alias("check"), none.alias("column"), none.alias("value"), F.col("rows").alias("n"))]
+    figures += [F.struct(*named(c, none), F.col(f"c{i}").alias("n")) for i, c in enumerate(row_level)]
+    states = sums.select(*keys, F.inline(F.array(*figures)))
+    by_value = []
+    for check in checks:
+        if isinstance(check, Unique):
+            by_value.append(F.struct(*named(check, F.col(check.column)), F.col(check.column).isNotNull().alias("given")))
+        elif isinstance(check, Relationship):
+            kind = check.parent.schema[check.parent_column].dataType
+            by_value.append(F.struct(*named(check, _as_type(df, check.column, kind)), F.col(check.column).isNotNull().alias("given")))
+    if by_value:
+        values = df.select(*keys, F.inline(F.array(*by_value))).where("given")
+        states = states.unionByName(values.groupBy(*keys, "check", "column", "value").agg(F.count("*").alias("n")))
+    return states
+
+
+def merged_checks(states: DataFrame, checks: Sequence) -> DataFrame:
+    """``run_checks`` over the union of all partitions, from their states alone.
+
+    A value that occurs in several partitions is counted over all of them, so uniqueness and
+    the parents as they are now are judged exactly.
+    """
+    summed = states.groupBy("check", "column", "value").agg(F.sum("n").alias("n"))
+    frames = []
+    for check in checks:
+        mine = summed.where((F.col("check") == NAMES[type(check)]) & (F.col("column") == check.column))
+        if isinstance(check, Unique):
+            failures = F.count_if(F.col("n") > 1)
+        else:
+            failures = F.coalesce(F.sum("n"), F.lit(0))
+        if isinstance(check, Relationship):
+            parent = check.parent.select(F.col(check.parent_column).cast("string").alias("value")).distinct()
+            mine = mine.join(parent, "value", "left_anti")
+        named = [F.lit(NAMES[type(check)]).alias("check"), F.lit(check.column).alias("column")]
+        frames.append(mine.agg(failures.cast("bigint").alias("failures")).select(*named, "failures"))
+    return reduce(DataFrame.unionByName, frames)
+
+
+def refresh_checks(df: DataFrame, checks: Sequence, path: str, partitions: Sequence[str], changed: DataFrame | None = None) -> DataFrame:
+    """Bring the states under ``path`` up to date and return the checks' failures.
+
+    Only the ``changed`` partitions of ``df``, a frame of their values, are read; without it
+    all are. A changed partition that holds no rows any more replaces what it added before.
+    """
+    keys = list(partitions)
+    if changed is None:
+        states = check_states(df, checks, keys)
+    else:
+        changed = changed.select(*keys).distinct()
+        states = check_states(in_partitions_of(changed, df, keys), checks, keys)
+        gone = changed.join(states.select(*keys).distinct(), keys, "left_anti")
+        none = [F.lit(None).cast("string").alias(c) for c in STATE[:3]]
+        states = states.unionByName(gone.select(*keys, *none, F.lit(0).cast("bigint").alias("n")))
+    write_lake(states, path, partitions=keys)
+    return merged_checks(read_if_exists(df.sparkSession, path), checks)
+
+
 def freshness(df: DataFrame, column: str = "inserted_at", as_of=None) -> DataFrame:
     """Newest load time and its age."""
     newest = df.agg(F.max(column).alias("newest"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tripmill.schema import PARTITION_COLUMNS, TRIP_TYPES, ddl
 from tripmill.session import conf_set
@@ -74,10 +75,36 @@ def register_partitions(spark: SparkSession, table: str) -> DataFrame:
     return spark.sql(f"SHOW PARTITIONS {table}")
 
 
+def insert_lake(df: DataFrame, table: str, mode: str = "overwrite_partitions", layout: str = "balanced", num_files: int | None = None) -> None:
+    """Write into a table made by ``create_lake_table``.
+
+    The write's own commit tells the catalog which partitions it touched, so nothing is listed
+    and ``register_partitions`` is left for folders that something else filled.
+    """
+    if mode not in ("overwrite_partitions", "append"):
+        raise ValueError(f"unknown mode: {mode}")
+    spark = df.sparkSession
+    columns = spark.table(table).columns
+    rows = lay_out(df.select(*columns), layout, PARTITION_COLUMNS, num_files)
+    with conf_set(
+        spark,
+        spark__sql__sources__partitionOverwriteMode="dynamic",
+        spark__sql__adaptive__coalescePartitions__minPartitionSize="1KB",
+    ):
+        rows.write.insertInto(table, overwrite=mode == "overwrite_partitions")
+
+
 def describe_table(spark: SparkSession, table: str) -> DataFrame:
     return spark.sql(f"DESCRIBE EXTENDED {table}")
 
 
+def table_summary(spark: SparkSession, table: str) -> DataFrame:
+    """One row: the table's kind and how many partitions the catalog knows."""
+    kind = describe_table(spark, table).where("col_name = 'Type'").select(F.col("data_type").alias("kind"))
+    known = spark.sql(f"SHOW PARTITIONS {table}").agg(F.count("*"))
+    return kind.select("kind", known.scalar().alias("n_partitions"))
+
+
 def publish(models: dict[str, DataFrame | Callable[[], DataFrame]], layer: str, as_table: bool = False) -> list[str]:
     """Publish models as ``{layer}_{name}``: views by default, tables when several readers share them."""
     names = []

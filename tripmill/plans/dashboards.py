@@ -101,14 +101,9 @@ def zone_list(df: DataFrame) -> DataFrame:
     return df.select("pickup_zone").where(F.col("pickup_zone").isNotNull()).distinct().orderBy("pickup_zone")
 
 
-def live_kpis(df: DataFrame, as_of=None, minutes: int = 120, zone: str | None = None) -> DataFrame:
-    """One row of KPIs over the trailing minutes.
-
-    Trips shrink to one row per zone first; the second step adds those up and picks the
-    busiest zone (of equals, the first by name).
-    """
-    recent = zone_choice(df.where(within_minutes(F.col("event_time"), as_of, minutes)), zone)
-    per_zone = recent.groupBy("pickup_zone").agg(
+def zone_aggregates() -> list[Column]:
+    """What trips of a zone add up to; ``merged_zones`` adds such figures up again."""
+    return [
         F.count("*").alias("n"),
         F.sum("delay_time_minutes").alias("delay"),
         F.count("delay_time_minutes").alias("delays"),
@@ -116,7 +111,50 @@ def live_kpis(df: DataFrame, as_of=None, minutes: int = 120, zone: str | None =
         F.sum("passenger_count").alias("passengers"),
         F.min("event_time").alias("first_event"),
         F.max("event_time").alias("last_event"),
-    )
+    ]
+
+
+def merged_zones(figures: DataFrame) -> DataFrame:
+    sums = [F.sum(c).alias(c) for c in ("n", "delay", "delays", "fare", "passengers")]
+    return figures.groupBy("pickup_zone").agg(*sums, F.min("first_event").alias("first_event"), F.max("last_event").alias("last_event"))
+
+
+def minute_figures(df: DataFrame) -> DataFrame:
+    """Figures per minute and zone, of which any window of whole minutes is made."""
+    return df.groupBy(minute_start(F.col("event_time")).alias("minute"), "pickup_zone").agg(*zone_aggregates())
+
+
+def live_kpis(df: DataFrame, as_of=None, minutes: int = 120, zone: str | None = None) -> DataFrame:
+    """One row of KPIs over the trailing minutes.
+
+    Trips shrink to one row per zone first; the second step adds those up and picks the
+    busiest zone (of equals, the first by name).
+    """
+    recent = zone_choice(df.where(within_minutes(F.col("event_time"), as_of, minutes)), zone)
+    return kpis_of_zones(recent.groupBy("pickup_zone").agg(*zone_aggregates()))
+
+
+def live_kpis_of_minutes(figures: DataFrame, df: DataFrame, as_of=None, minutes: int = 120, zone: str | None = None) -> DataFrame:
+    """``live_kpis`` from the figures of its minutes, kept by the stream (``run_minutes``).
+
+    Trips themselves are read for the one minute that the window cuts, if it cuts one.
+    """
+    start = as_of_column(as_of) - F.expr(f"INTERVAL {int(minutes)} MINUTES")
+    cut = minute_start(start)
+    whole = F.when(cut == start, cut).otherwise(cut + F.expr("INTERVAL 1 MINUTE"))
+    edge = df.where((F.col("event_time") >= start) & (F.col("event_time") < whole))
+    inside = zone_choice(figures.where(F.col("minute") >= whole), zone).drop("minute")
+    rest = zone_choice(edge, zone).groupBy("pickup_zone").agg(*zone_aggregates())
+    return kpis_of_zones(merged_zones(inside.unionByName(rest)))
+
+
+def cumulative_of_minutes(figures: DataFrame) -> DataFrame:
+    """``cumulative_trips`` from the figures of the minutes."""
+    per_minute = figures.groupBy("minute").agg(F.sum("n").alias("trip_count"))
+    return running_total(per_minute, "minute", "trip_count").orderBy("minute")
+
+
+def kpis_of_zones(per_zone: DataFrame) -> DataFrame:
     leader = F.when(F.col("pickup_zone").isNotNull(), F.struct((-F.col("n")).alias("n"), F.col("pickup_zone").alias("zone")))
     totals = per_zone.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("n"),

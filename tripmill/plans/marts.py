@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -70,37 +70,42 @@ def hourly(df: DataFrame) -> DataFrame:
     )
 
 
+def partition_days(staged: DataFrame) -> DataFrame:
+    """The partition columns of staged trips; reading them opens no data column."""
+    names = {"pickup_year": "part_year", "pickup_month": "part_month", "pickup_day": "part_day"}
+    return staged.select(*[F.col(c).alias(p) for c, p in names.items()])
+
+
 def latest_day(tz: DataFrame) -> DataFrame:
     return tz.agg(F.max("pickup_date").alias("pickup_date"))
 
 
-def newest_day(tz: DataFrame) -> dt.date | None:
-    """``latest_day`` at this moment, found from the newest partitions down.
+def latest_day_of(tz: DataFrame, days: DataFrame) -> Column:
+    """``latest_day`` as a subquery that reads the newest partition day alone.
 
-    Only partition values are listed; then the newest day is looked into, and the one before
-    only if it holds no trip of ``tz``. Trips without partition columns are all looked at.
+    ``days`` holds the partition columns of the trips' source and nothing else, so its newest
+    day comes from partition values. Only if that day has no trip of ``tz`` are all others
+    looked at: the bound on their partitions is itself a subquery, which else leaves none.
     """
-    if len(parts_of(tz)) < len(PARTS):
-        return latest_day(tz).first()[0]
-    days = tz.select(part_date().alias("day")).where(F.col("day").isNotNull()).distinct()
-    bound = days.agg(F.max("day")).first()[0]
-    while bound is not None:
-        found = latest_day(on_day(tz, F.lit(bound))).first()[0]
-        if found is not None:
-            return found
-        bound = days.where(F.col("day") < F.lit(bound)).agg(F.max("day")).first()[0]
-    return None
-
-
-def baseline_hourly(tz: DataFrame, baseline_date: dt.date | str | None = None) -> DataFrame:
+    newest = days.select(part_date().alias("day")).agg(F.max("day"))
+    found = latest_day(on_day(tz, newest.scalar()))
+    bound = F.when(found.scalar().isNull(), F.lit("9999-12-31")).otherwise(F.lit("0001-01-01")).cast("date")
+    others = latest_day(tz.where(F.coalesce(part_date(), F.lit("0001-01-02").cast("date")) <= bound))
+    return F.coalesce(found.scalar(), others.scalar())
+
+
+def baseline_hourly(tz: DataFrame, baseline_date: dt.date | str | None = None, days: DataFrame | None = None) -> DataFrame:
     """The hourly mart of one day: the given one, else the latest in the data.
 
     A given day prunes partitions and reaches the scan as a range on the pickup time. The
-    latest day is a subquery, found anew at each read, and prunes partitions when it is known;
-    a caller who can fix the day first passes ``newest_day(tz)``, which does not read all days.
+    latest day is a subquery, found anew at each read, and prunes partitions when it is known.
+    With ``days``, the source's partition columns (``partition_days``), that one day's files
+    are all that is read to find it, too.
     """
     if baseline_date is not None:
         day = F.lit(str(baseline_date)).cast("date")
+    elif days is not None and len(parts_of(tz)) == len(PARTS):
+        day = latest_day_of(tz, days)
     else:
         day = latest_day(tz).scalar()
     return hourly(on_day(tz, day))

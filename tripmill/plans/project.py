@@ -26,9 +26,9 @@ def intermediate_models(
     }
 
 
-def mart_models(inter: dict[str, DataFrame], baseline_date=None) -> dict[str, DataFrame]:
+def mart_models(inter: dict[str, DataFrame], baseline_date=None, days: DataFrame | None = None) -> dict[str, DataFrame]:
     trips, stream = inter["trip_zone"], inter["streaming_enriched"]
-    stream_hours, baseline_hours = marts.hourly(stream), marts.baseline_hourly(trips, baseline_date)
+    stream_hours, baseline_hours = marts.hourly(stream), marts.baseline_hourly(trips, baseline_date, days)
     return {
         "avg_fare_by_zone": marts.avg_fare_by_zone(trips),
         "avg_passengers_by_cab": marts.avg_passengers_by_cab(trips),
@@ -61,4 +61,5 @@ def build(
     names = publish(stg, "stg") + publish(inter, "int", as_table=save_intermediate)
     if save_intermediate:
         inter = {name: spark.table(f"int_{name}") for name in inter}
-    return names + publish(mart_models(inter, baseline_date), "mart")
+    days = marts.partition_days(stg["trips"])
+    return names + publish(mart_models(inter, baseline_date, days), "mart")

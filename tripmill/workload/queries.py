@@ -20,19 +20,23 @@ from tripmill.functions.times import (
 )
 from tripmill.jobs import upload_events
 from tripmill.operators import audit, ingest, load, quality, reconcile
-from tripmill.operators.sinks import create_lake_table, describe_table, register_partitions, write_lake
+from tripmill.operators.sinks import create_lake_table, describe_table, insert_lake, register_partitions, table_summary, write_lake
 from tripmill.plans import cost, dashboards, marts, models, project, staging
 from tripmill.session import configure, work_folder
 from tripmill.sources.lake import lake_slice
-from tripmill.sources.landing import month_path, new_files, parse_landing_keys
+from tripmill.sources.landing import check_month_arguments, month_path, new_files, parse_landing_keys
 from tripmill.streaming import cleanse as cleansing
 from tripmill.streaming import hourly
 from tripmill.streaming import load as streams
+from tripmill.streaming.commits import CommittedSink
+from tripmill.streaming.files import whole_files
 from tripmill.workload import tables as t
 from tripmill.workload.tables import AS_OF
 
 REGISTRY = {}
 MONTH_DAYS = 30
+LANDED_FILES = 4
+MID_MINUTE = "2024-01-31 00:00:42"
 NOON_AS_OF = "2024-01-31 18:30:00"
 
 
@@ -149,6 +153,10 @@ def busiest_known_zone(spark, folder):
     return marts.busiest_zone(enriched_orders(spark, folder), drop_unmatched=True)
 
 
+def trip_days(spark, folder):
+    return marts.partition_days(t.staged_trips(spark, folder))
+
+
 def hours(df):
     return rounded(df, fare_total=2, avg_passenger_count=6)
 
@@ -161,7 +169,7 @@ def streaming_hourly(spark, folder):
 @query
 def baseline_hourly(spark, folder):
     tz = enriched_trips(spark, folder)
-    return hours(marts.baseline_hourly(tz, marts.newest_day(tz))).orderBy("hour")
+    return hours(marts.baseline_hourly(tz, days=trip_days(spark, folder))).orderBy("hour")
 
 
 @query
@@ -172,7 +180,7 @@ def baseline_hourly_param(spark, folder):
 def both_hourly(spark, folder):
     tz = enriched_trips(spark, folder)
     return marts.stream_vs_baseline(
-        marts.hourly(enriched_stream(spark, folder)), marts.baseline_hourly(tz, marts.newest_day(tz))
+        marts.hourly(enriched_stream(spark, folder)), marts.baseline_hourly(tz, days=trip_days(spark, folder))
     )
 
 
@@ -282,6 +290,26 @@ def live_kpis_zone(spark, folder):
     return dashboards.live_kpis(live(spark, folder), AS_OF, minutes=MONTH_DAYS * 1440, zone="NATION_3")
 
 
+def kept_minutes(spark, folder):
+    """Figures per minute and zone as the stream keeps them."""
+    sink = work_folder(spark, "minutes")
+    stream = staging.stg_stream(t.as_stream_trips(t.events_stream(spark, folder)))
+    rows = models.streaming_enriched(stream, t.zones(spark, folder), days_back=None)
+    hourly.run_minutes(hourly.stream_minutes(rows), sink, work_folder(spark, "checkpoint")).awaitTermination()
+    return hourly.read_minutes(spark, sink)
+
+
+@query
+def live_kpis_of_minutes(spark, folder):
+    """A window that begins inside a minute."""
+    return dashboards.live_kpis_of_minutes(kept_minutes(spark, folder), live(spark, folder), MID_MINUTE, minutes=20 * 1440)
+
+
+@query
+def cumulative_of_minutes(spark, folder):
+    return dashboards.cumulative_of_minutes(kept_minutes(spark, folder))
+
+
 @query
 def cumulative_per_minute(spark, folder):
     return dashboards.cumulative_trips(live(spark, folder))
@@ -418,6 +446,22 @@ def repaired_partitions(spark, folder):
     return spark.createDataFrame([(p, kinds) for p in known], "partition string, kind string")
 
 
+@query
+def inserted_partitions(spark, folder):
+    """A lake filled through its table, the first half of the month twice; nothing is repaired."""
+    lake, table = work_folder(spark, "lake"), f"lake_{uuid.uuid4().hex}"
+    create_lake_table(spark, table, lake)
+    try:
+        rows = monthly(spark, folder)
+        for part in (rows.where(F.col("day") <= 15), rows):
+            insert_lake(part, table)
+        summary = table_summary(spark, table).first()
+        found = spark.read.parquet(lake).groupBy("cab_type", "day").agg(F.count("*").alias("trips"))
+    finally:
+        spark.sql(f"DROP TABLE {table}")
+    return found.select("*", F.lit(summary["kind"]).alias("kind"), F.lit(summary["n_partitions"]).cast("bigint").alias("n_partitions"))
+
+
 @query
 def lake_days(spark, folder):
     """All months' rows written as a lake; its files per partition, read back."""
@@ -502,6 +546,37 @@ def load_report(spark, folder):
     return spark.createDataFrame(reports, "step int, staging_rows bigint, final_row_count bigint, refused boolean")
 
 
+REFUSALS = {
+    "month 13": lambda spark, raw: check_month_arguments("yellow", 2024, 13),
+    "unknown cab type": lambda spark, raw: check_month_arguments("boat", 2024, 1),
+    "no pickup column": lambda spark, raw: ingest.standardize(raw.drop("tpep_pickup_datetime"), "yellow"),
+    "columns alike": lambda spark, raw: ingest.lower_columns(raw.select("*", F.lit(1).alias("TRIP_distance"))),
+    "empty staging": lambda spark, raw: refused_staging(spark, raw.limit(0)),
+    "no refusal": lambda spark, raw: ingest.standardize(raw, "yellow"),
+}
+
+
+def refused_staging(spark, raw):
+    path = work_folder(spark, "staging")
+    ingest.standardize(raw, "yellow").write.parquet(path)
+    return load.staged_load(spark, path, work_folder(spark, "final"), "yellow")
+
+
+@query
+def refused_input(spark, folder):
+    """Inputs that a load refuses, by the kind of error, beside the rows that each was given."""
+    raw = raw_month(spark, folder, "yellow")
+    refused = []
+    for name, attempt in REFUSALS.items():
+        try:
+            attempt(spark, raw)
+            refused.append((name, None))
+        except (ValueError, load.EmptyStagingError) as error:
+            refused.append((name, type(error).__name__))
+    cases = spark.createDataFrame(refused, "input string, error string")
+    return cases.select("*", raw.agg(F.count("*")).scalar().alias("rows"))
+
+
 @query
 def filename_parse(spark, folder):
     """Object keys named after orders, with wrong prefixes, cab types, months and endings."""
@@ -602,6 +677,18 @@ def quality_busiest(spark, folder):
     return quality.run_checks(marts.busiest_zone(enriched_orders(spark, folder)), quality.busiest_checks())
 
 
+@query
+def quality_refreshed(spark, folder):
+    """Checks kept by day: the month without its 15th, then that day alone; failures as of then."""
+    path, zones = work_folder(spark, "checks"), t.zones(spark, folder)
+    trips = t.staged_trips(spark, folder)
+    days = ["pickup_year", "pickup_month", "pickup_day"]
+    late = F.col("pickup_day") == 15
+    checks = [*quality.trip_checks(zones), quality.Unique("pickup_at"), quality.NotNull("passenger_count")]
+    quality.refresh_checks(trips.where(~late), checks, path, days)
+    return quality.refresh_checks(trips, checks, path, days, trips.where(late).select(*days))
+
+
 @query
 def freshness(spark, folder):
     return quality.freshness(t.stream_trips(spark, folder), as_of=AS_OF)
@@ -658,14 +745,6 @@ def credit_cost(spark, folder):
     )
 
 
-@query
-def credit_cost_inline(spark, folder):
-    """The same for a few ids given as a list."""
-    chosen = t.chosen_queries(spark, folder).orderBy("query_id").limit(7).collect()
-    ids = cost.inline_ids(spark, [r["query_id"] for r in chosen], "bigint")
-    return cost.credit_cost(t.query_history(spark, folder), t.query_attribution(spark, folder), ids)
-
-
 def usage_inputs(spark, folder):
     history, ids = t.query_history(spark, folder), t.chosen_queries(spark, folder)
     selected = cost.selected_queries(history, ids)
@@ -797,12 +876,13 @@ def run_cleanse(spark, folder):
 
 @query
 def stream_cleanse_load(spark, folder):
-    return spark.read.parquet(run_cleanse(spark, folder)[0])
+    return CommittedSink(spark, run_cleanse(spark, folder)[0]).read()
 
 
 @query
 def stream_dead_letters(spark, folder):
-    return spark.read.parquet(run_cleanse(spark, folder)[1]).select("recordId", "result", "error")
+    sink, bad = run_cleanse(spark, folder)
+    return CommittedSink(spark, sink).read(bad).select("recordId", "result", "error")
 
 
 def delivered_twice(spark, folder):
@@ -812,10 +892,10 @@ def delivered_twice(spark, folder):
 
 
 def landed_twice(spark, folder) -> str:
-    """The stream trips as two landed files that share five days."""
+    """The stream trips landed in two goes of ``LANDED_FILES`` files that share five days."""
     landing = work_folder(spark, "landing")
     for part in load_sides(t.stream_trips(spark, folder)):
-        part.coalesce(1).write.mode("append").parquet(landing)
+        part.repartition(LANDED_FILES).write.mode("append").parquet(landing)
     return landing
 
 
@@ -823,9 +903,9 @@ def landed_twice(spark, folder) -> str:
 def stream_dedup(spark, folder):
     """Two micro-batches, the second of which brings rows that the sink holds."""
     sink, landing = work_folder(spark, "trips"), landed_twice(spark, folder)
-    files = streams.file_stream(spark, landing, t.stream_trips(spark, folder).schema, max_files=1)
+    files = streams.file_stream(spark, landing, t.stream_trips(spark, folder).schema, max_files=LANDED_FILES)
     streams.run_keyed_load(files.drop("source_file"), sink, work_folder(spark, "checkpoint")).awaitTermination()
-    return spark.read.parquet(sink).select("trip_id", "pickup_datetime", "fare_amount", "year", "month", "day", "hour")
+    return CommittedSink(spark, sink).read().select("trip_id", "pickup_datetime", "fare_amount", "year", "month", "day", "hour")
 
 
 @query
@@ -842,7 +922,7 @@ def stream_hourly_window(spark, folder):
     sink = work_folder(spark, "hours")
     stream = staging.stg_stream(t.as_stream_trips(t.events_stream(spark, folder)))
     hourly.run_hourly(hourly.stream_hourly(stream), sink, work_folder(spark, "checkpoint")).awaitTermination()
-    return hours(hourly.current_hours(spark.read.parquet(sink)))
+    return hours(hourly.read_hours(spark, sink))
 
 
 @query
@@ -859,22 +939,53 @@ def stream_static_join(spark, folder):
 
 @query
 def stream_file_load(spark, folder):
-    """Two landed files with rows in common, one per micro-batch; the trips with what the ledger says."""
+    """Two goes of landed files with rows in common, one per micro-batch; the trips with what the ledger says."""
     landing, (sink, ledger) = landed_twice(spark, folder), (work_folder(spark, n) for n in ("trips", "ledger"))
-    files = streams.file_stream(spark, landing, t.stream_trips(spark, folder).schema, max_files=1)
+    files = streams.file_stream(spark, landing, t.stream_trips(spark, folder).schema, max_files=LANDED_FILES)
     streams.run_file_load(files, sink, ledger, work_folder(spark, "checkpoint")).awaitTermination()
-    entries = load.read_ledger(spark, ledger).agg(F.count("*").alias("files_in_ledger")).first()[0]
-    return spark.read.parquet(sink).select("trip_id", "pickup_datetime", "fare_amount").withColumn(
+    trips = CommittedSink(spark, sink)
+    entries = trips.read(ledger).agg(F.count("*").alias("files_in_ledger")).first()[0]
+    return trips.read().select("trip_id", "pickup_datetime", "fare_amount").withColumn(
         "files_in_ledger", F.lit(entries).cast("bigint")
     )
 
 
+def land_broken(spark, landing: str) -> None:
+    """A landed file that ends too early."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{landing}/part-broken.parquet")
+    out = place.getFileSystem(spark._jsc.hadoopConfiguration()).create(place)
+    out.write(bytearray(b"PAR1 and no footer"))
+    out.close()
+
+
+@query
+def stream_tolerant_load(spark, folder):
+    """Landed files with a broken one among them: trips, ledger and failures, each with its side."""
+    landing = landed_twice(spark, folder)
+    land_broken(spark, landing)
+    sink, ledger, failures = (work_folder(spark, n) for n in ("trips", "ledger", "failures"))
+    schema = t.stream_trips(spark, folder).schema
+    files = whole_files(spark, landing, max_files=LANDED_FILES)
+    streams.run_tolerant_file_load(files, schema, sink, ledger, failures, work_folder(spark, "checkpoint")).awaitTermination()
+    trips = CommittedSink(spark, sink)
+    none = F.lit(None).cast("double")
+    parts = [
+        trips.read().select(F.lit("trip").alias("side"), "trip_id", "fare_amount"),
+        trips.read(ledger).select(F.lit("loaded file").alias("side"), F.lit(None).cast("string").alias("trip_id"), none.alias("fare_amount")),
+        trips.read(failures).select(
+            F.lit("failed file").alias("side"), F.regexp_extract("key", "[^/]+$", 0).alias("trip_id"), none.alias("fare_amount")
+        ).distinct(),
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query
 def stream_late_rows(spark, folder):
     """Rows more than a day older than what came before, beside the others."""
-    landing, (sink, late, marks) = landed_twice(spark, folder), (work_folder(spark, n) for n in ("trips", "late", "marks"))
+    landing, (sink, late) = landed_twice(spark, folder), (work_folder(spark, n) for n in ("trips", "late"))
     schema = t.stream_trips(spark, folder).schema
-    files = streams.file_stream(spark, landing, schema, max_files=1).drop("source_file")
-    streams.run_late_split(files, sink, late, marks, work_folder(spark, "checkpoint"), delay="1 day").awaitTermination()
-    sides = [spark.read.parquet(path).select("trip_id", "event_time", F.lit(side).alias("side")) for path, side in ((sink, "on time"), (late, "late"))]
+    files = streams.file_stream(spark, landing, schema, max_files=LANDED_FILES).drop("source_file")
+    streams.run_late_split(files, sink, late, work_folder(spark, "checkpoint"), delay="1 day").awaitTermination()
+    trips = CommittedSink(spark, sink)
+    sides = [df.select("trip_id", "event_time", F.lit(side).alias("side")) for df, side in ((trips.read(), "on time"), (trips.read(late), "late"))]
     return sides[0].unionByName(sides[1])
