@@ -217,8 +217,7 @@ def test_simulated_today_keeps_the_clock(spark, folder):
     )
 
 
-@pytest.mark.parametrize("as_of", ["2024-01-20 12:00:00", "2024-01-20 12:00:59", "2024-01-20 12:00:00.000001"])
-@pytest.mark.parametrize("zone", [None, "NATION_3"])
+@pytest.mark.parametrize(("as_of", "zone"), [("2024-01-20 12:00:00", None), ("2024-01-20 12:00:59", "NATION_3"), ("2024-01-20 12:00:00.000001", None)])
 def test_kpis_from_minutes(spark, as_of, zone):
     small = "/root/testdata/sf0.001"
     trips = q.live(spark, small)

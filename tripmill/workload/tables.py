@@ -16,15 +16,17 @@ from tripmill.sources.records import encode
 AS_OF = "2024-01-31 00:00:00"
 
 
-# Schemas by path: a table's footers are looked at once, not by every query.
-SCHEMAS: dict[str, StructType] = {}
+# Schemas by path and time of change: a table's footers are looked at once, not by every query.
+SCHEMAS: dict[tuple[str, int], StructType] = {}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     path = f"{folder}/{name}.parquet"
-    if path not in SCHEMAS:
-        SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(SCHEMAS[path]).parquet(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    changed = place.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(place).getModificationTime()
+    if (path, changed) not in SCHEMAS:
+        SCHEMAS[path, changed] = spark.read.parquet(path).schema
+    return spark.read.schema(SCHEMAS[path, changed]).parquet(path)
 
 
 def events_stream(spark: SparkSession, folder: str) -> DataFrame:
