@@ -17,6 +17,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def named(column: str, of: str = "") -> Column:
+    """A column by its own name, dots and all, or such a member of a struct."""
+    return F.col(f"{of}.`{column}`" if of else f"`{column}`")
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z alone; other letters stay as they are."""
     return F.translate(text, ASCII_UPPER, ASCII_UPPER.lower())

@@ -20,7 +20,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import ascii_lower, written
+from tripmill.llm.common import ascii_lower, named, written
 
 WINDOW = 10
 BITMAP_BITS = 1 << 24  # 262,144 rows of 64 bits, whatever the number of keys
@@ -251,5 +251,5 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
     their names. An empty benchmark drops nothing; no rows give no rows.
     """
     hit = written(matches(docs, benchmark, window).select("doc_id", "tie"), "contaminated")
-    own = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("whole"), F.col("doc_id").alias("id"), text_hash(docs["text"]).alias("hash"))
+    own = docs.select(F.struct(*map(named, docs.columns)).alias("whole"), F.col("doc_id").alias("id"), text_hash(docs["text"]).alias("hash"))
     return own.join(hit, own["id"].eqNullSafe(hit["doc_id"]) & (own["hash"] == hit["tie"]), "left_anti").select("whole.*")

@@ -16,7 +16,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import written
+from tripmill.llm.common import named, written
 
 # Spellings that count as the same word, in canonical (lower case) text.
 SPELLINGS = [
@@ -175,7 +175,7 @@ def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     digests = written(known_digests(docs.sparkSession, known), "license-digests")
     added = ("whole_license", "line_licenses", "n_license_lines")
     kept = [c for c in docs.columns if c not in added]
-    own = docs.select(F.struct(*[docs[c] for c in kept]).alias("row"), docs["doc_id"].alias("id"), F.md5(F.coalesce("text", F.lit(""))).alias("hash"))
+    own = docs.select(F.struct(*map(named, kept)).alias("row"), docs["doc_id"].alias("id"), F.md5(F.coalesce("text", F.lit(""))).alias("hash"))
     made = with_canonical(docs.select(F.col("doc_id").alias("id"), F.md5(F.coalesce("text", F.lit(""))).alias("hash"), "text"))
     # A document as one row for its whole text, at place 0, and one for each line.
     lines = F.filter("canonical_lines", lambda line: line != "")

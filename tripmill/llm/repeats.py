@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import texts
+from tripmill.llm.common import named, texts
 from tripmill.llm.suffix_array import equal_prefix_groups
 
 LENGTH = 100
@@ -340,7 +340,7 @@ def _cover(starts: list, stops: list, length: int) -> tuple[np.ndarray, np.ndarr
 def _cut_rows(docs: DataFrame, length: int, as_text: bool) -> DataFrame:
     """``row, n_bytes, n_removed, n_spans, kept`` of every row of ``docs``; ``row`` holds whether
     the text was null (``none``) and the other columns as they came (``own``)."""
-    columns = [docs[c] for c in docs.columns if c != "text"]
+    columns = [named(c) for c in docs.columns if c != "text"]
     raw = F.coalesce(docs["text"].cast("binary"), F.lit(b""))
     keyed = docs.select(
         F.struct(docs["text"].isNull().alias("none"), F.struct(*columns).alias("own")).alias("row"),
@@ -421,7 +421,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     In place of ``text`` comes ``kept``, the remaining bytes, last of all columns.
     """
     done = _cut_rows(docs, length, as_text=False)
-    return done.select(*[F.col(f"row.own.`{c}`") for c in docs.columns if c != "text" and c not in ADDED], *ADDED)
+    return done.select(*[named(c, "row.own") for c in docs.columns if c != "text" and c not in ADDED], *ADDED)
 
 
 def report(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -444,4 +444,4 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     new = {"text": text}
     if "n_chars" in docs.columns:
         new["n_chars"] = F.length(text).cast(docs.schema["n_chars"].dataType)
-    return done.select(*[new[c].alias(c) if c in new else F.col(f"row.own.`{c}`") for c in docs.columns])
+    return done.select(*[new[c].alias(c) if c in new else named(c, "row.own") for c in docs.columns])

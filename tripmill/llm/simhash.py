@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import texts, written
+from tripmill.llm.common import named, texts, written
 from tripmill.llm.components import components
 
 SHINGLE = 3
@@ -230,7 +230,7 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> D
     stay = found.groupBy("family").agg(F.min(row).alias("row")).select("row.*")
     own = F.col("doc_id").cast("long")
     keyed = docs.select(
-        F.struct(*[docs[c] for c in docs.columns]).alias("whole"),
+        F.struct(*map(named, docs.columns)).alias("whole"),
         own.isNull().alias("none"),
         F.coalesce(own, F.lit(0)).alias("id"),
         text_hash(F.col("text")).alias("tie"),
