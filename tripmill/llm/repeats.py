@@ -36,6 +36,7 @@ _STRETCH = 1 << 19  # windows handled at once, under 2**20
 _TOGETHER = 2_000_000  # minimizers or blocks' bytes that a task looks at together
 _SUFFIXES = 200_000  # bytes of a suffix array, or up to four times that for one minimizer
 _STRINGS = 16_000_000  # bytes of strings, cut from blocks, that a task looks at together
+CROWD_BITS = 1 << 25  # at most 524,288 rows of 64 bits, whatever the number of crowded minimizers
 _DIGEST = 16  # bytes that stand for a longer string
 _ODD = 0x9E3779B97F4A7C15
 _LOW = np.uint64((1 << 20) - 1)
@@ -355,14 +356,18 @@ def _cut_rows(docs: DataFrame, length: int, as_text: bool) -> DataFrame:
         .repartition("part")
         .sortWithinPartitions("part")
     )
-    # Both read one exchange. Crowded minimizers are few beside the others, as each takes
-    # hundreds of kilobytes of the corpus; Spark broadcasts them where their bytes allow it.
-    crowded = minimizers.mapInArrow(lambda b: _crowded_rows(b, length), "minimizer long").repartition("minimizer")
+    # Both read one exchange. Crowded minimizers are marked in a bitmap of fixed size, which is all
+    # that is broadcast. One that shares its bit with a crowded one counts as crowded everywhere.
+    bit = F.pmod("minimizer", F.lit(CROWD_BITS))
+    crowded = minimizers.mapInArrow(lambda b: _crowded_rows(b, length), "minimizer long").select(bit.alias("bit"))
+    crowded = crowded.groupBy(F.shiftright("bit", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, int(bit & 63)))").alias("bits"))
+    marked = F.when(F.expr("shiftright(bits, int(bit & 63)) & 1 = 1"), F.col("minimizer"))
     repeated = (
         minimizers.mapInArrow(_repeated_rows, "doc long, minimizer long")
-        .join(crowded.withColumn("crowded", F.col("minimizer")), "minimizer", "left")
+        .withColumn("bit", bit)
+        .join(F.broadcast(crowded), F.shiftright("bit", 6) == F.col("word"), "left")
         .groupBy("doc")
-        .agg(F.collect_set("minimizer").alias("repeated"), F.collect_set("crowded").alias("crowded"))
+        .agg(F.collect_set("minimizer").alias("repeated"), F.collect_set(marked).alias("crowded"))
     )
     # One exchange of the texts serves both joins; so both must ask for the same columns of it.
     copies = Window.partitionBy("doc", "id", "tie").orderBy("doc")
