@@ -455,11 +455,10 @@ def test_fresh_checkpoint_over_an_old_hourly_sink(spark, folder):
     assert [run(checkpoint), run(checkpoint), run(work_folder(spark, "checkpoint"))] == [once, 2 * once, 3 * once]
 
 
-@pytest.mark.parametrize("compact_every", [1, 2])
-def test_hours_from_snapshots(spark, folder, compact_every):
+def test_hours_from_snapshots(spark, folder, compact_every=2):
     source, sink, checkpoint = (work_folder(spark, n) for n in ("in", "hours", "checkpoint"))
     parts = t.stream_trips(spark, folder)
-    days = [f"2024-01-{d:02d} 00:00:00" for d in (1, 6, 11, 16, 21, 26)] + ["2024-03-01 00:00:00"]
+    days = [f"2024-01-{d:02d} 00:00:00" for d in (1, 8, 15, 22)] + ["2024-03-01 00:00:00"]
     time = F.col("pickup_datetime")
     for k, (low, high) in enumerate(zip(days, days[1:], strict=False)):
         low, high = (F.lit(x).cast("timestamp_ntz") for x in (low, high))
@@ -470,7 +469,7 @@ def test_hours_from_snapshots(spark, folder, compact_every):
         whole = marts.hourly(staging.stg_stream(spark.read.parquet(source))).selectExpr(*figures)
         assert rows(hourly.read_hours(spark, sink).selectExpr(*figures)) == rows(whole), k
     log = commits.Log(spark, sink)
-    assert log.versions() and len(commits.folders(spark, f"{sink}/deltas", 2)) <= 6
+    assert len(log.versions()) == 2 and len(commits.folders(spark, f"{sink}/deltas", 2)) == 2
 
 
 def test_fill_defaults(spark):
