@@ -8,7 +8,9 @@ import xxhash
 from pyspark.sql import functions as F
 
 from tests.llm.cases import SCHEMA, corpus, documents, words
+from tripmill.llm import components as components_module
 from tripmill.llm import simhash
+from tripmill.llm.common import written
 from tripmill.llm.components import components
 
 ASCII = {c: c + 32 for c in range(65, 91)}
@@ -136,6 +138,18 @@ def test_components_of_a_long_path(spark):
     assert got == dict.fromkeys(range(41), 0) | {100: 100, 101: 100}
 
 
+def test_components_take_no_round_over_stars(spark, monkeypatch):
+    names = []
+    monkeypatch.setattr(components_module, "written", lambda df, name: names.append(name) or written(df, name))
+    stars = spark.createDataFrame([(k, 0) for k in range(1, 6)] + [(11, 10), (10, 11), (20, 20)], "a long, b long")
+    assert dict(components(stars).collect()) == dict.fromkeys(range(6), 0) | {10: 10, 11: 10, 20: 20}
+    assert len(names) == 1
+    for edges in ([(3, 2), (3, 1)], [(3, 2), (2, 1)]):
+        got = dict(components(spark.createDataFrame(edges, "a long, b long")).collect())
+        assert got == {1: 1, 2: 1, 3: 1}
+    assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
 def test_null_ids_alone(spark):
     rows = [(None, "one two three four", None, None, None)] * 2 + [(None, "something else entirely here", None, None, None)]
     assert {r["component_id"] for r in simhash.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()} == {None}

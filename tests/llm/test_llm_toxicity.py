@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -26,6 +27,29 @@ def test_windows_overlap_and_cover_every_word():
             assert before[STRIDE:].tolist() == after[: WINDOW - STRIDE].tolist()
 
 
+def test_many_words_at_a_time():
+    names = [f"w{k}x{k % 977}" for k in range(2 * toxicity._WORDS + 5)]
+    words = Vocabulary([names, names[:7]])
+    ends = np.append(words.starts[1:], len(words.grams))
+    for k in (0, 1, toxicity._WORDS - 1, toxicity._WORDS, len(names) - 1):
+        assert words.grams[words.starts[k] : ends[k]].tolist() == Vocabulary([[names[k]]]).grams.tolist()
+    net = GatedNetwork.fresh()
+    plain = [net.p["gram"][words.grams[a:b]].mean(0) for a, b in zip(words.starts, ends, strict=True)]
+    assert np.allclose(net.inputs(words)[:, toxicity.WORD_WIDTH :], plain, atol=1e-5)
+
+
+def test_many_words_take_little_memory():
+    documents_ = [[f"word{40 * k + n:x}" for n in range(40)] for k in range(1000)]
+    labels, net = np.arange(1000) % 2, GatedNetwork.fresh()
+    tracemalloc.start()
+    words = Vocabulary(documents_)
+    toxicity._seed_odds(net, words, labels)
+    net.worst(words)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 42_000_000
+
+
 def test_gradients_equal_differences():
     draw, net = np.random.default_rng(0), GatedNetwork.fresh()
     net.p = {k: v.astype(float) for k, v in net.p.items()}

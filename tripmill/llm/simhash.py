@@ -203,7 +203,11 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     A null text is empty; texts without words have fingerprint 0 and are linked like others.
     Repeated rows are returned as often as they occur. No rows give no rows.
     """
-    prints = written(fingerprints(docs, shingle), "fingerprints")
+    return _in_families(written(fingerprints(docs, shingle), "fingerprints"), radius, shard_rows)
+
+
+def _in_families(prints: DataFrame, radius: int, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """What ``near_duplicates`` returns, of ``fingerprints`` that are written."""
     least = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least"))
     family = families(prints, radius, shard_rows)
     linked = written(least.join(family, "fingerprint"), "families")
@@ -225,7 +229,8 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> D
     groups of their own and all stay. Columns stay as they are, whatever their names. No rows
     give no rows.
     """
-    found = near_duplicates(docs.select("doc_id", "text"), shingle, radius)
+    prints = written(fingerprints(docs.select("doc_id", "text"), shingle), "fingerprints")
+    found = _in_families(prints, radius)
     row = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), "tie")
     stay = found.groupBy("family").agg(F.min(row).alias("row")).select("row.*")
     own = F.col("doc_id").cast("long")
@@ -236,7 +241,7 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> D
         text_hash(F.col("text")).alias("tie"),
     )
     kept = keyed.join(stay, ["none", "id", "tie"], "left_semi")
-    repeated = found.groupBy("doc_id", "tie").agg(F.count("*").alias("n")).where("n > 1")
+    repeated = prints.groupBy("doc_id", "tie").agg(F.count("*").alias("n")).where("n > 1")
     if not repeated.isEmpty():
         kept = kept.dropDuplicates(["none", "id", "tie"])
     return kept.select("whole.*")

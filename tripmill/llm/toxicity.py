@@ -35,6 +35,7 @@ MAX_CHARS = 4000
 
 _WORD = re.compile(r"[^\W_]+")
 _AT_ONCE = 4096  # windows
+_WORDS = 4096
 
 
 def words_of(text: bytes) -> list[str]:
@@ -46,13 +47,21 @@ class Vocabulary:
 
     def __init__(self, documents: list[list[str]]):
         seen: dict[str, int] = {}
-        codes = [seen.setdefault(w, len(seen)) for words in documents for w in words]
-        self.codes = np.asarray(codes, np.int64)
+        self.codes = np.fromiter((seen.setdefault(w, len(seen)) for words in documents for w in words), np.int64)
         self.ends = np.cumsum([len(words) for words in documents], dtype=np.int64)
         raw = [w.encode("utf-8", "replace") for w in seen]
         self.size = len(raw)
         self.word = np.fromiter((zlib.crc32(w) % WORD_BUCKETS for w in raw), np.int64, len(raw))
-        self.grams, self.starts = self._grams(raw)
+        parts = [self._grams(raw[a : a + _WORDS]) for a in range(0, len(raw), _WORDS)] or [self._grams([])]
+        begin = np.cumsum([0, *[len(grams) for grams, _ in parts[:-1]]])
+        self.grams = np.concatenate([grams for grams, _ in parts])
+        self.starts = np.concatenate([starts + a for (_, starts), a in zip(parts, begin, strict=True)])
+
+    def spans(self) -> Iterator[tuple[slice, slice]]:
+        """Some words at a time, as their n-grams are many: their places, and those of their n-grams."""
+        for a in range(0, self.size, _WORDS):
+            b = min(self.size, a + _WORDS)
+            yield slice(a, b), slice(self.starts[a], self.starts[b] if b < self.size else len(self.grams))
 
     @staticmethod
     def _grams(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -75,8 +84,8 @@ class Vocabulary:
             buckets.append(((mixed ^ (mixed >> np.uint32(16))) % np.uint32(GRAM_BUCKETS))[inside])
             owners.append(owner[:count][inside])
         if not buckets:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        buckets, owners = np.concatenate(buckets).astype(np.int64), np.concatenate(owners)
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
+        buckets, owners = np.concatenate(buckets).astype(np.int32), np.concatenate(owners)
         order = np.argsort(owners, kind="stable")
         return buckets[order], np.searchsorted(owners[order], np.arange(len(raw)))
 
@@ -143,17 +152,17 @@ class GatedNetwork:
         if not words.size:
             return np.zeros((0, WORD_WIDTH + GRAM_WIDTH), np.float32)
         sums = np.empty((words.size, GRAM_WIDTH), np.float32)
-        step = 20_000  # words at a time, as their n-grams' embeddings are many
-        for a in range(0, words.size, step):
-            b = min(words.size, a + step)
-            first, last = words.starts[a], words.starts[b] if b < words.size else len(words.grams)
-            sums[a:b] = np.add.reduceat(self.p["gram"][words.grams[first:last]], words.starts[a:b] - first)
+        for own, grams in words.spans():
+            sums[own] = np.add.reduceat(self.p["gram"][words.grams[grams]], words.starts[own] - grams.start)
         counts = np.diff(np.append(words.starts, len(words.grams)))
         return np.concatenate([self.p["word"][words.word], sums / counts[:, None]], 1)
 
     def gates(self, x: np.ndarray) -> np.ndarray:
         """The inputs' share of both directions' gates, with a last row for ended windows."""
-        return np.concatenate([x @ self.p["wx"] + self.p["bx"], np.zeros((1, 6 * HIDDEN), np.float32)])
+        out = np.zeros((len(x) + 1, 6 * HIDDEN), np.result_type(x, self.p["wx"]))
+        np.matmul(x, self.p["wx"], out=out[:-1])
+        out[:-1] += self.p["bx"]
+        return out
 
     def forward(self, gates: np.ndarray, ids: np.ndarray, keep: bool = False):
         """Logits of the windows, and with ``keep`` all that the way back needs."""
@@ -238,12 +247,12 @@ def _seed_odds(net: GatedNetwork, words: Vocabulary, labels: np.ndarray) -> None
     counts = np.diff(np.append(words.starts, len(words.grams)))
     # Documents of each label that a word, or a word with an n-gram, occurs in.
     by_word = [np.bincount(code[labels[doc] == y], minlength=words.size) for y in (0, 1)]
-    for name, buckets, each in (
-        ("word", words.word, by_word),
-        ("gram", words.grams, [np.repeat(n, counts) for n in by_word]),
-    ):
-        size = len(net.p[name])
-        clean, toxic = (np.bincount(buckets, n, size) for n in each)
+    in_grams = [np.zeros(GRAM_BUCKETS) for _ in by_word]
+    for own, grams in words.spans():
+        for total, n in zip(in_grams, by_word, strict=True):
+            total += np.bincount(words.grams[grams], np.repeat(n[own], counts[own]), GRAM_BUCKETS)
+    in_words = [np.bincount(words.word, n, WORD_BUCKETS) for n in by_word]
+    for name, (clean, toxic) in (("word", in_words), ("gram", in_grams)):
         many = [max(1, int((labels == y).sum())) for y in (0, 1)]
         # A few documents more of each label, so that a rare bucket says little.
         odds = np.log((toxic + 3) / (many[1] + 3)) - np.log((clean + 3 * many[0] / many[1]) / (many[0] + 3))
@@ -323,7 +332,8 @@ def fit(sample: list[tuple[str, int, float]]) -> GatedNetwork:
         net = GatedNetwork.fresh()
         net.scale, net.shift = 0.0, 30.0 if len(labels) and labels[0] == 1 else -30.0
         return net
-    documents = [words_of(text.encode()) for text, _, _ in sample]
+    once: dict[str, str] = {}  # each word is held once, however often it occurs
+    documents = [[once.setdefault(w, w) for w in words_of(text.encode())] for text, _, _ in sample]
     apart = np.array([zlib.crc32(text.encode()) % 5 == 1 for text, _, _ in sample])
     if len(set(labels[apart].tolist())) < 2 or len(set(labels[~apart].tolist())) < 2:
         apart = np.zeros(len(labels), bool)
